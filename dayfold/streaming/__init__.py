@@ -1,0 +1 @@
+"""Deliberately empty: the workload this library covers is batch only (see README)."""
