@@ -132,5 +132,10 @@ def json_escape(value: Column) -> Column:
         SHORT_ESCAPES.items(),
         value,
     )
-    coded = F.array_join(F.transform(F.split(short, ""), _escape_code), "")
-    return F.when(short.rlike(CONTROL), coded).otherwise(short)
+    return _bind(
+        short,
+        lambda text: F.when(
+            text.rlike(CONTROL),
+            F.array_join(F.transform(F.split(text, ""), _escape_code), ""),
+        ).otherwise(text),
+    )

@@ -16,11 +16,17 @@ from dayfold.operators.clean import (
     tag_date,
 )
 from dayfold.operators.collect import group_collect
-from dayfold.operators.combine import CategorySums, Metric, combine_sources, outer_combine
+from dayfold.operators.combine import (
+    Categories,
+    Metric,
+    combine_sources,
+    metric_names,
+    outer_combine,
+)
 from dayfold.operators.join import attach_dimension, theta_join
 
 __all__ = [
-    "CategorySums",
+    "Categories",
     "Metric",
     "add_ratios",
     "attach_dimension",
@@ -32,6 +38,7 @@ __all__ = [
     "find_duplicates",
     "group_collect",
     "group_metrics",
+    "metric_names",
     "outer_combine",
     "preview_rows",
     "rename_column",

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayfold.operators.combine import CategorySums, combine_sources
+from dayfold.operators.combine import Categories, combine_sources
 from dayfold.sources.scans import Predicate, day_scan
 
 Term = str | Column
@@ -62,7 +62,7 @@ def category_sums(
     ``names`` maps a category to its column. Keys that have none of the categories do not
     appear; a category that a key lacks is 0.
     """
-    return combine_sources({"": CategorySums(frame, category, value, names)}, key)
+    return combine_sources({category: Categories(frame, category, names, value)}, key)
 
 
 def find_duplicates(frame: DataFrame, column: str) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # How many slices a run over a hot key is cut into at most.
 MAX_SLICES = 4096
+# The slice of rows without an order, which come last in a list.
+NO_ORDER = -1
 
 
 def group_collect(
@@ -25,6 +27,8 @@ def group_collect(
     Gives rows (key, part, values): an array holds at most ``part_rows`` values, and the whole
     list of a key is its parts one after another. Most keys have the single part 0.
 
+    ``order`` should tell the rows of a key apart; rows that tie go by value.
+
     The size of the largest group is measured first. If it fits one part, one aggregation
     makes the lists. If not, positions are numbered without bringing a group together (see
     ``_numbered``), so a key with any share of the rows is spread over the cluster.
@@ -41,7 +45,7 @@ def group_collect(
         )
     slices = min(MAX_SLICES, 2 * (largest // part_rows + 1))
     placed = _numbered(rows, keys, slices).withColumn(
-        "part", F.floor(F.col("_position") / part_rows).cast("long")
+        "part", F.expr(f"_position div {part_rows}")
     )
     listed = F.array_sort(F.collect_list(F.struct("_position", "_value")))
     return placed.groupBy(*keys, "part").agg(_values(listed).alias(name))
@@ -67,7 +71,7 @@ def _numbered(rows: DataFrame, keys: Sequence[str], slices: int) -> DataFrame:
             splits=splits, inputCol="_axis", outputCol="_slice", handleInvalid="keep"
         )
         .transform(rows.withColumn("_axis", axis))
-        .withColumn("_slice", F.when(F.col("_order").isNull(), -1).otherwise(F.col("_slice").cast("int")))
+        .withColumn("_slice", F.coalesce(F.col("_slice").cast("int"), F.lit(NO_ORDER)))
         .select(F.struct(*keys).alias("_key"), "_slice", "_order", "_value")
     )
     later = Window.partitionBy("_key").orderBy(F.col("_slice").desc()).rowsBetween(

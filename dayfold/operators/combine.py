@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, LongType
 
 from dayfold.operators.clean import fill_zero
 
@@ -41,16 +42,28 @@ class Metric:
 
 
 @dataclass(frozen=True)
-class CategorySums:
-    """Sums of ``value`` in one source, one metric per category (``names``: category to metric)."""
+class Categories:
+    """One source with a metric per category (``names``: category to metric), read once.
+
+    Each metric is the sum of ``value`` over its category, or without a value the row count.
+    """
 
     frame: DataFrame | None
     category: str
-    value: str
     names: Mapping[str, str]
+    value: str | None = None
 
 
-Source = DataFrame | Metric | CategorySums | None
+Source = DataFrame | Metric | Categories | None
+
+
+def metric_names(sources: Mapping[str, Source]) -> list[str]:
+    """The metrics that ``sources`` yield: one per entry, or one per category."""
+    return [
+        metric
+        for name, source in sources.items()
+        for metric in (source.names.values() if isinstance(source, Categories) else [name])
+    ]
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -94,71 +107,102 @@ def combine_sources(sources: Mapping[str, Source], key: str | Sequence[str] = "e
     distinct (key, metric, term), which also spreads a hot key over its terms.
     """
     keys = _keys(key)
-    metrics = [
-        (name, source if isinstance(source, (Metric, CategorySums)) else Metric(source))
-        for name, source in sources.items()
-    ]
-    branches: list[DataFrame] = []
-    results: list[Column] = []
-    terms: list[str] = []
-    totals: list[str] = []
+    branches: list[_Branch] = []
     absent: list[str] = []
     tag = 0
-
-    for name, metric in metrics:
-        names = list(metric.names.values()) if isinstance(metric, CategorySums) else [name]
-        if metric.frame is None:
+    for name, source in sources.items():
+        source = source if isinstance(source, (Metric, Categories)) else Metric(source)
+        names = metric_names({name: source})
+        if source.frame is None:
             absent += names
-            continue
-        here = F.col(_TAG)
-        if isinstance(metric, CategorySums):
-            total = f"_total_{tag}"
-            category = F.col(metric.category)
-            number = F.create_map(
-                *[F.lit(x) for i, c in enumerate(metric.names) for x in (c, tag + i)]
-            )
-            rows = metric.frame.where(category.isin(list(metric.names))).select(
-                *keys, F.element_at(number, category).alias(_TAG), F.col(metric.value).alias(total)
-            )
-            kind = metric.frame.agg(F.sum(metric.value)).schema[0].dataType
-            results += [
-                F.sum(F.when(here == tag + i, F.col(total))).cast(kind).alias(n)
-                for i, n in enumerate(names)
-            ]
-            totals.append(total)
+        elif isinstance(source, Categories):
+            branches.append(_category_branch(source, keys, tag))
         else:
-            term = F.expr(metric.term) if isinstance(metric.term, str) and metric.term != "*" else metric.term
-            rows = metric.frame.select(*keys, F.lit(tag).alias(_TAG), *_carried(metric, term, tag))
-            if metric.aggregate == "count":
-                results.append(F.sum(F.when(here == tag, F.col(_COUNTED))).alias(name))
-            elif metric.aggregate == "count_distinct":
-                results.append(F.count(F.when(here == tag, F.col(f"_term_{tag}"))).alias(name))
-                terms.append(f"_term_{tag}")
-            else:
-                kind = metric.frame.agg(F.sum(term)).schema[0].dataType
-                results.append(F.sum(f"_total_{tag}").cast(kind).alias(name))
-                totals.append(f"_total_{tag}")
-        branches.append(rows)
+            branches.append(_metric_branch(name, source, keys, tag))
         tag += len(names)
-
     _require_loaded(branches, absent)
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
+
+    rows = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True), [b.rows for b in branches]
+    )
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    rows = rows.withColumn(_NULL_TAG, F.when(any_null, F.col(_TAG)))
     group = [*keys, _NULL_TAG]
+    rows = rows.withColumn(_NULL_TAG, F.when(any_null, F.col(_TAG)))
+    terms = [b.term for b in branches if b.term]
     if terms:
-        partial = [F.sum(c).alias(c) for c in [*totals, _COUNTED] if c in rows.columns]
+        added = sorted({b.added for b in branches if b.added})
         distinct = rows.groupBy(*group, _TAG, *terms)
-        rows = distinct.agg(*partial) if partial else rows.select(*group, _TAG, *terms).distinct()
+        rows = (
+            distinct.agg(*[F.sum(c).alias(c) for c in added])
+            if added
+            else rows.select(*group, _TAG, *terms).distinct()
+        )
+    results = [result for b in branches for result in b.results]
     combined = rows.groupBy(*group).agg(*results).drop(_NULL_TAG)
     return fill_zero(_with_absent(combined, absent))
 
 
-def _carried(metric: Metric, term: str | Column, tag: int) -> list[Column]:
-    """What a row brings along for its metric besides the key."""
+@dataclass(frozen=True)
+class _Branch:
+    """Rows of one source, tagged with their metric, and the aggregates to take over all rows.
+
+    ``added`` is the column it sums up and ``term`` the one whose distinct values it counts.
+    """
+
+    rows: DataFrame
+    results: list[Column]
+    added: str | None = None
+    term: str | None = None
+
+
+def _of(tag: int, column: str) -> Column:
+    return F.when(F.col(_TAG) == tag, F.col(column))
+
+
+def _sum_type(frame: DataFrame, value: str | Column) -> DataType:
+    return frame.agg(F.sum(value)).schema[0].dataType
+
+
+def _category_branch(source: Categories, keys: Sequence[str], first: int) -> _Branch:
+    category = F.col(source.category)
+    numbers = {c: first + i for i, c in enumerate(source.names)}
+    tag = F.element_at(F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair]), category)
+    rows = source.frame.where(category.isin(list(numbers)))
+    if source.value is None:
+        added, value, kind = _COUNTED, F.lit(1).cast("long"), LongType()
+    else:
+        added, value, kind = (
+            f"_total_{first}",
+            F.col(source.value),
+            _sum_type(source.frame, source.value),
+        )
+    results = [
+        F.sum(_of(numbers[c], added)).cast(kind).alias(name) for c, name in source.names.items()
+    ]
+    return _Branch(rows.select(*keys, tag.alias(_TAG), value.alias(added)), results, added=added)
+
+
+def _metric_branch(name: str, metric: Metric, keys: Sequence[str], tag: int) -> _Branch:
+    if isinstance(metric.term, Column):
+        term = metric.term
+    else:
+        term = None if metric.term == "*" else F.expr(metric.term)
+
+    def rows(value: Column) -> DataFrame:
+        return metric.frame.select(*keys, F.lit(tag).alias(_TAG), value)
+
     if metric.aggregate == "count_distinct":
-        return [term.alias(f"_term_{tag}")]
+        column = f"_term_{tag}"
+        return _Branch(
+            rows(term.alias(column)), [F.count(_of(tag, column)).alias(name)], term=column
+        )
     if metric.aggregate == "sum":
-        return [term.alias(f"_total_{tag}")]
-    counted = F.lit(1) if isinstance(term, str) else F.when(term.isNull(), 0).otherwise(1)
-    return [counted.cast("long").alias(_COUNTED)]
+        column = f"_total_{tag}"
+        result = F.sum(_of(tag, column)).cast(_sum_type(metric.frame, term))
+        return _Branch(rows(term.alias(column)), [result.alias(name)], added=column)
+    counted = F.lit(1) if term is None else F.when(term.isNull(), 0).otherwise(1)
+    return _Branch(
+        rows(counted.cast("long").alias(_COUNTED)),
+        [F.sum(_of(tag, _COUNTED)).alias(name)],
+        added=_COUNTED,
+    )

@@ -16,7 +16,7 @@ from dayfold.operators.clean import (
     select_ordered,
     tag_date,
 )
-from dayfold.operators.combine import combine_sources
+from dayfold.operators.combine import Source, combine_sources, metric_names
 from dayfold.operators.join import attach_dimension
 from dayfold.sinks.tables import append_table, write_day_table
 from dayfold.sources.scans import day_scan, load_or_none, scan
@@ -38,7 +38,7 @@ FEATURE_TABLE = "ml_raw.xt_feed_avg_fundamentals"
 
 
 def daily_feature_table(
-    sources: Mapping[str, DataFrame | None],
+    sources: Mapping[str, Source],
     enterprise: DataFrame,
     dt: str | None = None,
     day_column: str | None = None,
@@ -46,7 +46,7 @@ def daily_feature_table(
     """Counts per entity of every source, and each count per user of the entity.
 
     ``sources`` maps metric names to raw rows with the key column ``eid``, already restricted to
-    day ``dt``. To fill in many days at once give ``day_column`` instead: the sources then hold
+    day ``dt``; sources that share a table can come as one ``Categories``. To fill in many days at once give ``day_column`` instead: the sources then hold
     it too, and the result has one row per entity and day, as if the days had been run one by
     one and put together.
     """
@@ -56,7 +56,7 @@ def daily_feature_table(
     counts = combine_sources(sources, keys)
     dimension = rename_column(enterprise.select(KEY, ACCOUNT, USERS), ACCOUNT, "ea")
     rows = drop_incomplete(attach_dimension(counts, dimension, KEY))
-    rated = add_ratios(rows, [(m, USERS, f"{m}_avg") for m in sources])
+    rated = add_ratios(rows, [(m, USERS, f"{m}_avg") for m in metric_names(sources)])
     if day_column is None:
         tagged = tag_date(rated, dt)
     else:

@@ -6,9 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from dayfold.operators.combine import CategorySums, Metric, combine_sources
-from dayfold.sinks.tables import write_day_table
 from dayfold.operators.clean import tag_date
+from dayfold.operators.combine import Categories, Metric, combine_sources
+from dayfold.sinks.tables import write_day_table
 from dayfold.sources.scans import day_scan, load_or_none
 
 # Message types and the metric each is summed into.
@@ -54,7 +54,7 @@ def message_mix_table(
         {
             NEW_SESSIONS: Metric(new_sessions, "count_distinct", SESSION),
             ACTIVE_SESSIONS: Metric(active_sessions, "count_distinct", SESSION),
-            MESSAGE_TABLE: CategorySums(messages, CATEGORY, COUNT, categories),
+            MESSAGE_TABLE: Categories(messages, CATEGORY, categories, COUNT),
         },
         keys,
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dayfold.operators import (
-    CategorySums,
+    Categories,
     Metric,
     add_ratios,
     attach_dimension,
@@ -68,7 +68,9 @@ def sources_mixed(spark, sf_dir):
             "click_num": Metric(_null_keyed(spark, sf_dir, "click")),
             "session_num": Metric(_null_keyed(spark, sf_dir, "view"), "count_distinct", "props"),
             "spent": Metric(_null_keyed(spark, sf_dir, "purchase"), "sum", "value"),
-            "seeds": CategorySums(both, "event_type", "value", {"signup": "signup_sum", "error": "error_sum"}),
+            "seeds": Categories(
+                both, "event_type", {"signup": "signup_sum", "error": "error_sum"}, "value"
+            ),
             "gift_num": None,
         }
     )

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from dayfold.operators import Categories
 from dayfold.plans import FEED_TABLES, daily_feature_table, message_mix_table
 from dayfold.queries.tables import EVENT_TYPES, enterprise, events_of, read
 from dayfold.sources import day_range_scan
 
 DAY = "20240110"
 # Which type of event stands for which feed source, and for which kind of message.
-FEED_TYPES = dict(zip(FEED_TABLES, EVENT_TYPES, strict=True))
+FEED_METRICS = dict(zip(EVENT_TYPES, FEED_TABLES, strict=True))
 MESSAGE_METRICS = {event_type: f"seed_{event_type}_num" for event_type in EVENT_TYPES}
 
 EID = "user_id AS eid"
@@ -18,19 +19,19 @@ EVENT_DAY = "CAST(ts AS date) AS day"
 SESSION = "props AS sessionID"
 
 
+def _feed(events, *columns):
+    """The five feed sources; they share the table of events, so it is read once."""
+    rows = events.selectExpr(EID, "event_type", *columns)
+    return {"events": Categories(rows, "event_type", FEED_METRICS)}
+
+
 def feed_day(spark, sf_dir):
-    sources = {
-        metric: day_range_scan(events_of(spark, sf_dir, event_type), DAY, "ts").selectExpr(EID)
-        for metric, event_type in FEED_TYPES.items()
-    }
-    return daily_feature_table(sources, enterprise(spark, sf_dir), DAY)
+    events = day_range_scan(read(spark, sf_dir, "events"), DAY, "ts")
+    return daily_feature_table(_feed(events), enterprise(spark, sf_dir), DAY)
 
 
 def feed_all_days(spark, sf_dir):
-    sources = {
-        metric: events_of(spark, sf_dir, event_type).selectExpr(EID, EVENT_DAY)
-        for metric, event_type in FEED_TYPES.items()
-    }
+    sources = _feed(read(spark, sf_dir, "events"), EVENT_DAY)
     return daily_feature_table(sources, enterprise(spark, sf_dir), day_column="day")
 
 
@@ -67,11 +68,11 @@ QUERIES = {
 
 def _feed_sql(day_sql, where=""):
     counts = ", ".join(
-        f"count(*) FILTER (WHERE event_type = '{t}') AS {metric}" for metric, t in FEED_TYPES.items()
+        f"count(*) FILTER (WHERE event_type = '{t}') AS {metric}" for t, metric in FEED_METRICS.items()
     )
     averages = ", ".join(
         f"{metric}, coalesce({metric} / nullif(c_nationkey, 0), 0) AS {metric}_avg"
-        for metric in FEED_TYPES
+        for metric in FEED_TABLES
     )
     return f"""
         SELECT eid, c_name AS ea, actiondate, c_nationkey AS accountusedamount, {averages}
