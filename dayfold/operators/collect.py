@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isfinite
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -65,7 +66,8 @@ def _numbered(rows: DataFrame, keys: Sequence[str], slices: int) -> DataFrame:
     axis = _axis(rows)
     steps = [i / slices for i in range(1, slices)]
     cuts = rows.agg(F.percentile_approx(axis, steps, 10 * slices)).first()[0] or []
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    inner = {cut for cut in cuts if isfinite(cut)} or {0.0}
+    splits = [float("-inf"), *sorted(inner), float("inf")]
     sliced = (
         Bucketizer(
             splits=splits, inputCol="_axis", outputCol="_slice", handleInvalid="keep"

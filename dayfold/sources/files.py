@@ -12,7 +12,8 @@ def whole_files(path: str, charset: str = "UTF-8", pattern: str | None = None) -
     """Every file under ``path`` as one row ``(path, text)``, decoded from ``charset``.
 
     Files are read in parallel, one row each, so a file is bounded by the size of a value
-    (2 GB). ``pattern`` is a file name glob.
+    (2 GB). Empty files give no row, as in every file source of Spark. ``pattern`` is a file
+    name glob.
     """
     reader = SparkSession.active().read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern is not None:

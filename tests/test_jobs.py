@@ -1,0 +1,211 @@
+"""The composite jobs on catalog tables, and the deviations taken on purpose."""
+
+import random
+import uuid
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from dayfold.operators import (
+    Categories,
+    add_ratios,
+    attach_dimension,
+    drop_incomplete,
+    fill_zero,
+    group_metrics,
+    outer_combine,
+    tag_date,
+)
+from dayfold.plans import (
+    FEED_TABLES,
+    MESSAGE_CATEGORIES,
+    daily_feature_table,
+    message_mix_table,
+    run_feed_job,
+    run_message_job,
+)
+from dayfold.sources import day_scan
+
+
+def rows_of(frame):
+    return sorted((tuple(r) for r in frame.collect()), key=repr)
+
+
+@pytest.fixture(scope="module")
+def feed(spark):
+    """Five sources over two days, with null keys and a key that has a third of the rows."""
+    chooser = random.Random(7)
+    for database in ("core_business", "ml_test", "ml_raw"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for i, table in enumerate(FEED_TABLES.values()):
+        rows = [
+            (chooser.choice([None, 4, 4, *range(9)]), chooser.choice(["20160801", "20160802"]))
+            for _ in range(60 + i)
+        ]
+        spark.createDataFrame(rows, "eid long, day string").write.mode("overwrite").partitionBy(
+            "day"
+        ).saveAsTable(table)
+    enterprise = [(i, f"account{i}", i % 4) for i in range(8)] + [(9, None, 3), (10, "idle", 2)]
+    spark.createDataFrame(
+        enterprise, "eid long, enterpriseaccount string, accountusedamount int"
+    ).write.mode("overwrite").saveAsTable("ml_test.enterprise")
+    return spark
+
+
+def literal_feed(spark, dt):
+    """The job step by step: group each source, join them, join the dimension."""
+    frames = {
+        metric: group_metrics(table, counts={metric: "*"}, dt=dt)
+        for metric, table in FEED_TABLES.items()
+    }
+    dimension = spark.table("ml_test.enterprise").withColumnRenamed("enterpriseaccount", "ea")
+    rows = drop_incomplete(attach_dimension(outer_combine(frames), dimension))
+    ratios = [(m, "accountusedamount", f"{m}_avg") for m in FEED_TABLES]
+    return fill_zero(tag_date(add_ratios(rows, ratios), dt))
+
+
+def test_feed_equals_the_literal_steps(feed):
+    sources = {m: day_scan(t, "20160801").select("eid") for m, t in FEED_TABLES.items()}
+    table = daily_feature_table(sources, feed.table("ml_test.enterprise"), "20160801")
+    literal = literal_feed(feed, "20160801").select(*table.columns)
+    assert table.columns[:4] == ["eid", "ea", "actiondate", "accountusedamount"]
+    assert table.columns[4:] == sorted(table.columns[4:])
+    assert rows_of(table) == rows_of(literal) and table.count() > 5
+    assert table.dtypes == literal.dtypes
+
+
+def test_feed_all_days_is_the_days_together(feed):
+    sources = {m: feed.table(t) for m, t in FEED_TABLES.items()}
+    enterprise = feed.table("ml_test.enterprise")
+    table = daily_feature_table(sources, enterprise, day_column="day")
+    days = [literal_feed(feed, day).select(*table.columns) for day in ("20160801", "20160802")]
+    assert rows_of(table) == rows_of(days[0].unionByName(days[1]))
+
+
+def test_feed_from_one_shared_table(feed):
+    shared = None
+    for metric, table in FEED_TABLES.items():
+        part = day_scan(table, "20160801").select("eid", F.lit(metric).alias("kind"))
+        shared = part if shared is None else shared.unionByName(part)
+    source = Categories(shared, "kind", {m: m for m in FEED_TABLES})
+    table = daily_feature_table({"all": source}, feed.table("ml_test.enterprise"), "20160801")
+    assert rows_of(table) == rows_of(literal_feed(feed, "20160801").select(*table.columns))
+
+
+def test_each_average_divides_its_own_metric(feed):
+    sources = {m: day_scan(t, "20160801").select("eid") for m, t in FEED_TABLES.items()}
+    table = daily_feature_table(sources, feed.table("ml_test.enterprise"), "20160801")
+    rows = table.collect()
+    assert any(r["xt_redpacket_num"] != r["xt_reward_num"] for r in rows)
+    for r in rows:
+        for metric in FEED_TABLES:
+            users = r["accountusedamount"]
+            assert r[f"{metric}_avg"] == (r[metric] / users if users else 0.0)
+    # The other pairing stays expressible.
+    odd = add_ratios(table, [("xt_reward_num", "accountusedamount", "odd")]).first()
+    users = odd["accountusedamount"]
+    assert odd["odd"] == (odd["xt_reward_num"] / users if users else None)
+
+
+def test_zero_users_and_text_tag(feed):
+    sources = {m: day_scan(t, "20160801").select("eid") for m, t in FEED_TABLES.items()}
+    table = daily_feature_table(sources, feed.table("ml_test.enterprise"), "20160801")
+    idle = table.where("accountusedamount = 0").collect()
+    assert idle and all(r["xt_at_num_avg"] == 0.0 for r in idle)
+    assert dict(table.dtypes)["actiondate"] == "string"
+    assert {r["actiondate"] for r in table.collect()} == {"20160801"}
+
+
+def test_dates_and_empty_sources(feed):
+    enterprise = feed.table("ml_test.enterprise")
+    source = {"xt_at_num": feed.table("core_business.feed_at")}
+    with pytest.raises(ValueError):
+        daily_feature_table(source, enterprise, "2016-08-01")
+    with pytest.raises(ValueError, match="either dt or day_column"):
+        daily_feature_table(source, enterprise)
+    with pytest.raises(ValueError, match="none of the sources"):
+        daily_feature_table({m: None for m in FEED_TABLES}, enterprise, "20160801")
+
+
+def test_run_feed_job(feed, tmp_path):
+    target = f"ml_raw.features_{uuid.uuid4().hex}"
+    for dt in ("20160801", "20160802", "20160801"):
+        run_feed_job(dt, target=target, path=str(tmp_path / "t"))
+    written = feed.table(target)
+    for dt in ("20160801", "20160802"):
+        day = written.where(F.col("actiondate") == dt)
+        assert rows_of(day) == rows_of(literal_feed(feed, dt).select(*written.columns))
+
+
+def test_run_feed_job_append_doubles(feed, tmp_path):
+    target = f"ml_raw.features_{uuid.uuid4().hex}"
+    for _ in range(2):
+        run_feed_job("20160801", target=target, path=str(tmp_path / "t"), append=True)
+    assert feed.table(target).count() == 2 * literal_feed(feed, "20160801").count()
+
+
+def test_run_feed_job_with_missing_tables(feed, tmp_path):
+    target = f"ml_raw.features_{uuid.uuid4().hex}"
+    tables = {**FEED_TABLES, "xt_at_num": "core_business.not_ready"}
+    run_feed_job("20160801", tables, target=target, path=str(tmp_path / "t"))
+    rows = feed.table(target).collect()
+    assert rows and all(r["xt_at_num"] == 0 and r["xt_at_num_avg"] == 0.0 for r in rows)
+    with pytest.raises(AnalysisException):
+        run_feed_job("20160801", enterprise="ml_test.not_ready", target=target)
+
+
+@pytest.fixture(scope="module")
+def messages(spark):
+    chooser = random.Random(8)
+    kinds = [*MESSAGE_CATEGORIES, "other", None]
+
+    def sessions():
+        return spark.createDataFrame(
+            [
+                (chooser.choice([None, 2, 2, *range(6)]), chooser.choice(["s1", "s2", "s3", None]), "20160801")
+                for _ in range(50)
+            ],
+            "eid long, sessionID string, day string",
+        )
+
+    rows = [
+        (chooser.choice([None, 2, 2, *range(8)]), chooser.randrange(9), chooser.choice(kinds), "20160801")
+        for _ in range(200)
+    ]
+    seeds = spark.createDataFrame(rows, "eid long, count long, messagetype string, day string")
+    return sessions(), sessions(), seeds
+
+
+def literal_mix(new, active, seeds):
+    frames = {
+        "qx_newsession_num": group_metrics(new, counts={"qx_newsession_num": "distinct sessionID"}),
+        "qx_activesession_num": group_metrics(
+            active, counts={"qx_activesession_num": "distinct sessionID"}
+        ),
+    }
+    for kind, metric in MESSAGE_CATEGORIES.items():
+        of_kind = seeds.where(F.col("messagetype") == kind)
+        frames[metric] = group_metrics(of_kind, counts=(), sums={metric: "count"})
+    return outer_combine(frames)
+
+
+def test_message_mix_equals_the_literal_steps(messages):
+    mix = message_mix_table(*messages)
+    literal = literal_mix(*messages)
+    assert mix.dtypes == literal.dtypes and len(mix.columns) == 14
+    assert rows_of(mix) == rows_of(literal)
+
+
+def test_run_message_job(spark, messages, tmp_path):
+    new, active, seeds = messages
+    active.createOrReplaceTempView("active_rows")
+    seeds.createOrReplaceTempView("message_rows")
+    target = f"mix_{uuid.uuid4().hex}"
+    run_message_job("20160801", target, "no_such_sessions", "active_rows", "message_rows", str(tmp_path / "t"))
+    rows = spark.table(target)
+    empty = new.where("false")
+    expected = tag_date(literal_mix(empty, active, seeds), "20160801").select(*rows.columns)
+    assert rows_of(rows) == rows_of(expected)
+    with pytest.raises(AnalysisException):
+        run_message_job("20160801", target, messages="no_such_messages")
