@@ -8,12 +8,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayfold.functions.numbers import UINT_MASK, UINT_SIZE, wrap_int
+from dayfold.functions.numbers import UINT_MASK, wrap_int
 
 # Multiplier of the JVM's string and list hashes, and its boolean hashes.
 MULTIPLIER = 31
 TRUE_HASH = 1231
 FALSE_HASH = 1237
+# Fixed value: the characters that take two UTF-16 units.
+WIDE = "[\\x{10000}-\\x{10ffff}]"
 
 
 def _step(hashed: Column, item: Column) -> Column:
@@ -21,8 +23,16 @@ def _step(hashed: Column, item: Column) -> Column:
     return (hashed * F.lit(MULTIPLIER) + item).bitwiseAND(F.lit(UINT_MASK))
 
 
-def _character_step(hashed: Column, character: Column) -> Column:
-    code = F.ascii(character).cast("long")
+def _code(character: Column) -> Column:
+    return F.ascii(character).cast("long")
+
+
+def _unit_step(hashed: Column, character: Column) -> Column:
+    return _step(hashed, _code(character))
+
+
+def _wide_step(hashed: Column, character: Column) -> Column:
+    code = _code(character)
     above = code - F.lit(0x10000)
     high = F.lit(0xD800) + F.shiftright(above, 10)
     low = F.lit(0xDC00) + above.bitwiseAND(F.lit(0x3FF))
@@ -32,9 +42,18 @@ def _character_step(hashed: Column, character: Column) -> Column:
 
 
 def string_hash(value: Column) -> Column:
-    """JVM string hash over UTF-16 units, as an unsigned 32-bit value in a long."""
-    return F.when(value == F.lit(""), F.lit(0).cast("long")).otherwise(
-        F.aggregate(F.split(value, ""), F.lit(0).cast("long"), _character_step)
+    """JVM string hash over UTF-16 units, as an unsigned 32-bit value in a long.
+
+    Only text with characters beyond the basic plane pays for splitting them in two units.
+    """
+
+    def fold(step):
+        return F.aggregate(F.split(value, ""), F.lit(0).cast("long"), step)
+
+    return (
+        F.when(value == F.lit(""), F.lit(0).cast("long"))
+        .when(value.rlike(WIDE), fold(_wide_step))
+        .otherwise(fold(_unit_step))
     )
 
 
@@ -63,6 +82,3 @@ def row_hash(frame: DataFrame, columns: Sequence[str]) -> Column:
         F.lit(1).cast("long"),
     )
     return wrap_int(unsigned) if columns else F.lit(1)
-
-
-__all__ = ["UINT_SIZE", "row_hash", "string_hash"]

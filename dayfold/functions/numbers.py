@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # Range of a 32-bit integer.
 INT_MIN = -(2**31)
 UINT_MASK = 2**32 - 1
-UINT_SIZE = 2**32
 
 
 def safe_abs(value: Column) -> Column:
@@ -17,6 +16,6 @@ def safe_abs(value: Column) -> Column:
 
 
 def wrap_int(value: Column) -> Column:
-    """The low 32 bits of a non-negative long, read as a signed int."""
-    low = value.bitwiseAND(F.lit(UINT_MASK))
-    return F.when(low > F.lit(2**31 - 1), low - F.lit(UINT_SIZE)).otherwise(low).cast("int")
+    """The low 32 bits of a long, read as a signed int."""
+    half = F.lit(2**31)
+    return ((value + half).bitwiseAND(F.lit(UINT_MASK)) - half).cast("int")

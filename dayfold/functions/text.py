@@ -114,18 +114,16 @@ def replace_suffix(value: Column, old: str, new: str) -> Column:
     )
 
 
-def _escape_code(character: Column) -> Column:
+def _escape_code(text: Column, character: Column) -> Column:
     code = F.lower(F.hex(F.ascii(character).cast("long")))
-    return F.when(
-        character.rlike(CONTROL), F.concat(F.lit("\\u"), F.lpad(code, 4, "0"))
-    ).otherwise(character)
+    return F.replace(text, character, F.concat(F.lit("\\u"), F.lpad(code, 4, "0")))
 
 
 def json_escape(value: Column) -> Column:
     """Text escaped for use inside a JSON string.
 
-    The short escapes are plain replacements. Only text that still holds a control character
-    is taken apart, in one pass over its characters.
+    All of it is replacement of one character throughout the text: of those with a short
+    escape, then of the other control characters that the text holds.
     """
     short = reduce(
         lambda text, item: F.replace(text, F.lit(item[0]), F.lit(item[1])),
@@ -134,8 +132,9 @@ def json_escape(value: Column) -> Column:
     )
     return _bind(
         short,
-        lambda text: F.when(
-            text.rlike(CONTROL),
-            F.array_join(F.transform(F.split(text, ""), _escape_code), ""),
-        ).otherwise(text),
+        lambda text: F.aggregate(
+            F.array_distinct(F.regexp_extract_all(text, F.lit(f"({CONTROL})"), F.lit(1))),
+            text,
+            _escape_code,
+        ),
     )

@@ -58,7 +58,7 @@ def upsert_docs(spark, sf_dir):
         F.col("user_id").alias("id"), "event_id", "event_type"
     )
     table, path = _fresh(spark, "upsert_docs")
-    S.upsert_docs(customers, table, "id", path=path)
+    S.upsert_docs(customers, table, "id", buckets=16, path=path)
     S.upsert_docs(active, table, "id", order="event_id")
     return spark.table(table).select("id", "name", "event_id", "event_type")
 

@@ -109,10 +109,11 @@ def upsert_docs(
     Columns the stored documents lack are added to the table; columns the new documents lack
     are null in them. Of several documents with one id in a batch the latest by ``order`` counts.
 
-    Only the id buckets that occur in the batch are read and rewritten (``buckets`` counts when
-    the table is created). The merged buckets are first written aside in the shared folder and
-    then moved in from there, so that nothing is overwritten while it is being read and a run
-    that dies in between leaves them complete.
+    Only the id buckets that occur in the batch are read and rewritten. ``buckets`` counts when
+    the table is created: choose it so that a bucket comes to hold a few gigabytes. The batch is written aside first, so that it is computed once and its
+    size is known to the join. So are the merged buckets, which are then moved in from there:
+    nothing is overwritten while it is being read, and a run that dies in between leaves them
+    complete.
     """
     spark = docs.sparkSession
     exists = spark.catalog.tableExists(table)
@@ -128,6 +129,7 @@ def upsert_docs(
         _create(batch, table, buckets, path)
         return
 
+    batch = _aside(batch, "upsert-batch")
     _add_columns(spark, table, docs, spark.table(table).columns)
     stored = spark.table(table)
     touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]  # at most `buckets`
@@ -135,11 +137,16 @@ def upsert_docs(
         batch.select(id_field), [id_field], "left_anti"
     )
     merged = kept.unionByName(batch, allowMissingColumns=True).select(*stored.columns)
-    aside = shared_path(spark, "upsert")
-    log.info("merging %d buckets of %s by way of %s", len(touched), table, aside)
-    merged.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(aside)
-    ready = spark.read.schema(merged.schema).parquet(aside)
-    overwrite_partitions(ready.select(*stored.columns).hint("rebalance", BUCKET), table)
+    ready = _aside(merged.hint("rebalance", BUCKET), "upsert-merged", [BUCKET])
+    overwrite_partitions(ready.select(*stored.columns), table)
+
+
+def _aside(frame: DataFrame, name: str, partitions: Sequence[str] = ()) -> DataFrame:
+    """Write a frame to the shared folder and go on from there."""
+    path = shared_path(frame.sparkSession, name)
+    log.info("writing %s to %s", name, path)
+    frame.write.partitionBy(*partitions).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
 def metrics_upsert(
