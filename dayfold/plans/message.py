@@ -36,6 +36,8 @@ COUNT = "count"
 NEW_SESSIONS = "qx_newsession_num"
 ACTIVE_SESSIONS = "qx_activesession_num"
 
+MIX_TABLE = "ml_raw.message_mix"
+
 
 def message_mix_table(
     new_sessions: DataFrame | None,
@@ -62,7 +64,7 @@ def message_mix_table(
 
 def run_message_job(
     dt: str,
-    target: str,
+    target: str = MIX_TABLE,
     new_sessions: str = NEW_SESSIONS_TABLE,
     active_sessions: str = ACTIVE_SESSIONS_TABLE,
     messages: str = MESSAGE_TABLE,

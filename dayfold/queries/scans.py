@@ -63,7 +63,7 @@ def multi_scan_equi(spark, sf_dir):
 
 
 def count_pairs(spark, sf_dir):
-    names = ("supplier", "nation", "part")
+    names = ("customer", "nation", "region")
     return cross_join_count([read(spark, sf_dir, name) for name in names])
 
 
@@ -147,8 +147,8 @@ ORACLES = {
         SELECT s_suppkey, n_name, r_name FROM supplier, nation, region
         WHERE s_nationkey = n_nationkey AND n_regionkey = r_regionkey""",
     "cross_join_count": """
-        SELECT (SELECT count(*) FROM supplier) * (SELECT count(*) FROM nation)
-             * (SELECT count(*) FROM part) AS pairs""",
+        SELECT (SELECT count(*) FROM customer) * (SELECT count(*) FROM nation)
+             * (SELECT count(*) FROM region) AS pairs""",
     "theta_join": """
         SELECT o_orderkey, n_name FROM orders, nation
         WHERE o_totalprice >= n_nationkey * 20000.0

@@ -10,6 +10,7 @@ from dayfold import sinks as S
 from dayfold.functions.dates import compact_day
 from dayfold.operators import group_metrics
 from dayfold.queries.tables import read
+from dayfold.sources import whole_files as read_files
 
 
 def _fresh(spark, name):
@@ -17,12 +18,19 @@ def _fresh(spark, name):
     return f"{name}_{uuid.uuid4().hex}", S.shared_path(spark, name)
 
 
+def _read_back(spark, table, path):
+    """The data of a table that lies at ``path``; the catalog entry is not left behind."""
+    schema = spark.table(table).schema
+    spark.sql(f"DROP TABLE {table}")
+    return spark.read.schema(schema).parquet(path)
+
+
 def append_table(spark, sf_dir):
     counts = group_metrics(read(spark, sf_dir, "orders"), ["o_custkey"], {"order_num": "*"})
     table, path = _fresh(spark, "append_table")
     S.append_table(counts, table, path)
     S.append_table(counts, table, path)
-    return spark.table(table)
+    return _read_back(spark, table, path)
 
 
 def partitioned_write(spark, sf_dir):
@@ -60,7 +68,7 @@ def upsert_docs(spark, sf_dir):
     table, path = _fresh(spark, "upsert_docs")
     S.upsert_docs(customers, table, "id", buckets=16, path=path)
     S.upsert_docs(active, table, "id", order="event_id")
-    return spark.table(table).select("id", "name", "event_id", "event_type")
+    return _read_back(spark, table, path).select("id", "name", "event_id", "event_type")
 
 
 def metrics_upsert(spark, sf_dir):
@@ -73,7 +81,27 @@ def metrics_upsert(spark, sf_dir):
     table, path = _fresh(spark, "metrics_upsert")
     S.metrics_upsert(customers, "nation", table, path=path)
     S.metrics_upsert(suppliers, "nation", table)
-    return spark.table(table).select("nation", "customers", "suppliers")
+    return _read_back(spark, table, path).select("nation", "customers", "suppliers")
+
+
+def _exported(spark, sf_dir):
+    """Customers as lines of text in the shared folder."""
+    rows = read(spark, sf_dir, "customer").select(
+        "c_custkey", F.nullif("c_mktsegment", F.lit("MACHINERY")), "c_name"
+    )
+    path = S.shared_path(spark, "write_text")
+    S.write_text(rows, path, separator="|", null_text="-")
+    return path
+
+
+def write_text(spark, sf_dir):
+    return spark.read.text(_exported(spark, sf_dir)).select(F.col("value").alias("line"))
+
+
+def whole_files(spark, sf_dir):
+    files = read_files(_exported(spark, sf_dir), pattern="*.txt")
+    lines = F.split(F.regexp_replace("text", "\\n$", ""), "\n")
+    return files.select(F.explode(lines).alias("line"))
 
 
 QUERIES = {
@@ -82,8 +110,14 @@ QUERIES = {
     "append_docs": append_docs,
     "upsert_docs": upsert_docs,
     "metrics_upsert": metrics_upsert,
+    "write_text": write_text,
+    "whole_files": whole_files,
 }
 
+LINES_SQL = """
+        SELECT c_custkey || '|' || coalesce(nullif(c_mktsegment, 'MACHINERY'), '-') || '|' || c_name
+          AS line FROM customer"""
+
 ORACLES = {
     "append_table": """
         SELECT o_custkey, count(*) AS order_num FROM orders GROUP BY o_custkey
@@ -109,4 +143,6 @@ ORACLES = {
         GROUP BY c_nationkey
         UNION ALL
         SELECT s_nationkey, NULL, count(*) FROM supplier GROUP BY s_nationkey""",
+    "write_text": LINES_SQL,
+    "whole_files": LINES_SQL,
 }

@@ -154,9 +154,10 @@ def metrics_upsert(
     id_field: str,
     table: str = METRICS_TABLE,
     order: str | None = None,
+    buckets: int = 4,
     path: str | None = None,
 ) -> None:
     """Upsert of metrics documents, or of a single one given as a mapping, into a fixed target."""
     if isinstance(metrics, Mapping):
         metrics = SparkSession.active().createDataFrame([dict(metrics)])
-    upsert_docs(metrics, table, id_field, order=order, path=path)
+    upsert_docs(metrics, table, id_field, order, buckets, path)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from dayfold.__main__ import main
 from dayfold.operators import (
     Categories,
     add_ratios,
@@ -155,6 +156,15 @@ def test_run_feed_job_with_missing_tables(feed, tmp_path):
         run_feed_job("20160801", enterprise="ml_test.not_ready", target=target)
 
 
+def test_command_line(feed):
+    target = f"ml_raw.features_{uuid.uuid4().hex}"
+    main(["feed", "20160802", "--target", target])
+    written = feed.table(target)
+    assert rows_of(written) == rows_of(literal_feed(feed, "20160802").select(*written.columns))
+    with pytest.raises(ValueError):
+        main(["feed", "yesterday"])
+
+
 @pytest.fixture(scope="module")
 def messages(spark):
     chooser = random.Random(8)
