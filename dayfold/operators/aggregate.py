@@ -13,8 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayfold.operators.combine import Categories, combine_sources
+from dayfold.sinks.shared import write_aside
 from dayfold.sources.scans import Predicate, day_scan
 
+# How many hashes (8 bytes each) are broadcast at most.
+MAX_SUSPECTS = 2_000_000
+
 Term = str | Column
 Terms = Mapping[str, Term] | Sequence[Term]
 
@@ -65,9 +69,22 @@ def category_sums(
     return combine_sources({category: Categories(frame, category, names, value)}, key)
 
 
-def find_duplicates(frame: DataFrame, column: str) -> DataFrame:
-    """Values that occur more than once, each once; null is a value like any other."""
-    return frame.groupBy(column).count().where(F.col("count") > 1).select(column)
+def find_duplicates(frame: DataFrame, column: str, max_suspects: int = MAX_SUSPECTS) -> DataFrame:
+    """Values that occur more than once, each once; null is a value like any other.
+
+    Grouping long text would shuffle all of it, though most of it occurs once. So text is first
+    counted by its hash, and only values whose hash occurs again are grouped by themselves. The
+    suspect hashes are broadcast; if there are more than ``max_suspects``, every value is
+    grouped instead.
+    """
+    rows = frame.select(column)
+    if rows.schema[column].dataType.typeName() in ("string", "binary"):
+        hashed = F.xxhash64(column)
+        again = rows.groupBy(hashed.alias("_hash")).count().where(F.col("count") > 1)
+        suspects = write_aside(again.select("_hash"), "duplicate-hashes")
+        if suspects.count() <= max_suspects:
+            rows = rows.join(F.broadcast(suspects), hashed == F.col("_hash"), "left_semi")
+    return rows.groupBy(column).count().where(F.col("count") > 1).select(column)
 
 
 def cross_join_count(frames: Sequence[DataFrame], name: str = "pairs") -> DataFrame:

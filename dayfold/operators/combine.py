@@ -24,6 +24,7 @@ log = logging.getLogger(__name__)
 _TAG = "_metric"
 _NULL_TAG = "_null_metric"
 _COUNTED = "_counted"
+_TERM = "_term"
 
 
 @dataclass(frozen=True)
@@ -82,28 +83,65 @@ def _require_loaded(loaded: Sequence, absent: Sequence[str]) -> None:
 
 
 def outer_combine(
-    frames: Mapping[str, DataFrame | None], key: str | Sequence[str] = "eid"
+    frames: Mapping[str, DataFrame | None],
+    key: str | Sequence[str] = "eid",
+    unique_keys: bool = False,
 ) -> DataFrame:
     """Full outer join of the frames on ``key``, numbers filled with 0.
 
     The mapping goes from metric name to frame; a metric whose frame is absent becomes a
     column of zeros. Null keys match nothing, so each stays a row of its own. Duplicate keys
-    multiply, as in any join.
+    multiply, as in any join, and every join shuffles again.
+
+    With ``unique_keys`` the frames must hold a key once each, as grouped frames do; a key that
+    comes twice is an error. They are then combined by one aggregation, which takes a single
+    shuffle, or none where all frames are already partitioned by the key.
     """
+    keys = _keys(key)
     loaded = [frame for frame in frames.values() if frame is not None]
     absent = [name for name, frame in frames.items() if frame is None]
     _require_loaded(loaded, absent)
-    joined = reduce(lambda left, right: left.join(right, _keys(key), "outer"), loaded)
+    if unique_keys:
+        joined = _aligned(loaded, keys)
+    else:
+        joined = reduce(lambda left, right: left.join(right, keys, "outer"), loaded)
     return fill_zero(_with_absent(joined, absent))
 
 
+def _aligned(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Frames with unique keys side by side: put under one another, one row per key."""
+    rows = [
+        frame.select(*keys, F.lit(i).alias(_TAG), *[c for c in frame.columns if c not in keys])
+        for i, frame in enumerate(frames)
+    ]
+    results = []
+    for i, frame in enumerate(frames):
+        twice = F.count(F.when(F.col(_TAG) == i, 1)) > 1
+        for field in frame.schema.fields:
+            if field.name not in keys:
+                error = F.raise_error(F.lit(f"a key comes twice with {field.name}"))
+                results.append(
+                    F.when(twice, error.cast(field.dataType))
+                    .otherwise(F.max(_of(i, field.name)))
+                    .alias(field.name)
+                )
+    return _per_key(_under_one_another(rows), keys, results)
+
+
+def _per_key(rows: DataFrame, keys: Sequence[str], results: Sequence[Column]) -> DataFrame:
+    """Aggregate tagged rows by key; rows with a null key only with those of their own tag."""
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    tagged = rows.withColumn(_NULL_TAG, F.when(any_null, F.col(_TAG)))
+    return tagged.groupBy(*keys, _NULL_TAG).agg(*results).drop(_NULL_TAG)
+
+
 def combine_sources(sources: Mapping[str, Source], key: str | Sequence[str] = "eid") -> DataFrame:
     """Group every source by ``key`` and combine the metrics, from raw rows, in one shuffle.
 
     Equal to grouping each source by itself and then ``outer_combine``. A bare frame counts
     its rows. Null keys keep apart per metric, because the metric is part of their group.
 
-    Distinct counts add one aggregation before the last: rows are first reduced to the
+    Distinct counts add one shuffle, of no rows but theirs: they are first reduced to the
     distinct (key, metric, term), which also spreads a hot key over its terms.
     """
     keys = _keys(key)
@@ -122,23 +160,9 @@ def combine_sources(sources: Mapping[str, Source], key: str | Sequence[str] = "e
         tag += len(names)
     _require_loaded(branches, absent)
 
-    rows = reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True), [b.rows for b in branches]
-    )
-    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    group = [*keys, _NULL_TAG]
-    rows = rows.withColumn(_NULL_TAG, F.when(any_null, F.col(_TAG)))
-    terms = [b.term for b in branches if b.term]
-    if terms:
-        added = sorted({b.added for b in branches if b.added})
-        distinct = rows.groupBy(*group, _TAG, *terms)
-        rows = (
-            distinct.agg(*[F.sum(c).alias(c) for c in added])
-            if added
-            else rows.select(*group, _TAG, *terms).distinct()
-        )
-    results = [result for b in branches for result in b.results]
-    combined = rows.groupBy(*group).agg(*results).drop(_NULL_TAG)
+    plain = [b.rows for b in branches if not b.distinct]
+    rows = _under_one_another(plain + _reduced([b.rows for b in branches if b.distinct], keys))
+    combined = _per_key(rows, keys, [result for b in branches for result in b.results])
     return fill_zero(_with_absent(combined, absent))
 
 
@@ -146,13 +170,31 @@ def combine_sources(sources: Mapping[str, Source], key: str | Sequence[str] = "e
 class _Branch:
     """Rows of one source, tagged with their metric, and the aggregates to take over all rows.
 
-    ``added`` is the column it sums up and ``term`` the one whose distinct values it counts.
+    The rows of a ``distinct`` branch carry a term, and still have to be reduced.
     """
 
     rows: DataFrame
     results: list[Column]
-    added: str | None = None
-    term: str | None = None
+    distinct: bool = False
+
+
+def _under_one_another(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def _counted(term: Column) -> Column:
+    return F.when(term.isNull(), 0).otherwise(1).cast("long").alias(_COUNTED)
+
+
+def _reduced(frames: Sequence[DataFrame], keys: Sequence[str]) -> list[DataFrame]:
+    """Distinct terms as rows to count; terms of one type share a shuffle."""
+    by_type: dict[DataType, list[DataFrame]] = {}
+    for frame in frames:
+        by_type.setdefault(frame.schema[_TERM].dataType, []).append(frame)
+    return [
+        _under_one_another(alike).distinct().select(*keys, _TAG, _counted(F.col(_TERM)))
+        for alike in by_type.values()
+    ]
 
 
 def _of(tag: int, column: str) -> Column:
@@ -167,42 +209,34 @@ def _category_branch(source: Categories, keys: Sequence[str], first: int) -> _Br
     category = F.col(source.category)
     numbers = {c: first + i for i, c in enumerate(source.names)}
     tag = F.element_at(F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair]), category)
-    rows = source.frame.where(category.isin(list(numbers)))
     if source.value is None:
-        added, value, kind = _COUNTED, F.lit(1).cast("long"), LongType()
+        column, value, kind = _COUNTED, F.lit(1).cast("long"), LongType()
     else:
-        added, value, kind = (
-            f"_total_{first}",
-            F.col(source.value),
-            _sum_type(source.frame, source.value),
-        )
+        column, value = f"_total_{first}", F.col(source.value)
+        kind = _sum_type(source.frame, source.value)
+    rows = source.frame.where(category.isin(list(numbers))).select(
+        *keys, tag.alias(_TAG), value.alias(column)
+    )
     results = [
-        F.sum(_of(numbers[c], added)).cast(kind).alias(name) for c, name in source.names.items()
+        F.sum(_of(numbers[c], column)).cast(kind).alias(name) for c, name in source.names.items()
     ]
-    return _Branch(rows.select(*keys, tag.alias(_TAG), value.alias(added)), results, added=added)
+    return _Branch(rows, results)
 
 
 def _metric_branch(name: str, metric: Metric, keys: Sequence[str], tag: int) -> _Branch:
     if isinstance(metric.term, Column):
         term = metric.term
     else:
-        term = None if metric.term == "*" else F.expr(metric.term)
+        term = F.lit(1) if metric.term == "*" else F.expr(metric.term)
 
     def rows(value: Column) -> DataFrame:
         return metric.frame.select(*keys, F.lit(tag).alias(_TAG), value)
 
-    if metric.aggregate == "count_distinct":
-        column = f"_term_{tag}"
-        return _Branch(
-            rows(term.alias(column)), [F.count(_of(tag, column)).alias(name)], term=column
-        )
     if metric.aggregate == "sum":
         column = f"_total_{tag}"
         result = F.sum(_of(tag, column)).cast(_sum_type(metric.frame, term))
-        return _Branch(rows(term.alias(column)), [result.alias(name)], added=column)
-    counted = F.lit(1) if term is None else F.when(term.isNull(), 0).otherwise(1)
-    return _Branch(
-        rows(counted.cast("long").alias(_COUNTED)),
-        [F.sum(_of(tag, _COUNTED)).alias(name)],
-        added=_COUNTED,
-    )
+        return _Branch(rows(term.alias(column)), [result.alias(name)])
+    result = F.sum(_of(tag, _COUNTED)).alias(name)
+    if metric.aggregate == "count_distinct":
+        return _Branch(rows(term.alias(_TERM)), [result], distinct=True)
+    return _Branch(rows(_counted(term)), [result])

@@ -43,6 +43,11 @@ def combined(spark, sf_dir):
     return outer_combine(_counts(spark, sf_dir, "click", "view", "purchase"))
 
 
+def combined_unique(spark, sf_dir):
+    counts = _counts(spark, sf_dir, "click", "view", "purchase", source=_null_keyed)
+    return outer_combine(counts, unique_keys=True)
+
+
 def combined_missing(spark, sf_dir):
     frames = _counts(spark, sf_dir, "click", "view")
     frames["gift_num"] = load_or_none(lambda: read(spark, sf_dir, "no_such_source"), "gift_num")
@@ -101,6 +106,7 @@ QUERIES = {
     "outer_combine": combined,
     "outer_combine_missing": combined_missing,
     "outer_combine_null_key": combined_null_key,
+    "outer_combine_unique_keys": combined_unique,
     "combine_sources": sources_counts,
     "combine_sources_mixed": sources_mixed,
     "attach_dimension": _attached,
@@ -141,6 +147,7 @@ ORACLES = {
           CAST(0 AS BIGINT) AS gift_num
         FROM click_num FULL JOIN view_num USING (eid)""",
     "outer_combine_null_key": _with_counts(NULL_KEY_SQL),
+    "outer_combine_unique_keys": _with_counts(NULL_KEY_SQL),
     "combine_sources": _with_counts(NULL_KEY_SQL),
     "combine_sources_mixed": "WITH "
     + ", ".join(

@@ -7,7 +7,7 @@ from dayfold.sinks.documents import (
     metrics_upsert,
     upsert_docs,
 )
-from dayfold.sinks.shared import shared_path
+from dayfold.sinks.shared import shared_path, write_aside
 from dayfold.sinks.tables import append_table, write_day, write_day_table, write_text
 
 __all__ = [
@@ -18,6 +18,7 @@ __all__ = [
     "metrics_upsert",
     "shared_path",
     "upsert_docs",
+    "write_aside",
     "write_day",
     "write_day_table",
     "write_text",

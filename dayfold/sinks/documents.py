@@ -6,18 +6,15 @@ the buckets it touches.
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayfold.sinks.shared import shared_path
+from dayfold.sinks.shared import write_aside
 from dayfold.sinks.tables import overwrite_partitions
 
-log = logging.getLogger(__name__)
-
 # The target of the metrics preset and the settings of the search-index connector.
 METRICS_RESOURCE = "mlp/metrics"
 CONNECTOR = "org.elasticsearch.spark.sql"
@@ -129,7 +126,7 @@ def upsert_docs(
         _create(batch, table, buckets, path)
         return
 
-    batch = _aside(batch, "upsert-batch")
+    batch = write_aside(batch, "upsert-batch")
     _add_columns(spark, table, docs, spark.table(table).columns)
     stored = spark.table(table)
     touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]  # at most `buckets`
@@ -137,18 +134,10 @@ def upsert_docs(
         batch.select(id_field), [id_field], "left_anti"
     )
     merged = kept.unionByName(batch, allowMissingColumns=True).select(*stored.columns)
-    ready = _aside(merged.hint("rebalance", BUCKET), "upsert-merged", [BUCKET])
+    ready = write_aside(merged.hint("rebalance", BUCKET), "upsert-merged", [BUCKET])
     overwrite_partitions(ready.select(*stored.columns), table)
 
 
-def _aside(frame: DataFrame, name: str, partitions: Sequence[str] = ()) -> DataFrame:
-    """Write a frame to the shared folder and go on from there."""
-    path = shared_path(frame.sparkSession, name)
-    log.info("writing %s to %s", name, path)
-    frame.write.partitionBy(*partitions).parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
-
-
 def metrics_upsert(
     metrics: DataFrame | Mapping[str, Any],
     id_field: str,

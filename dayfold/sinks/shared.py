@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+
+log = logging.getLogger(__name__)
 
 SETTING = "spark.checkpoint.dir"
 
@@ -22,3 +27,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError(f"set {SETTING} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="dayfold-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def write_aside(frame: DataFrame, name: str, partitions: Sequence[str] = ()) -> DataFrame:
+    """Write a frame to a new path in the shared folder and go on from there.
+
+    What follows is computed once, survives lost executors, and has a known size.
+    """
+    path = shared_path(frame.sparkSession, name)
+    log.info("writing %s to %s", name, path)
+    frame.write.partitionBy(*partitions).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -95,9 +95,16 @@ def test_group_collect_two_keys(spark):
         assert sorted(map(tuple, rows)) == expected
 
 
-def test_find_duplicates(spark):
-    frame = spark.createDataFrame([("a",), ("a",), (None,), (None,), ("b",), ("",)], "v string")
-    assert {r[0] for r in find_duplicates(frame, "v").collect()} == {"a", None}
+@pytest.mark.parametrize("max_suspects", [0, 1000])
+def test_find_duplicates(spark, max_suspects):
+    chooser = random.Random(5)
+    values = [None, None, "", "", "once", "a", "a"] + ["copied"] * 300
+    values += [f"t{chooser.randrange(500)}" for _ in range(600)]
+    expected = {v for v in values if values.count(v) > 1}
+    frame = spark.createDataFrame([(v, 1) for v in values], "v string, n int").repartition(6)
+    found = [r[0] for r in find_duplicates(frame, "v", max_suspects).collect()]
+    assert len(found) == len(expected) and set(found) == expected
+    assert [r[0] for r in find_duplicates(frame, "n").collect()] == [1]
 
 
 def test_theta_join(spark):

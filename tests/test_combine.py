@@ -56,6 +56,23 @@ def test_counts(spark, keys):
     same(combine_sources(frames, keys), outer_combine(literal, keys))
 
 
+@pytest.mark.parametrize("keys", [["eid"], ["eid", "day"]])
+def test_unique_keys_in_one_shuffle(spark, keys):
+    frames = {
+        f"m{i}": group_metrics(random_rows(spark, i), keys, {f"m{i}": "*"}, {f"s{i}": "n"})
+        for i in range(4)
+    }
+    frames["none"] = None
+    same(outer_combine(frames, keys, unique_keys=True), outer_combine(frames, keys))
+
+
+def test_unique_keys_are_checked(spark):
+    a = spark.createDataFrame([(1, 10), (1, 20)], "eid long, a long")
+    b = spark.createDataFrame([(1, 2)], "eid long, b long")
+    with pytest.raises(Exception, match="a key comes twice with a"):
+        outer_combine({"a": a, "b": b}, unique_keys=True).collect()
+
+
 @pytest.mark.parametrize("keys", [["eid"], ["eid", "day"]])
 def test_mixed_metrics(spark, keys):
     a, b, c, d = (random_rows(spark, seed) for seed in (11, 12, 13, 14))

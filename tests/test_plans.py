@@ -13,6 +13,7 @@ from dayfold.operators import (
     combine_sources,
     group_metrics,
     outer_combine,
+    theta_join,
 )
 from dayfold.queries.tables import EVENT_TYPES, enterprise, events_of, read
 
@@ -54,6 +55,12 @@ def test_combining_raw_sources_shuffles_once(static):
     assert (count(combined, "Exchange"), count(combined, "SortMergeJoin")) == (1, 0)
 
 
+def test_combining_grouped_frames_needs_no_shuffle_of_its_own(static):
+    frames = {n: group_metrics(f, counts={n: "*"}) for n, f in sources(static).items()}
+    combined = outer_combine(frames, unique_keys=True)
+    assert (count(combined, "Exchange"), count(combined, "SortMergeJoin")) == (len(frames), 0)
+
+
 def test_categories_are_read_once(static):
     events = read(static, SF_DIR, "events")
     names = {t: f"{t}_sum" for t in EVENT_TYPES}
@@ -93,3 +100,32 @@ def test_null_key_rows_keep_their_own_group(spark):
     frame = spark.createDataFrame([(None,), (None,)], "eid long")
     combined = combine_sources({"a": frame, "b": frame.where(F.lit(True))})
     assert sorted(map(tuple, combined.collect())) == [(0, 0, 2), (0, 2, 0)]
+
+
+SKEW_SETTINGS = {
+    "spark.sql.shuffle.partitions": "32",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+}
+
+
+def test_hot_points_are_split_in_a_theta_join(spark):
+    before = {key: spark.conf.get(key, None) for key in SKEW_SETTINGS}
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)
+    try:
+        number = F.col("id")
+        points = spark.range(0, 300_000, 1, 8).select(
+            number, F.when(number % 3 == 0, 5.0).otherwise((number % 5000) * 1.0).alias("x")
+        )
+        ranges = spark.range(500).select(
+            (number * 10.0).alias("low"), (number * 10.0 + 10.0).alias("high")
+        )
+        joined = theta_join(points, ranges, "x", "low", "high", 10)
+        assert len(joined.collect()) == 300_000
+        assert "SortMergeJoin(skew=true)" in plan(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
