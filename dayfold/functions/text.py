@@ -8,9 +8,10 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Separators of the list and map forms.
-ITEM_SEPARATOR = "\\s*,\\s*"
-PAIR_SEPARATOR = "\\s*:\\s*"
+# Separators of the list and map forms, and the blanks around them that go.
+ITEM_SEPARATOR = ","
+PAIR_SEPARATOR = ":"
+BLANKS = " \t\n\x0b\f\r"
 
 # Characters with a short JSON escape. The backslash comes first, so that the
 # backslashes written by the other escapes are not escaped again.
@@ -38,9 +39,27 @@ def null_or_empty(value: Column) -> Column:
     return value.isNull() | (value == F.lit(""))
 
 
+def _split(value: Column, separator: str) -> Column:
+    """Parts between separators, without the blanks next to a separator.
+
+    Trimming the parts is linear in the text, which a pattern with blanks on both sides of the
+    separator is not on long runs of blanks.
+    """
+    blanks = F.lit(BLANKS)
+
+    def trim(part: Column, at: Column, last: Column) -> Column:
+        opened = F.when(at > 0, F.ltrim(part, blanks)).otherwise(part)
+        return F.when(at < last, F.rtrim(opened, blanks)).otherwise(opened)
+
+    return _bind(
+        F.split(value, separator),
+        lambda parts: F.transform(parts, lambda part, at: trim(part, at, F.size(parts) - 1)),
+    )
+
+
 def csv_list(value: Column) -> Column:
     """Comma separated text as an array without the empty items; null gives an empty array."""
-    items = F.filter(F.split(value, ITEM_SEPARATOR), lambda item: item != F.lit(""))
+    items = F.filter(_split(value, ITEM_SEPARATOR), lambda item: item != F.lit(""))
     return F.coalesce(items, F.array().cast("array<string>"))
 
 
@@ -52,7 +71,7 @@ def _strip_trailing(value: Column, separator: str) -> Column:
 
 
 def _parse_pair(pair: Column) -> Column:
-    parts = F.split(_strip_trailing(pair, ":"), PAIR_SEPARATOR)
+    parts = _split(_strip_trailing(pair, PAIR_SEPARATOR), PAIR_SEPARATOR)
     return _bind(
         parts,
         lambda kv: F.when(
@@ -91,9 +110,9 @@ def csv_map(value: Column) -> Column:
     before another one, and an item without a value are errors.
     """
     text = _strip_trailing(
-        F.coalesce(value, F.raise_error(F.lit("csv_map of null")).cast("string")), ","
+        F.coalesce(value, F.raise_error(F.lit("csv_map of null")).cast("string")), ITEM_SEPARATOR
     )
-    items = F.split(text, ITEM_SEPARATOR)
+    items = _split(text, ITEM_SEPARATOR)
     pairs = F.when(text == F.lit(""), F.array().cast("array<struct<k:string,v:string>>")).otherwise(
         F.transform(items, _parse_pair)
     )

@@ -26,7 +26,8 @@ def group_collect(
     """Values per key in reverse arrival order, where ``order`` tells the arrival.
 
     Gives rows (key, part, values): an array holds at most ``part_rows`` values, and the whole
-    list of a key is its parts one after another. Most keys have the single part 0.
+    list of a key is its parts one after another. Most keys have the single part 0. A part is
+    one value of a row, so choose ``part_rows`` smaller where single values are large.
 
     ``order`` should tell the rows of a key apart; rows that tie go by value.
 

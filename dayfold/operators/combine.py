@@ -145,6 +145,9 @@ def combine_sources(sources: Mapping[str, Source], key: str | Sequence[str] = "e
     distinct (key, metric, term), which also spreads a hot key over its terms.
     """
     keys = _keys(key)
+    every = metric_names(sources)
+    if len(set(every)) < len(every):
+        raise ValueError(f"metrics must have different names: {every}")
     branches: list[_Branch] = []
     absent: list[str] = []
     tag = 0

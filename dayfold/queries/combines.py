@@ -18,64 +18,64 @@ from dayfold.operators import (
 from dayfold.queries.tables import enterprise, events_of, read
 from dayfold.sources import load_or_none
 
-# Users and sessions that become null keys and terms, to show how nulls are treated.
+# The user whose key becomes null, to show how null keys are treated.
 NULL_USER = 3
+THREE = ("click", "view", "purchase")
 
 
-def _source(spark, sf_dir, event_type):
-    return events_of(spark, sf_dir, event_type).select(F.col("user_id").alias("eid"), "props")
+def _source(events, event_type):
+    return events_of(events, event_type).select(F.col("user_id").alias("eid"), "props")
 
 
-def _null_keyed(spark, sf_dir, event_type):
-    return events_of(spark, sf_dir, event_type).select(
-        F.nullif(F.col("user_id"), F.lit(NULL_USER)).alias("eid"), "props", "value", "event_type"
+def _null_keyed(events, event_type):
+    return events_of(events, event_type).select(
+        F.nullif(F.col("user_id"), F.lit(NULL_USER)).alias("eid"), "props", "value"
     )
 
 
-def _counts(spark, sf_dir, *event_types, source=_source):
+def _counts(events, *event_types, source=_source):
     return {
-        f"{t}_num": group_metrics(source(spark, sf_dir, t), counts={f"{t}_num": "*"})
+        f"{t}_num": group_metrics(source(events, t), counts={f"{t}_num": "*"})
         for t in event_types
     }
 
 
 def combined(spark, sf_dir):
-    return outer_combine(_counts(spark, sf_dir, "click", "view", "purchase"))
+    return outer_combine(_counts(read(spark, sf_dir, "events"), *THREE))
 
 
 def combined_unique(spark, sf_dir):
-    counts = _counts(spark, sf_dir, "click", "view", "purchase", source=_null_keyed)
+    counts = _counts(read(spark, sf_dir, "events"), *THREE, source=_null_keyed)
     return outer_combine(counts, unique_keys=True)
 
 
 def combined_missing(spark, sf_dir):
-    frames = _counts(spark, sf_dir, "click", "view")
+    frames = _counts(read(spark, sf_dir, "events"), "click", "view")
     frames["gift_num"] = load_or_none(lambda: read(spark, sf_dir, "no_such_source"), "gift_num")
     return outer_combine(frames)
 
 
 def combined_null_key(spark, sf_dir):
-    return outer_combine(_counts(spark, sf_dir, "click", "view", "purchase", source=_null_keyed))
+    return outer_combine(_counts(read(spark, sf_dir, "events"), *THREE, source=_null_keyed))
 
 
 def sources_counts(spark, sf_dir):
-    return combine_sources(
-        {f"{t}_num": _null_keyed(spark, sf_dir, t) for t in ("click", "view", "purchase")}
-    )
+    events = read(spark, sf_dir, "events")
+    return combine_sources({f"{t}_num": _null_keyed(events, t) for t in THREE})
 
 
 def sources_mixed(spark, sf_dir):
-    both = read(spark, sf_dir, "events").select(
+    events = read(spark, sf_dir, "events")
+    seeds = events.select(
         F.nullif(F.col("user_id"), F.lit(NULL_USER)).alias("eid"), "event_type", "value"
     )
+    sums = {"signup": "signup_sum", "error": "error_sum"}
     mixed = combine_sources(
         {
-            "click_num": Metric(_null_keyed(spark, sf_dir, "click")),
-            "session_num": Metric(_null_keyed(spark, sf_dir, "view"), "count_distinct", "props"),
-            "spent": Metric(_null_keyed(spark, sf_dir, "purchase"), "sum", "value"),
-            "seeds": Categories(
-                both, "event_type", {"signup": "signup_sum", "error": "error_sum"}, "value"
-            ),
+            "click_num": Metric(_null_keyed(events, "click")),
+            "session_num": Metric(_null_keyed(events, "view"), "count_distinct", "props"),
+            "spent": Metric(_null_keyed(events, "purchase"), "sum", "value"),
+            "seeds": Categories(seeds, "event_type", sums, "value"),
             "gift_num": None,
         }
     )
@@ -89,7 +89,8 @@ def sources_mixed(spark, sf_dir):
 
 
 def _attached(spark, sf_dir):
-    counts = group_metrics(_source(spark, sf_dir, "click"), counts={"click_num": "*"})
+    clicks = _source(read(spark, sf_dir, "events"), "click")
+    counts = group_metrics(clicks, counts={"click_num": "*"})
     return attach_dimension(counts, enterprise(spark, sf_dir))
 
 
@@ -128,7 +129,7 @@ THREE_COUNTS_SQL = """
 
 
 def _with_counts(key):
-    counts = [_grouped_sql(f"{t}_num", t, "count(*)", key) for t in ("click", "view", "purchase")]
+    counts = [_grouped_sql(f"{t}_num", t, "count(*)", key) for t in THREE]
     return "WITH " + ", ".join(counts) + THREE_COUNTS_SQL
 
 

@@ -39,7 +39,7 @@ def _message_mix(spark, sf_dir, day_column=None):
     days = [EVENT_DAY] if day_column else []
     events = read(spark, sf_dir, "events")
     mix = message_mix_table(
-        events_of(spark, sf_dir, "signup").selectExpr(EID, SESSION, *days),
+        events_of(events, "signup").selectExpr(EID, SESSION, *days),
         events.selectExpr(EID, SESSION, *days),
         events.selectExpr(EID, "event_type AS messagetype", "value AS count", *days),
         MESSAGE_METRICS,

@@ -12,9 +12,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def events_of(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
+def events_of(events: DataFrame, event_type: str) -> DataFrame:
     """One source: the events of a type."""
-    return read(spark, sf_dir, "events").where(F.col("event_type") == event_type)
+    return events.where(F.col("event_type") == event_type)
 
 
 def enterprise(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -175,6 +175,12 @@ def test_metric_arguments(spark):
         Metric(None, "sum")
 
 
+def test_metric_names_must_differ(spark):
+    frame = random_rows(spark, 1, 5)
+    with pytest.raises(ValueError, match="different names"):
+        combine_sources({"a": frame, "k": Categories(frame, "kind", {"T": "a"})})
+
+
 def test_group_metrics_forms(spark):
     frame = random_rows(spark, 41)
     unnamed = group_metrics(frame, ["eid"], ["*", "session"], ["n"])

@@ -46,6 +46,11 @@ def test_csv_list_random(spark):
     assert apply(spark, D.csv_list, texts) == expected
 
 
+def test_csv_list_long_runs_stay_linear(spark):
+    text = "a" + " " * 300_000 + "b , c" + "\t" * 300_000
+    assert apply(spark, D.csv_list, [text]) == [["a" + " " * 300_000 + "b", "c" + "\t" * 300_000]]
+
+
 def test_csv_map(spark):
     values = ["a : 1 ,b:2", "a:1,a:2:9, , ", "", " a:1", "a::b", ":1", ",", " , ,"]
     assert apply(spark, D.csv_map, values) == [

@@ -44,7 +44,8 @@ def count(frame, operator):
 
 
 def sources(spark):
-    return {f"{t}_num": events_of(spark, SF_DIR, t).selectExpr("user_id AS eid") for t in EVENT_TYPES}
+    events = read(spark, SF_DIR, "events")
+    return {f"{t}_num": events_of(events, t).selectExpr("user_id AS eid") for t in EVENT_TYPES}
 
 
 def test_combining_raw_sources_shuffles_once(static):
