@@ -9,8 +9,12 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dayfold.sinks.shared import write_aside
+
 # How many slices a run over a hot key is cut into at most.
 MAX_SLICES = 4096
+# How many keys of large groups are broadcast at most.
+MAX_LARGE_KEYS = 100_000
 # The slice of rows without an order, which come last in a list.
 NO_ORDER = -1
 
@@ -31,37 +35,55 @@ def group_collect(
 
     ``order`` should tell the rows of a key apart; rows that tie go by value.
 
-    The size of the largest group is measured first. If it fits one part, one aggregation
-    makes the lists. If not, positions are numbered without bringing a group together (see
-    ``_numbered``), so a key with any share of the rows is spread over the cluster.
+    The groups larger than a part are looked up first. Where there are none, one aggregation
+    makes the lists. Rows of large groups get their positions without a group coming together
+    (see ``_numbered``), so a key with any share of the rows is spread over the cluster; the
+    other rows still take the one aggregation. The large keys are broadcast to tell the two
+    apart; if there are too many for that, all rows are numbered.
     """
     keys = [key] if isinstance(key, str) else list(key)
     rows = frame.select(
-        *keys, F.col(order).alias("_order"), F.col(value).alias("_value")
+        F.struct(*keys).alias("_key"), F.col(order).alias("_order"), F.col(value).alias("_value")
     )
-    largest = rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest <= part_rows:
-        listed = F.reverse(F.array_sort(F.collect_list(F.struct("_order", "_value"))))
-        return rows.groupBy(*keys).agg(_values(listed).alias(name)).select(
-            *keys, F.lit(0).cast("long").alias("part"), name
+    sizes = rows.groupBy("_key").count()
+    large = write_aside(sizes.where(F.col("count") > part_rows), "large-groups")
+    large_keys, largest = large.agg(F.count("*"), F.max("count")).first()
+    if large_keys == 0:
+        lists = _whole(rows)
+    elif large_keys <= MAX_LARGE_KEYS:
+        told = F.broadcast(large.select("_key"))
+        lists = _whole(rows.join(told, ["_key"], "left_anti")).unionByName(
+            _in_parts(rows.join(told, ["_key"], "left_semi"), part_rows, largest)
         )
+    else:
+        lists = _in_parts(rows, part_rows, largest)
+    return lists.select("_key.*", "part", F.col("_values").alias(name))
+
+
+def _whole(rows: DataFrame) -> DataFrame:
+    """Lists of groups that fit one part."""
+    listed = F.reverse(F.array_sort(F.collect_list(F.struct("_order", "_value"))))
+    lists = rows.groupBy("_key").agg(_values(listed).alias("_values"))
+    return lists.select("_key", F.lit(0).cast("long").alias("part"), "_values")
+
+
+def _in_parts(rows: DataFrame, part_rows: int, largest: int) -> DataFrame:
+    """Lists of groups of any size, in parts."""
     slices = min(MAX_SLICES, 2 * (largest // part_rows + 1))
-    placed = _numbered(rows, keys, slices).withColumn(
-        "part", F.expr(f"_position div {part_rows}")
-    )
+    placed = _numbered(rows, slices).withColumn("part", F.expr(f"_position div {part_rows}"))
     listed = F.array_sort(F.collect_list(F.struct("_position", "_value")))
-    return placed.groupBy(*keys, "part").agg(_values(listed).alias(name))
+    return placed.groupBy("_key", "part").agg(_values(listed).alias("_values"))
 
 
 def _values(listed: Column) -> Column:
     return F.transform(listed, lambda item: item["_value"])
 
 
-def _numbered(rows: DataFrame, keys: Sequence[str], slices: int) -> DataFrame:
+def _numbered(rows: DataFrame, slices: int) -> DataFrame:
     """Add ``_position``: the place of a row in its key's list, from 0.
 
-    The order column is cut at its quantiles over the whole table, so that a slice holds about
-    one ``slices``-th of all rows, hence also of any key. A place is then the number of rows of
+    The order column is cut at its quantiles over all rows, so that a slice holds about one
+    ``slices``-th of them, hence no more than that of any key. A place is then the number of rows of
     the key in later slices (small counts, summed per key) plus the place inside (key, slice).
     """
     axis = _axis(rows)
@@ -75,7 +97,7 @@ def _numbered(rows: DataFrame, keys: Sequence[str], slices: int) -> DataFrame:
         )
         .transform(rows.withColumn("_axis", axis))
         .withColumn("_slice", F.coalesce(F.col("_slice").cast("int"), F.lit(NO_ORDER)))
-        .select(F.struct(*keys).alias("_key"), "_slice", "_order", "_value")
+        .select("_key", "_slice", "_order", "_value")
     )
     later = Window.partitionBy("_key").orderBy(F.col("_slice").desc()).rowsBetween(
         Window.unboundedPreceding, -1
@@ -94,7 +116,7 @@ def _numbered(rows: DataFrame, keys: Sequence[str], slices: int) -> DataFrame:
         sliced.withColumn("_place", F.row_number().over(inside))
         .join(offsets, ["_key", "_slice"])
         .select(
-            *[F.col("_key")[k].alias(k) for k in keys],
+            "_key",
             "_value",
             (F.col("_offset") + F.col("_place") - 1).alias("_position"),
         )

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dayfold.operators import (
+    collect,
     cross_join_count,
     find_duplicates,
     group_collect,
@@ -51,6 +52,19 @@ def test_group_collect_hot_key(spark, part_rows):
     assert collected(frame, part_rows=part_rows) == brute_lists(rows, part_rows)
 
 
+def test_group_collect_with_too_many_large_keys_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(collect, "MAX_LARGE_KEYS", 2)
+    rows = hot_rows(6, lambda i: i)
+    frame = spark.createDataFrame(rows, "k string, o long, v string")
+    assert collected(frame, part_rows=30) == brute_lists(rows, 30)
+
+
+def test_group_collect_numbers_only_large_groups(spark):
+    rows = hot_rows(7, lambda i: i)
+    frame = spark.createDataFrame(rows, "k string, o long, v string")
+    assert collected(frame, part_rows=200) == brute_lists(rows, 200)
+
+
 def test_group_collect_ties(spark):
     rows = hot_rows(2, lambda i: i % 3)
     frame = spark.createDataFrame(rows, "k string, o int, v string").repartition(5)
