@@ -211,7 +211,8 @@ def _sum_type(frame: DataFrame, value: str | Column) -> DataType:
 def _category_branch(source: Categories, keys: Sequence[str], first: int) -> _Branch:
     category = F.col(source.category)
     numbers = {c: first + i for i, c in enumerate(source.names)}
-    tag = F.element_at(F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair]), category)
+    pairs = [F.lit(item) for pair in numbers.items() for item in pair]
+    tag = F.element_at(F.create_map(*pairs), category)
     if source.value is None:
         column, value, kind = _COUNTED, F.lit(1).cast("long"), LongType()
     else:

@@ -46,9 +46,11 @@ def daily_feature_table(
     """Counts per entity of every source, and each count per user of the entity.
 
     ``sources`` maps metric names to raw rows with the key column ``eid``, already restricted to
-    day ``dt``; sources that share a table can come as one ``Categories``. To fill in many days at once give ``day_column`` instead: the sources then hold
-    it too, and the result has one row per entity and day, as if the days had been run one by
-    one and put together.
+    day ``dt``; sources that share a table can come as one ``Categories``.
+
+    To fill in many days at once give ``day_column`` instead: the sources then hold it too, and
+    the result has one row per entity and day, as if the days had been run one by one and put
+    together.
     """
     if (dt is None) == (day_column is None):
         raise ValueError("give either dt or day_column")

@@ -138,8 +138,9 @@ QUERIES = {
 
 def _escape_sql(text):
     quoted = {"chr(92)": "\\\\", "'\"'": '\\"', "'/'": "\\/"}
-    quoted |= {f"chr({code})": esc for code, esc in ((8, "\\b"), (12, "\\f"), (10, "\\n"), (13, "\\r"), (9, "\\t"))}
-    coded = [c for c in [*range(1, 32), *range(127, 160)] if c not in (8, 9, 10, 12, 13)]
+    short = {8: "\\b", 9: "\\t", 10: "\\n", 12: "\\f", 13: "\\r"}
+    quoted |= {f"chr({code})": escape for code, escape in short.items()}
+    coded = [c for c in [*range(1, 32), *range(127, 160)] if c not in short]
     quoted |= {f"chr({code})": f"\\u{code:04x}" for code in coded}
     return reduce(lambda sql, item: f"replace({sql}, {item[0]}, '{item[1]}')", quoted.items(), text)
 
@@ -161,7 +162,8 @@ ORACLES = {
         SELECT o_orderkey, strftime(o_orderdate - INTERVAL 1 DAY, '%Y%m%d') AS dt FROM orders""",
     "csv_list": f"""
         SELECT doc_id, array_to_string(list_filter(
-          regexp_split_to_array(text, '{SPACE_SQL},{SPACE_SQL}'), lambda item: item <> ''), '|') AS items
+            regexp_split_to_array(text, '{SPACE_SQL},{SPACE_SQL}'),
+            lambda item: item <> ''), '|') AS items
         FROM documents""",
     "csv_map": """
         SELECT p_partkey,

@@ -68,7 +68,8 @@ QUERIES = {
 
 def _feed_sql(day_sql, where=""):
     counts = ", ".join(
-        f"count(*) FILTER (WHERE event_type = '{t}') AS {metric}" for t, metric in FEED_METRICS.items()
+        f"count(*) FILTER (WHERE event_type = '{t}') AS {metric}"
+        for t, metric in FEED_METRICS.items()
     )
     averages = ", ".join(
         f"{metric}, coalesce({metric} / nullif(c_nationkey, 0), 0) AS {metric}_avg"

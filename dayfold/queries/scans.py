@@ -26,7 +26,8 @@ def scan_all(spark, sf_dir):
 
 
 def rename(spark, sf_dir):
-    return rename_column(scan(read(spark, sf_dir, "customer"), ["c_custkey", "c_name"]), "c_name", "ea")
+    customers = scan(read(spark, sf_dir, "customer"), ["c_custkey", "c_name"])
+    return rename_column(customers, "c_name", "ea")
 
 
 def day_scan(spark, sf_dir):

@@ -57,7 +57,7 @@ def latest_per_id(docs: DataFrame, id_field: str, order: str | None = None) -> D
     if not first + others:
         return docs.distinct()
     best = docs.groupBy(id_field).agg(F.max(F.struct(*first, *others)).alias("_doc"))
-    return best.select(*[F.col(id_field) if c == id_field else F.col("_doc")[c].alias(c) for c in docs.columns])
+    return best.select(id_field, "_doc.*").select(*docs.columns)
 
 
 def _bucket(id_column: Column, buckets: int) -> Column:
@@ -107,10 +107,11 @@ def upsert_docs(
     are null in them. Of several documents with one id in a batch the latest by ``order`` counts.
 
     Only the id buckets that occur in the batch are read and rewritten. ``buckets`` counts when
-    the table is created: choose it so that a bucket comes to hold a few gigabytes. The batch is written aside first, so that it is computed once and its
-    size is known to the join. So are the merged buckets, which are then moved in from there:
-    nothing is overwritten while it is being read, and a run that dies in between leaves them
-    complete.
+    the table is created: choose it so that a bucket comes to hold a few gigabytes.
+
+    The batch is written aside first, so that it is computed once and its size is known to the
+    join. So are the merged buckets, which are then moved in from there: nothing is overwritten
+    while it is being read, and a run that dies in between leaves them complete.
     """
     spark = docs.sparkSession
     exists = spark.catalog.tableExists(table)
