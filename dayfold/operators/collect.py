@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
-from math import isfinite
+from math import inf, isfinite, nextafter
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +18,8 @@ MAX_SLICES = 4096
 MAX_LARGE_KEYS = 100_000
 # The slice of rows without an order, which come last in a list.
 NO_ORDER = -1
+# How many bits of the hash cut up the rows of one frequent order.
+TIE_BITS = 8
 
 
 def group_collect(
@@ -33,7 +36,7 @@ def group_collect(
     list of a key is its parts one after another. Most keys have the single part 0. A part is
     one value of a row, so choose ``part_rows`` smaller where single values are large.
 
-    ``order`` should tell the rows of a key apart; rows that tie go by value.
+    Rows of a key with the same order go by the hash of their value, then by value.
 
     The groups larger than a part are looked up first. Where there are none, one aggregation
     makes the lists. Rows of large groups get their positions without a group coming together
@@ -62,7 +65,7 @@ def group_collect(
 
 def _whole(rows: DataFrame) -> DataFrame:
     """Lists of groups that fit one part."""
-    listed = F.reverse(F.array_sort(F.collect_list(F.struct("_order", "_value"))))
+    listed = F.reverse(F.array_sort(F.collect_list(F.struct("_order", _tie(), "_value"))))
     lists = rows.groupBy("_key").agg(_values(listed).alias("_values"))
     return lists.select("_key", F.lit(0).cast("long").alias("part"), "_values")
 
@@ -83,22 +86,12 @@ def _numbered(rows: DataFrame, slices: int) -> DataFrame:
     """Add ``_position``: the place of a row in its key's list, from 0.
 
     The order column is cut at its quantiles over all rows, so that a slice holds about one
-    ``slices``-th of them, hence no more than that of any key. A place is then the number of rows of
-    the key in later slices (small counts, summed per key) plus the place inside (key, slice).
+    ``slices``-th of them, hence no more than that of any key. A single order that holds more
+    gets a slice to itself, which is cut again by the hash that decides ties. A place is then the
+    number of rows of the key in later slices (small counts, summed per key) plus the place
+    inside (key, slice).
     """
-    axis = _axis(rows)
-    steps = [i / slices for i in range(1, slices)]
-    cuts = rows.agg(F.percentile_approx(axis, steps, 10 * slices)).first()[0] or []
-    inner = {cut for cut in cuts if isfinite(cut)} or {0.0}
-    splits = [float("-inf"), *sorted(inner), float("inf")]
-    sliced = (
-        Bucketizer(
-            splits=splits, inputCol="_axis", outputCol="_slice", handleInvalid="keep"
-        )
-        .transform(rows.withColumn("_axis", axis))
-        .withColumn("_slice", F.coalesce(F.col("_slice").cast("int"), F.lit(NO_ORDER)))
-        .select("_key", "_slice", "_order", "_value")
-    )
+    sliced = _sliced(rows, slices)
     later = Window.partitionBy("_key").orderBy(F.col("_slice").desc()).rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -110,27 +103,51 @@ def _numbered(rows: DataFrame, slices: int) -> DataFrame:
         )
     )
     inside = Window.partitionBy("_key", "_slice").orderBy(
-        F.col("_order").desc(), F.col("_value").desc()
+        F.col("_order").desc(), F.col("_tie").desc(), F.col("_value").desc()
     )
     return (
         sliced.withColumn("_place", F.row_number().over(inside))
         .join(offsets, ["_key", "_slice"])
         .select(
-            "_key",
-            "_value",
-            (F.col("_offset") + F.col("_place") - 1).alias("_position"),
+            "_key", "_value", (F.col("_offset") + F.col("_place") - 1).alias("_position")
         )
     )
 
 
-def _axis(rows: DataFrame) -> Column:
-    """The order column as a double; it only has to be monotone, not exact."""
+def _sliced(rows: DataFrame, slices: int) -> DataFrame:
+    """Add ``_slice``, which grows with (order, tie) and is lowest where there is no order."""
+    axis, exact = _axis(rows)
+    steps = [i / slices for i in range(1, slices)]
+    cuts = rows.agg(F.percentile_approx(axis, steps, 10 * slices)).first()[0] or []
+    cuts = Counter(cut for cut in cuts if isfinite(cut))
+    # Beyond 2^53 different orders can meet in one double, so there none is known to be alone.
+    frequent = [c for c, times in cuts.items() if exact and times > 1 and abs(c) < 2**53]
+    inner = sorted({*cuts, *(nextafter(cut, inf) for cut in frequent)} or {0.0})
+    splits = [-inf, *inner, inf]
+    alone = [splits.index(cut) for cut in frequent]
+    bucketed = Bucketizer(
+        splits=splits, inputCol="_axis", outputCol="_slice", handleInvalid="keep"
+    ).transform(rows.withColumns({"_axis": axis, "_tie": _tie()}))
+    coarse = F.coalesce(F.col("_slice").cast("int"), F.lit(NO_ORDER))
+    fine = F.shiftright("_tie", 64 - TIE_BITS) + 2 ** (TIE_BITS - 1)
+    fine = F.when(coarse.isin(NO_ORDER, *alone), fine).otherwise(0).cast("int")
+    return bucketed.select(
+        "_key", "_order", "_tie", "_value", (coarse * 2**TIE_BITS + fine).alias("_slice")
+    )
+
+
+def _tie() -> Column:
+    return F.xxhash64("_value")
+
+
+def _axis(rows: DataFrame) -> tuple[Column, bool]:
+    """The order column as a monotone double, and whether different orders stay different."""
     kind = rows.schema["_order"].dataType.typeName()
     order = F.col("_order")
     if kind in ("byte", "short", "integer", "long", "float", "double", "decimal"):
-        return order.cast("double")
+        return order.cast("double"), kind != "decimal"
     if kind == "date":
-        return F.unix_date(order).cast("double")
+        return F.unix_date(order).cast("double"), True
     if kind in ("timestamp", "timestamp_ntz"):
-        return F.unix_micros(order.cast("timestamp")).cast("double")
+        return F.unix_micros(order.cast("timestamp")).cast("double"), True
     raise TypeError(f"a list cannot be ordered by a column of type {kind} beyond one part")

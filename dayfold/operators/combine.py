@@ -93,8 +93,8 @@ def outer_combine(
     column of zeros. Null keys match nothing, so each stays a row of its own. Duplicate keys
     multiply, as in any join, and every join shuffles again.
 
-    With ``unique_keys`` the frames must hold a key once each, as grouped frames do; a key that
-    comes twice is an error. They are then combined by one aggregation, which takes a single
+    With ``unique_keys`` the frames must hold a key (and null) once each, as grouped frames do; a
+    key that comes twice is an error. They are then combined by one aggregation, which takes a single
     shuffle, or none where all frames are already partitioned by the key.
     """
     keys = _keys(key)

@@ -5,6 +5,7 @@ from collections import defaultdict
 from datetime import date, datetime, timedelta
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from dayfold.operators import (
@@ -15,17 +16,23 @@ from dayfold.operators import (
     preview_rows,
     theta_join,
 )
+from dayfold.operators.collect import _sliced
+
+
+def tie(value):
+    """The hash that decides between rows of the same order."""
+    digest = 42 if value is None else xxhash.xxh64(value.encode(), seed=42).intdigest()
+    return digest - 2**64 if digest >= 2**63 else digest
 
 
 def brute_lists(rows, part_rows):
-    """Rows (key, order, value): newest first, nulls last, ties by value."""
+    """Rows (key, order, value): newest first, nulls last, ties by hash and value."""
     groups = defaultdict(list)
     for key, order, value in rows:
-        groups[key].append((order is not None, order, value is not None, value))
+        groups[key].append((order is not None, order or 0, tie(value), value))
     lists = {}
     for key, items in groups.items():
-        items.sort(key=lambda x: (x[0], x[1] or type(x[1])() if x[0] else 0, x[2], x[3] or ""))
-        values = [item[3] for item in reversed(items)]
+        values = [item[3] for item in sorted(items, key=lambda item: item[:3], reverse=True)]
         for start in range(0, len(values), part_rows):
             lists[key, start // part_rows] = values[start : start + part_rows]
     return lists
@@ -65,9 +72,28 @@ def test_group_collect_numbers_only_large_groups(spark):
     assert collected(frame, part_rows=200) == brute_lists(rows, 200)
 
 
-def test_group_collect_ties(spark):
-    rows = hot_rows(2, lambda i: i % 3)
+@pytest.mark.parametrize("kind", ["int", "double", "decimal(20,2)"])
+@pytest.mark.parametrize("orders", [1, 3, 40])
+def test_group_collect_ties(spark, kind, orders):
+    rows = hot_rows(2, lambda i: i % orders)
     frame = spark.createDataFrame(rows, "k string, o int, v string").repartition(5)
+    frame = frame.withColumn("o", F.col("o").cast(kind))
+    assert collected(frame, part_rows=50) == brute_lists(rows, 50)
+
+
+def test_a_frequent_order_is_cut_up(spark):
+    rows = spark.range(20_000).select(
+        F.struct(F.lit("hot").alias("k")).alias("_key"),
+        F.when(F.col("id") % 4 > 0, 7).alias("_order"),
+        F.col("id").cast("string").alias("_value"),
+    )
+    sizes = [r["count"] for r in _sliced(rows, 10).groupBy("_key", "_slice").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 150
+
+
+def test_group_collect_orders_beyond_doubles(spark):
+    rows = hot_rows(8, lambda i: 2**62 + i % 50)
+    frame = spark.createDataFrame(rows, "k string, o long, v string").repartition(5)
     assert collected(frame, part_rows=50) == brute_lists(rows, 50)
 
 
@@ -93,7 +119,7 @@ def test_group_collect_edges(spark):
     assert collected(empty) == {}
     assert collected(empty, part_rows=1) == {}
     unordered = spark.createDataFrame([("a", None, "x"), ("a", None, "y")], "k string, o long, v string")
-    assert collected(unordered, part_rows=1) == {("a", 0): ["y"], ("a", 1): ["x"]}
+    assert collected(unordered, part_rows=1) == brute_lists([("a", None, "x"), ("a", None, "y")], 1)
     texts = spark.createDataFrame([("a", "1", "x"), ("a", "2", "y")], "k string, o string, v string")
     assert collected(texts) == {("a", 0): ["y", "x"]}
     with pytest.raises(TypeError, match="string"):
