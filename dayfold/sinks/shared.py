@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import logging
-import tempfile
 import uuid
-
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,28 +11,43 @@ from pyspark.sql import DataFrame, SparkSession
 log = logging.getLogger(__name__)
 
 SETTING = "spark.checkpoint.dir"
+WAREHOUSE = "spark.sql.warehouse.dir"
+ASIDE = "_aside"
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path under ``spark.checkpoint.dir``.
+    """A new path under ``spark.checkpoint.dir``, or else under the warehouse.
 
-    Where the setting is missing, a local session gets a temporary folder; a cluster has no
-    folder of this machine to fall back on, so there it is an error.
+    Both are folders that all executors share; a folder of this machine is never taken.
     """
-    root = spark.conf.get(SETTING, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {SETTING} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="dayfold-")
+    root = spark.conf.get(SETTING, None) or f"{spark.conf.get(WAREHOUSE).rstrip('/')}/{ASIDE}"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def write_aside(frame: DataFrame, name: str, partitions: Sequence[str] = ()) -> DataFrame:
+def write_aside(
+    frame: DataFrame, name: str, partitions: Sequence[str] = (), compression: str | None = None
+) -> DataFrame:
     """Write a frame to a new path in the shared folder and go on from there.
 
     What follows is computed once, survives lost executors, and has a known size.
     """
-    path = shared_path(frame.sparkSession, name)
-    log.info("writing %s to %s", name, path)
-    frame.write.partitionBy(*partitions).parquet(path)
+    return write_to(frame, shared_path(frame.sparkSession, name), partitions, compression)
+
+
+def write_to(
+    frame: DataFrame, path: str, partitions: Sequence[str] = (), compression: str | None = None
+) -> DataFrame:
+    """As ``write_aside``, to a given new path, for whoever removes it afterwards."""
+    log.info("writing to %s", path)
+    writer = frame.write.partitionBy(*partitions)
+    if compression is not None:
+        writer = writer.option("compression", compression)
+    writer.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete exactly ``path``, through the file system it belongs to."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
