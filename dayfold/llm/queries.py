@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from dayfold.llm import byte_bpe, exact_dedup, mixing, quality, secrets, token_output
+from dayfold.llm import (
+    byte_bpe,
+    embeddings,
+    exact_dedup,
+    jaccard,
+    mixing,
+    quality,
+    secrets,
+    token_output,
+)
 
 
 def _read(spark, sf_dir, name):
@@ -15,6 +24,11 @@ def op1_token_output(spark, sf_dir):
     return token_output.token_digests(written, ids)
 
 
+def op3_jaccard_join(spark, sf_dir):
+    """Classes of documents that share most of their shingles."""
+    return jaccard.similar_documents(_read(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark, sf_dir):
     """Encode every text and decode its ids."""
     return byte_bpe.round_trip(_read(spark, sf_dir, "documents"))
@@ -45,13 +59,20 @@ def op9_quality(spark, sf_dir):
     return quality.quality_scores(docs, model)
 
 
+def op10_embedding_dedup(spark, sf_dir):
+    """Links and components of all vectors."""
+    return embeddings.near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_secret_scan": op6_secret_scan,
     "op7_source_mixing": op7_source_mixing,
     "op9_quality": op9_quality,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 ORACLES = {}
