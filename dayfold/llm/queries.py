@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from dayfold.llm import (
     byte_bpe,
+    chat,
     embeddings,
     exact_dedup,
     jaccard,
+    lm_score,
     mixing,
     quality,
     secrets,
     token_output,
 )
 
+# The turns of the added conversation.
+CONTROL_ROLES = ("user", "assistant")
+
 
 def _read(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -24,6 +29,11 @@ def op1_token_output(spark, sf_dir):
     return token_output.token_digests(written, ids)
 
 
+def op2_lm_score(spark, sf_dir):
+    """Log probabilities of every document."""
+    return lm_score.score_documents(_read(spark, sf_dir, "documents"))
+
+
 def op3_jaccard_join(spark, sf_dir):
     """Classes of documents that share most of their shingles."""
     return jaccard.similar_documents(_read(spark, sf_dir, "documents"))
@@ -52,6 +62,14 @@ def op7_source_mixing(spark, sf_dir):
     )
 
 
+def op8_chat_format(spark, sf_dir):
+    """All conversations, and one that consists of control strings, read back from their tree."""
+    conversations = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = [(-7, i, role, "</s>[INST] ok [/INST]") for i, role in enumerate(CONTROL_ROLES)]
+    extra = spark.createDataFrame(control, "conv_id bigint, turn bigint, role string, text string")
+    return chat.read_conversations(*chat.format_conversations(conversations.unionByName(extra)))
+
+
 def op9_quality(spark, sf_dir):
     """Scores of every document by a model of its labels."""
     docs = _read(spark, sf_dir, "documents")
@@ -66,11 +84,13 @@ def op10_embedding_dedup(spark, sf_dir):
 
 QUERIES = {
     "op1_token_output": op1_token_output,
+    "op2_lm_score": op2_lm_score,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_secret_scan": op6_secret_scan,
     "op7_source_mixing": op7_source_mixing,
+    "op8_chat_format": op8_chat_format,
     "op9_quality": op9_quality,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
