@@ -219,11 +219,13 @@ def decode_documents(encoded: DataFrame, path: str = RANKS) -> DataFrame:
     )
 
 
-def round_trip(docs: DataFrame, path: str = RANKS) -> DataFrame:
+def round_trip(docs: DataFrame, path: str = RANKS, with_ids: bool = False) -> DataFrame:
     """Digests of the ids of each text and of the bytes decoded from those ids.
 
-    The same as ``decode_documents(encode_documents(docs))``, in one pass over the rows.
+    The same as ``decode_documents(encode_documents(docs))``, in one pass over the rows;
+    ``with_ids`` adds the ids themselves.
     """
+    schema = ROUND_TRIP.append(pa.field("ids", pa.binary())) if with_ids else ROUND_TRIP
 
     def both(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path)
@@ -231,15 +233,18 @@ def round_trip(docs: DataFrame, path: str = RANKS) -> DataFrame:
             ids = [bpe.encode(text) for text in texts(batch.column("text"))]
             content = [bpe.decode(np.frombuffer(x, "<u4").tolist()) for x in ids]
             yield batch_of(
-                ROUND_TRIP,
+                schema,
                 doc_id=batch.column("doc_id").to_pylist(),
                 n_tokens=[len(x) // 4 for x in ids],
                 ids_sha256=[hashlib.sha256(x).hexdigest() for x in ids],
                 decoded_sha256=[hashlib.sha256(x).hexdigest() for x in content],
                 n_bytes=[len(x) for x in content],
+                ids=ids,
             )
 
+    kinds = (
+        "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_bytes bigint"
+    )
     return exact_columns(docs, "doc_id", "text").mapInArrow(
-        both,
-        "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_bytes bigint",
+        both, f"{kinds}, ids binary" if with_ids else kinds
     )

@@ -6,8 +6,10 @@ unigram probabilities, computed by a forward recursion in log space. Characters
 spelled out in the vocabulary's byte pieces, so no text is impossible. A document is its words
 and an end; as every piece lies within one word, its log probability is the sum of theirs.
 
-The scores of the pieces are fitted to the training documents by expectation maximisation over
-the counts of their words.
+The scores of the pieces are fitted to the training words by expectation maximisation. A word
+that was met in training is also an arc of its own over the whole of it: each count gives up a
+discount, and what all of them give up is the weight of the lattice of pieces, which therefore is
+fitted to words as such, each counting once. The probabilities of all texts add up to one.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ START = "▁"
 FOLDS, HELD_OUT = 7, 2
 # The end of a document, which no word equals.
 END = b""
-ROUNDS = 2
+ROUNDS = 3
 # Added to the expected count of every piece.
 SMOOTH = 0.01
 # Frequent words that are sent to every task, and how long each may be; a bound of about 20 MB.
@@ -180,19 +182,36 @@ def by_length(words: Sequence[bytes]) -> Iterator[tuple[np.ndarray, list[str]]]:
 
 @dataclass(frozen=True)
 class SubwordModel:
-    """Log probabilities (natural) of the pieces and of the end of a document."""
+    """Log probabilities (natural) of the pieces; the discount, and the training counts."""
 
     pieces: Pieces
     scores: np.ndarray
-    end: float
+    discount: float
+    tokens: int
+    distinct: int
 
-    def word_scores(self, words: Sequence[bytes]) -> np.ndarray:
-        """log10 probability of each word, over all ways to cut it."""
+    def lattice(self, words: Sequence[bytes]) -> np.ndarray:
+        """Natural log probability of each word, over all ways to cut it into pieces."""
         found = np.zeros(len(words))
         for places, texts in by_length(words):
             found[places] = Lattice(self.pieces, texts, self.scores).forward()[-1]
-        found[[i for i, word in enumerate(words) if word == END]] = self.end
-        return found / log(10)
+        return found
+
+    def word_scores(self, words: Sequence[bytes], counts: np.ndarray) -> np.ndarray:
+        """log10 probability of each word that came ``counts`` times in training.
+
+        With nothing to learn from, the lattice is all there is, and the end is certain.
+        """
+        found = self.lattice(words)
+        ends = np.array([word == END for word in words], bool)
+        if not self.tokens:
+            return np.where(ends, 0.0, found) / log(10)
+        found += log(self.discount * self.distinct / self.tokens)
+        found[ends] = -np.inf
+        # The end is never an unknown word; where it was not met, it counts as met once.
+        counts = np.where(ends, np.maximum(counts, 1), counts)
+        whole = np.maximum(counts - self.discount, 1e-300) / self.tokens
+        return np.where(counts > 0, np.logaddexp(found, np.log(whole)), found) / log(10)
 
 
 COUNTED = pa.schema([("word", pa.binary()), ("c", pa.int64()), ("uses", pa.int64())])
@@ -234,20 +253,20 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def _expectation(words: DataFrame, pieces: Pieces, scores: np.ndarray) -> np.ndarray:
-    """Expected counts of all pieces over the training words."""
+    """Expected counts of all pieces over the training words, each of which counts once."""
 
     def expect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(pieces.number)
         for batch in batches:
-            times = np.asarray(batch.column("c"), np.float64)
             for places, texts in by_length(batch.column("word").to_pylist()):
-                counts += Lattice(pieces, texts, scores).expected(times[places], pieces.number)
+                once = np.ones(len(places))
+                counts += Lattice(pieces, texts, scores).expected(once, pieces.number)
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(some, pa.int64()), pa.array(counts[some])], schema=EXPECTED
         )
 
-    learned = words.where((F.col("c") > 0) & (F.length("word") > 0)).select("word", "c")
+    learned = words.where((F.col("c") > 0) & (F.length("word") > 0)).select("word")
     found = learned.mapInArrow(expect, "piece bigint, n double")
     counts = np.zeros(pieces.number)
     for piece, n in found.groupBy("piece").agg(F.sum("n")).collect():  # bounded by the pieces
@@ -256,21 +275,22 @@ def _expectation(words: DataFrame, pieces: Pieces, scores: np.ndarray) -> np.nda
 
 
 def fit(words: DataFrame, path: str = VOCABULARY, rounds: int = ROUNDS) -> SubwordModel:
-    """Scores of the pieces from a written table of ``word_counts``.
+    """The model from a written table of ``word_counts``.
 
-    The first round starts from equal scores per character, so that long pieces are not out of
-    reach.
+    The rounds start from equal scores, where fewer pieces are likelier. The discount is the
+    usual estimate from how many words were met once and twice.
     """
     pieces = load_pieces(path)
-    ends = words.where(F.length("word") == 0).agg(F.sum("c")).first()[0] or 0
+    c = F.col("c")
+    tokens, distinct, once, twice = words.agg(
+        F.sum(c), F.count_if(c > 0), F.count_if(c == 1), F.count_if(c == 2)
+    ).first()
+    discount = (once + 0.5) / (once + 2 * twice + 1)
     scores = np.full(pieces.number, -log(pieces.number))
-    total = 0.0
     for _ in range(rounds):
         counts = _expectation(words, pieces, scores) + SMOOTH
-        total = counts.sum() + ends + SMOOTH
-        scores = np.log(counts / total)
-    end = log((ends + SMOOTH) / total) if rounds else -log(pieces.number)
-    return SubwordModel(pieces, scores, end)
+        scores = np.log(counts / counts.sum())
+    return SubwordModel(pieces, scores, discount, tokens or 0, distinct)
 
 
 ROWS = pa.schema(
@@ -316,15 +336,15 @@ def score_documents(
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = model.word_scores(batch.column("word").to_pylist())
+            counts = np.asarray(batch.column("c"))
+            found = model.word_scores(batch.column("word").to_pylist(), counts)
             yield batch.append_column("score", pa.array(found))
 
     table = write_aside(
         words.mapInArrow(score, "word binary, c bigint, uses bigint, score double"), "lm-scores"
     )
-    total, distinct = table.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
-    total = total or 0
-    below = log10(total + distinct + 1)
+    total = model.tokens
+    below = log10(total + model.distinct + 1)
     top = (
         table.where(F.length("word") <= FREQUENT_BYTES)
         .orderBy(F.desc("uses"), "word").limit(FREQUENT).select("word", "c", "score").collect()
