@@ -9,6 +9,7 @@ control byte, a masked copy, and a lookup of the ids by rank.
 from __future__ import annotations
 
 import json
+import struct
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
@@ -35,6 +36,8 @@ MEMO_LENGTH = 64
 TOGETHER = 4096
 # A character that no normaliser changes or joins to others, between such chunks.
 SEPARATOR = "\x01"
+# Below this character all are assigned, and have been for long.
+FIRST_OPEN = "\u0250"
 
 # The lengths of the four values that a control byte describes.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
@@ -93,11 +96,19 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def packed_ids(ids: Sequence[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def _common(chunk: bytes) -> bool:
     """Whether all characters have the same class in every recent version of Unicode."""
     if chunk.isascii():
         return SEPARATOR.encode() not in chunk
-    return not any(c == SEPARATOR or category(c) == "Cn" for c in chunk.decode("utf-8", "replace"))
+    text = chunk.decode("utf-8", "replace")
+    if max(text) < FIRST_OPEN:
+        return SEPARATOR not in text
+    return not any(c == SEPARATOR or category(c) == "Cn" for c in text)
 
 
 class WordEncoder:
@@ -121,14 +132,13 @@ class WordEncoder:
 
     def encode_all(self, text: str) -> bytes:
         """The ids of a text without the memory."""
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        return packed_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
             letters = "".join(map(self.letters.__getitem__, piece.encode()))
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
+            ids = packed_ids([t.id for t in self.tokenizer.model.tokenize(letters)])
             if len(piece) <= MEMO_LENGTH:
                 self.pieces[piece] = ids
         return ids
@@ -184,6 +194,7 @@ PACKED = pa.schema(
     [
         ("doc_id", pa.int64()),
         ("n_tokens", pa.int64()),
+        ("ids_crc", pa.int64()),
         ("control", pa.binary()),
         ("data", pa.binary()),
     ]
@@ -211,7 +222,7 @@ def tokenised(docs: DataFrame, path: str = TOKENIZER, end_id: int = END_ID) -> D
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = loaded(path)
-        end = np.array([end_id], "<u4").tobytes()
+        end = packed_ids([end_id])
         for batch in slices(batches):
             ids = [x + end for x in encoder.encode(list(text_bytes(batch.column("text"))))]
             if max(encoder.size, end_id + 1) <= 1 << 16:
@@ -226,13 +237,13 @@ def write_tokens(
 ) -> tuple[DataFrame, np.ndarray]:
     """Write the ids of all documents in ascending doc_id order; the written table and its ids.
 
-    The table has (doc_id, n_tokens, control, data, part, place, before): ``before`` is the
-    number of ids of all documents before, (``part``, ``place``) the order in the files. The
+    The table has (doc_id, n_tokens, ids_crc, control, data, part, place, before): ``before`` is
+    the number of ids of all documents before, (``part``, ``place``) the order in the files. The
     array holds the id of each rank.
 
     ``docs`` has doc_id, text and any other columns. A null or empty text has only the end id;
     rows without doc_id come first; rows with one doc_id follow one another by length and
-    content, so that repeated rows all appear; an empty table gives an empty one. Texts are
+    checksum, so that repeated rows all appear; an empty table gives an empty one. Texts are
     encoded whole, and a row of the table is a document, whatever its length.
 
     The ids are encoded once and written aside. Their counts are summed in the tasks before one
@@ -271,12 +282,15 @@ def write_tokens(
                 PACKED,
                 doc_id=batch.column("doc_id").to_pylist(),
                 n_tokens=sizes,
+                ids_crc=[zlib.crc32(data[a:b]) for a, b in zip(ends[:-1], ends[1:])],
                 control=control,
                 data=packed,
             )
 
-    rows = tokens.mapInArrow(encode, "doc_id bigint, n_tokens bigint, control binary, data binary")
-    order = ["doc_id", "n_tokens", "data"]
+    rows = tokens.mapInArrow(
+        encode, "doc_id bigint, n_tokens bigint, ids_crc bigint, control binary, data binary"
+    )
+    order = ["doc_id", "n_tokens", "ids_crc"]
     return in_order(rows, order, "n_tokens", "token-files", compression="none"), ids
 
 
