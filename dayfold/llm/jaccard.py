@@ -233,7 +233,9 @@ def _candidates(nodes: DataFrame) -> DataFrame:
     for depth in range(DEPTH):
         rows = rows.select("node", F.xxhash64("path", "token").alias("path"), "next")
         sizes = rows.groupBy("path").agg(F.count("*").alias("members"))
-        met = rows.join(sizes.where(F.col("members") > 1), ["path"])
+        # Written, so that the join has shuffles of its own, which can be split where skewed.
+        sizes = write_aside(sizes.where(F.col("members") > 1), "jaccard-sizes")
+        met = rows.join(sizes, ["path"])
         met = write_aside(met, "jaccard-buckets")
         last = depth == DEPTH - 1
         done = met if last else met.where(F.col("members") <= SMALL)
