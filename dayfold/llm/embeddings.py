@@ -238,7 +238,9 @@ def near_duplicates(
     codes = write_aside(banded(nodes, width, number), "embedding-codes")
     placed = codes.select("node", F.explode("buckets").alias("bucket"))
     counts = placed.groupBy("bucket").agg(F.count("*").alias("members"))
-    met = placed.join(counts.where(F.col("members") > 1), ["bucket"])
+    # Written, so that the join has shuffles of its own, which can be split where skewed.
+    counts = write_aside(counts.where(F.col("members") > 1), "embedding-buckets")
+    met = placed.join(counts, ["bucket"])
     met = met.join(codes.select("node", "code", one), ["node"])
     candidates = linked(in_blocks(met, "bucket", "members", BLOCK), "bucket", _few_bits(threshold))
     groups = components(candidates, "embedding-candidates")
