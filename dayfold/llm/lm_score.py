@@ -18,7 +18,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
-from math import log, log10
+from math import ceil, log, log10
 
 import numpy as np
 import public_tokenizers
@@ -293,6 +293,23 @@ def fit(words: DataFrame, path: str = VOCABULARY, rounds: int = ROUNDS) -> Subwo
     return SubwordModel(pieces, scores, discount, tokens or 0, distinct)
 
 
+def _least_uses(table: DataFrame) -> int:
+    """From how many uses on there are at most FREQUENT words.
+
+    Counted by steps of an eighth of an octave, so that little more than a number per step is
+    gathered, however many words there are.
+    """
+    step = F.floor(F.log2("uses") * 8).alias("step")
+    steps = table.groupBy(step).count().collect()  # at most 8 * 64 rows
+    least, words = 1 << 62, 0
+    for row in sorted(steps, key=lambda r: -r[0]):
+        words += row[1]
+        if words > FREQUENT:
+            break
+        least = row[0]
+    return least if least == 1 << 62 else ceil(2 ** (least / 8) - 1e-6)
+
+
 ROWS = pa.schema(
     [
         ("row", pa.int64()),
@@ -345,10 +362,8 @@ def score_documents(
     )
     total = model.tokens
     below = log10(total + model.distinct + 1)
-    top = (
-        table.where(F.length("word") <= FREQUENT_BYTES)
-        .orderBy(F.desc("uses"), "word").limit(FREQUENT).select("word", "c", "score").collect()
-    )
+    short = table.where(F.length("word") <= FREQUENT_BYTES)
+    top = short.where(F.col("uses") >= _least_uses(short)).select("word", "c", "score").collect()
     place = {bytes(row[0]): i for i, row in enumerate(top)}
     counts = np.array([row[1] for row in top] + [0], np.float64)
     logs = np.array([row[2] for row in top] + [0.0])
