@@ -174,7 +174,10 @@ def format_conversations(
     all conversations share is one row per task in the minimum that finds its owner.
     """
     steps = write_aside(_steps(conversations), "chat-steps")
-    owners = steps.groupBy("node").agg(F.min("conv").alias("owner"))
+    # Written, so that the join has shuffles of its own, which can be split where skewed.
+    owners = write_aside(
+        steps.groupBy("node").agg(F.min("conv").alias("owner")), "chat-owners"
+    )
     owned = write_aside(
         steps.select("conv", "depth", "node").join(owners, ["node"]).drop("node"), "chat-owned"
     )
@@ -197,7 +200,9 @@ def format_conversations(
         ).alias("way"),
     )
     own = owned.where(F.col("owner") == F.col("conv")).select("conv", "depth")
-    segments = _segments(steps.join(own, ["conv", "depth"]), path).join(places, ["conv"])
+    # Written, because the range sort samples what it sorts, which would encode it twice.
+    segments = write_aside(_segments(steps.join(own, ["conv", "depth"]), path), "chat-segments")
+    segments = segments.join(places, ["conv"])
     written = in_order(segments, ["tree", "way", "depth"], "n_tokens", "chat-order")
     written = written.select(
         "conv", "depth", "ids", "n_tokens", "loss_from", "loss_to", F.col("before").alias("start")

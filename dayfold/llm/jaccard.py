@@ -347,7 +347,10 @@ def _classes(signed: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame
 
 
 def drop_similar(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one document of each class."""
+    """The rows of ``docs`` that stay, with all their columns: one document of each class.
+
+    Rows with one doc_id (null is one as well) stay when any of them does.
+    """
     names = docs.columns
     place = names.index("doc_id")
     plain = docs.toDF(*[f"_{i}" for i in range(len(names))])

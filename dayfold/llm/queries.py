@@ -46,7 +46,7 @@ def op4_byte_bpe(spark, sf_dir):
 
 def op5_exact_dedup(spark, sf_dir):
     """Groups of equal texts."""
-    return exact_dedup.exact_duplicates(_read(spark, sf_dir, "documents"))
+    return exact_dedup.exact_duplicates(_read(spark, sf_dir, "documents")).drop("copies_of_id")
 
 
 def op6_secret_scan(spark, sf_dir):
@@ -67,7 +67,8 @@ def op8_chat_format(spark, sf_dir):
     conversations = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = [(-7, i, role, "</s>[INST] ok [/INST]") for i, role in enumerate(CONTROL_ROLES)]
     extra = spark.createDataFrame(control, "conv_id bigint, turn bigint, role string, text string")
-    return chat.read_conversations(*chat.format_conversations(conversations.unionByName(extra)))
+    tree, paths = chat.format_conversations(conversations.unionByName(extra))
+    return chat.read_conversations(tree, paths).drop("formatted_tokens")
 
 
 def op9_quality(spark, sf_dir):
@@ -95,4 +96,81 @@ QUERIES = {
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 
-ORACLES = {}
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+PLAIN_SQL = f"translate(coalesce(text, ''), '{LETTERS}', '{LETTERS.lower()}')"
+COMPONENTS_SQL = """
+        reach AS (
+          SELECT DISTINCT a AS node, a AS other FROM links
+          UNION
+          SELECT reach.node, links.b FROM reach JOIN links ON reach.other = links.a),
+        classes AS (SELECT node, min(other) AS class FROM reach GROUP BY node)"""
+
+ORACLES = {
+    "op3_jaccard_join": f"""
+        WITH RECURSIVE words AS (
+          SELECT doc_id, list_filter(
+            regexp_split_to_array({PLAIN_SQL}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+          FROM documents),
+        shingles AS (
+          SELECT DISTINCT doc_id, unnest(list_transform(
+            range(1, greatest(2, len(w) - 3)), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+          FROM words WHERE len(w) > 0),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (
+          SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+          FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+        pairs AS (
+          SELECT a, b, shared.n = p.n AND shared.n = q.n AS same
+          FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+          WHERE 9 * shared.n >= 4 * (p.n + q.n)
+          UNION ALL
+          SELECT x.doc_id, y.doc_id, true FROM words x JOIN words y ON x.doc_id <> y.doc_id
+          WHERE len(x.w) = 0 AND len(y.w) = 0),
+        links AS (SELECT a, b FROM pairs), {COMPONENTS_SQL}
+        SELECT w.doc_id, coalesce(class, w.doc_id) AS class_id,
+          coalesce(links, 0) AS n_links, coalesce(class, w.doc_id) = w.doc_id AS kept,
+          coalesce(n, 0) AS n_shingles, 1 + coalesce(same, 0) AS n_same
+        FROM words w LEFT JOIN sizes USING (doc_id) LEFT JOIN classes ON node = w.doc_id
+        LEFT JOIN (SELECT a, count(*) AS links, count(*) FILTER (WHERE same) AS same
+                   FROM pairs GROUP BY a) ON a = w.doc_id""",
+    "op5_exact_dedup": f"""
+        SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+          doc_id = max(doc_id) OVER w AS kept, sha256(plain) AS text_sha256
+        FROM (SELECT doc_id, {PLAIN_SQL} AS plain FROM documents)
+        WINDOW w AS (PARTITION BY plain)""",
+    "op8_chat_format": r"""
+        WITH turns AS (
+          SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+          FROM conversations
+          UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+          UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        long AS (
+          SELECT *, length(regexp_replace(role || text,
+            '(\\|<\||\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>)', '_\1', 'g')) + 8 AS n
+          FROM turns)
+        SELECT conv_id, count(*) AS n_turns,
+          sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+            AS turns_sha256,
+          CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT)
+            AS loss_chars,
+          sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, ''
+            ORDER BY turn, role, text)) AS loss_sha256,
+          CAST(sum(n) AS BIGINT) AS formatted_chars
+        FROM long GROUP BY conv_id""",
+    "op10_embedding_dedup": f"""
+        WITH RECURSIVE able AS (
+          SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+          WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL)) = 0
+            AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        pairs AS (
+          SELECT x.vec_id AS a, y.vec_id AS b, x.v = y.v AS same
+          FROM able x JOIN able y ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+          WHERE list_cosine_similarity(x.v, y.v) >= 0.9),
+        links AS (SELECT a, b FROM pairs), {COMPONENTS_SQL}
+        SELECT e.vec_id, coalesce(n, 0) AS n_links, coalesce(class, e.vec_id) AS component_id,
+          coalesce(class, e.vec_id) = e.vec_id AS kept, 1 + coalesce(same, 0) AS n_same
+        FROM embeddings e LEFT JOIN classes ON node = e.vec_id
+        LEFT JOIN (SELECT a, count(*) AS n, count(*) FILTER (WHERE same) AS same
+                   FROM pairs GROUP BY a) ON a = e.vec_id""",
+}
