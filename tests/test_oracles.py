@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from dayfold.queries import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
@@ -41,17 +42,19 @@ KINDS = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "d
 
 
 def test_all_queries_have_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= driver.queries().keys()
+    assert driver.oracle_sql().keys() <= driver.queries().keys()
 
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
-    frame = driver.queries()[name](spark, SF_DIR)
-    cursor = duck.execute(driver.oracle_sql()[name])
+    frame = QUERIES[name](spark, SF_DIR)
+    cursor = duck.execute(ORACLES[name])
     columns = [c[0] for c in cursor.description]
     expected_kinds = {c[0]: KINDS[str(c[1])] for c in cursor.description}
     assert dict(frame.dtypes) == expected_kinds
