@@ -13,11 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayfold.operators.combine import Categories, combine_sources
-from dayfold.sinks.shared import write_aside
 from dayfold.sources.scans import Predicate, day_scan
 
-# How many hashes (8 bytes each) are broadcast at most.
-MAX_SUSPECTS = 2_000_000
+# The type of products of counts.
+COUNT = "decimal(38,0)"
 
 Term = str | Column
 Terms = Mapping[str, Term] | Sequence[Term]
@@ -69,21 +68,18 @@ def category_sums(
     return combine_sources({category: Categories(frame, category, names, value)}, key)
 
 
-def find_duplicates(frame: DataFrame, column: str, max_suspects: int = MAX_SUSPECTS) -> DataFrame:
+def find_duplicates(frame: DataFrame, column: str) -> DataFrame:
     """Values that occur more than once, each once; null is a value like any other.
 
     Grouping long text would shuffle all of it, though most of it occurs once. So text is first
-    counted by its hash, and only values whose hash occurs again are grouped by themselves. The
-    suspect hashes are broadcast; if there are more than ``max_suspects``, every value is
-    grouped instead.
+    counted by its hash, and only values whose hash occurs again are grouped by themselves. Spark
+    chooses how to tell them apart by the size that the hashes turn out to have.
     """
     rows = frame.select(column)
     if rows.schema[column].dataType.typeName() in ("string", "binary"):
         hashed = F.xxhash64(column)
         again = rows.groupBy(hashed.alias("_hash")).count().where(F.col("count") > 1)
-        suspects = write_aside(again.select("_hash"), "duplicate-hashes")
-        if suspects.count() <= max_suspects:
-            rows = rows.join(F.broadcast(suspects), hashed == F.col("_hash"), "left_semi")
+        rows = rows.join(again.select("_hash"), hashed == F.col("_hash"), "left_semi")
     return rows.groupBy(column).count().where(F.col("count") > 1).select(column)
 
 
@@ -91,11 +87,15 @@ def cross_join_count(frames: Sequence[DataFrame], name: str = "pairs") -> DataFr
     """Number of rows in the unrestricted product of ``frames``.
 
     It is the product of their row counts, so no pair is ever built: the inputs are reduced
-    to nothing but a tag, and counted in one aggregation.
+    to nothing but a tag, and counted in one aggregation. The product is a decimal of 38 digits;
+    beyond that it is an error.
     """
     tagged = reduce(
         DataFrame.unionByName,
         [frame.select(F.lit(i).alias("tag")) for i, frame in enumerate(frames)],
     )
     counts = [F.count(F.when(F.col("tag") == i, 1)) for i in range(len(frames))]
-    return tagged.agg(reduce(lambda left, right: left * right, counts).alias(name))
+    product = reduce(
+        lambda left, right: (left * right).cast(COUNT), [n.cast(COUNT) for n in counts]
+    )
+    return tagged.agg(product.alias(name))

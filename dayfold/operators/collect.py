@@ -2,24 +2,15 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
-from math import inf, isfinite, nextafter
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayfold.sinks.shared import write_aside
 
-# How many slices a run over a hot key is cut into at most.
-MAX_SLICES = 4096
-# How many keys of large groups are broadcast at most.
-MAX_LARGE_KEYS = 100_000
-# The slice of rows without an order, which come last in a list.
-NO_ORDER = -1
-# How many bits of the hash cut up the rows of one frequent order.
-TIE_BITS = 8
+# Ids of rows count up from a multiple of 2 to this power in each range.
+ROW_BITS = 33
 
 
 def group_collect(
@@ -36,118 +27,91 @@ def group_collect(
     list of a key is its parts one after another. Most keys have the single part 0. A part is
     one value of a row, so choose ``part_rows`` smaller where single values are large.
 
-    Rows of a key with the same order go by the hash of their value, then by value.
+    Rows of a key with the same order go by the hash of their value, then by value; rows without
+    an order come last. Any order, key and value that Spark can sort will do.
 
-    The groups larger than a part are looked up first. Where there are none, one aggregation
-    makes the lists. Rows of large groups get their positions without a group coming together
-    (see ``_numbered``), so a key with any share of the rows is spread over the cluster; the
-    other rows still take the one aggregation. The large keys are broadcast to tell the two
-    apart; if there are too many for that, all rows are numbered.
+    The rows are dealt out by ranges of (key, order, hash, value, row), sorted there and written
+    aside. The ranges follow the real distribution of all of these, so a key, an order or a value
+    that comes ever so often is spread over as many ranges as its rows fill, and no task sorts or
+    lists more than a range. A list that lies within one range is cut up right there. What a range
+    holds of a longer one begins where the ranges before ended: those offsets are two rows per
+    range at most.
     """
     keys = [key] if isinstance(key, str) else list(key)
     rows = frame.select(
-        F.struct(*keys).alias("_key"), F.col(order).alias("_order"), F.col(value).alias("_value")
+        F.struct(*keys).alias("_key"),
+        F.col(order).alias("_order"),
+        F.col(value).alias("_value"),
+        F.xxhash64(value).alias("_tie"),
+        # Tells equal rows apart, so that they can lie in different ranges.
+        F.monotonically_increasing_id().alias("_copy"),
     )
-    sizes = rows.groupBy("_key").count()
-    large = write_aside(sizes.where(F.col("count") > part_rows), "large-groups")
-    large_keys, largest = large.agg(F.count("*"), F.max("count")).first()
-    if large_keys == 0:
-        lists = _whole(rows)
-    elif large_keys <= MAX_LARGE_KEYS:
-        told = F.broadcast(large.select("_key"))
-        lists = _whole(rows.join(told, ["_key"], "left_anti")).unionByName(
-            _in_parts(rows.join(told, ["_key"], "left_semi"), part_rows, largest)
-        )
-    else:
-        lists = _in_parts(rows, part_rows, largest)
-    return lists.select("_key.*", "part", F.col("_values").alias(name))
-
-
-def _whole(rows: DataFrame) -> DataFrame:
-    """Lists of groups that fit one part."""
-    listed = F.reverse(F.array_sort(F.collect_list(F.struct("_order", _tie(), "_value"))))
-    lists = rows.groupBy("_key").agg(_values(listed).alias("_values"))
-    return lists.select("_key", F.lit(0).cast("long").alias("part"), "_values")
-
-
-def _in_parts(rows: DataFrame, part_rows: int, largest: int) -> DataFrame:
-    """Lists of groups of any size, in parts."""
-    slices = min(MAX_SLICES, 2 * (largest // part_rows + 1))
-    placed = _numbered(rows, slices).withColumn("part", F.expr(f"_position div {part_rows}"))
-    listed = F.array_sort(F.collect_list(F.struct("_position", "_value")))
-    return placed.groupBy("_key", "part").agg(_values(listed).alias("_values"))
-
-
-def _values(listed: Column) -> Column:
-    return F.transform(listed, lambda item: item["_value"])
-
-
-def _numbered(rows: DataFrame, slices: int) -> DataFrame:
-    """Add ``_position``: the place of a row in its key's list, from 0.
-
-    The order column is cut at its quantiles over all rows, so that a slice holds about one
-    ``slices``-th of them, hence no more than that of any key. A single order that holds more
-    gets a slice to itself, which is cut again by the hash that decides ties. A place is then the
-    number of rows of the key in later slices (small counts, summed per key) plus the place
-    inside (key, slice).
-    """
-    sliced = _sliced(rows, slices)
-    later = Window.partitionBy("_key").orderBy(F.col("_slice").desc()).rowsBetween(
-        Window.unboundedPreceding, -1
+    sorting = [
+        F.col("_key").asc(),
+        F.col("_order").desc_nulls_last(),
+        F.col("_tie").desc(),
+        F.col("_value").desc_nulls_last(),
+        F.col("_copy").asc(),
+    ]
+    placed = (
+        rows.repartitionByRange(*sorting)
+        .sortWithinPartitions(*sorting)
+        .select("_key", "_value", F.monotonically_increasing_id().alias("_row"))
     )
-    offsets = (
-        sliced.groupBy("_key", "_slice")
-        .count()
-        .select(
-            "_key", "_slice", F.coalesce(F.sum("count").over(later), F.lit(0)).alias("_offset")
-        )
+    written = write_aside(placed, "lists").withColumn("_range", F.shiftright("_row", ROW_BITS))
+    offsets = _offsets(written)
+    pieces = written.groupBy("_key", "_range").agg(
+        F.array_sort(F.collect_list(F.struct("_row", "_value"))).alias("_rows")
     )
-    inside = Window.partitionBy("_key", "_slice").orderBy(
-        F.col("_order").desc(), F.col("_tie").desc(), F.col("_value").desc()
-    )
-    return (
-        sliced.withColumn("_place", F.row_number().over(inside))
-        .join(offsets, ["_key", "_slice"])
-        .select(
-            "_key", "_value", (F.col("_offset") + F.col("_place") - 1).alias("_position")
-        )
+    # Two rows per range at most: only the first and the last key of a range go on elsewhere.
+    pieces = pieces.join(F.broadcast(offsets), ["_key", "_range"], "left")
+    alone = _cut(pieces.where(F.col("_before").isNull()), part_rows)
+    parts = _cut(pieces.where(F.col("_before").isNotNull()), part_rows)
+    listed = F.array_sort(F.collect_list(F.struct("_range", "_values")))
+    joined = parts.groupBy("_key", "part").agg(
+        F.flatten(F.transform(listed, lambda piece: piece["_values"])).alias("_values")
     )
+    lists = alone.select("_key", "part", "_values").unionByName(joined)
+    return lists.select("_key.*", "part", F.col("_values").alias(name))
 
 
-def _sliced(rows: DataFrame, slices: int) -> DataFrame:
-    """Add ``_slice``, which grows with (order, tie) and is lowest where there is no order."""
-    axis, exact = _axis(rows)
-    steps = [i / slices for i in range(1, slices)]
-    cuts = rows.agg(F.percentile_approx(axis, steps, 10 * slices)).first()[0] or []
-    cuts = Counter(cut for cut in cuts if isfinite(cut))
-    # Beyond 2^53 different orders can meet in one double, so there none is known to be alone.
-    frequent = [c for c, times in cuts.items() if exact and times > 1 and abs(c) < 2**53]
-    inner = sorted({*cuts, *(nextafter(cut, inf) for cut in frequent)} or {0.0})
-    splits = [-inf, *inner, inf]
-    alone = [splits.index(cut) for cut in frequent]
-    bucketed = Bucketizer(
-        splits=splits, inputCol="_axis", outputCol="_slice", handleInvalid="keep"
-    ).transform(rows.withColumns({"_axis": axis, "_tie": _tie()}))
-    coarse = F.coalesce(F.col("_slice").cast("int"), F.lit(NO_ORDER))
-    fine = F.shiftright("_tie", 64 - TIE_BITS) + 2 ** (TIE_BITS - 1)
-    fine = F.when(coarse.isin(NO_ORDER, *alone), fine).otherwise(0).cast("int")
-    return bucketed.select(
-        "_key", "_order", "_tie", "_value", (coarse * 2**TIE_BITS + fine).alias("_slice")
+def _offsets(written: DataFrame) -> DataFrame:
+    """(_key, _range, _before) of keys in several ranges: how many rows earlier ranges hold."""
+    counts = written.groupBy("_key", "_range").count()
+    whole = Window.partitionBy("_key")
+    earlier = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        counts.withColumn("_ranges", F.count("*").over(whole))
+        .withColumn("_before", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
+        .where(F.col("_ranges") > 1)
+        .select("_key", "_range", "_before")
     )
 
 
-def _tie() -> Column:
-    return F.xxhash64("_value")
+def _cut(pieces: DataFrame, part_rows: int) -> DataFrame:
+    """Cut what a range holds of a list where parts of the list end."""
+    start = F.coalesce("_before", F.lit(0))
+    size = F.size("_rows")
+    numbered = pieces.withColumn(
+        "part",
+        F.explode(
+            F.sequence(
+                F.floor(start / F.lit(part_rows)),
+                F.floor((start + size - 1) / F.lit(part_rows)),
+            )
+        ),
+    )
+    first = F.greatest(F.col("part") * part_rows - start, F.lit(0))
+    after = F.least((F.col("part") + 1) * part_rows - start, size)
+    return numbered.select(
+        "_key",
+        "_range",
+        "part",
+        _values(F.slice("_rows", (first + 1).cast("int"), (after - first).cast("int"))).alias(
+            "_values"
+        ),
+    )
 
 
-def _axis(rows: DataFrame) -> tuple[Column, bool]:
-    """The order column as a monotone double, and whether different orders stay different."""
-    kind = rows.schema["_order"].dataType.typeName()
-    order = F.col("_order")
-    if kind in ("byte", "short", "integer", "long", "float", "double", "decimal"):
-        return order.cast("double"), kind != "decimal"
-    if kind == "date":
-        return F.unix_date(order).cast("double"), True
-    if kind in ("timestamp", "timestamp_ntz"):
-        return F.unix_micros(order.cast("timestamp")).cast("double"), True
-    raise TypeError(f"a list cannot be ordered by a column of type {kind} beyond one part")
+def _values(rows: Column) -> Column:
+    return F.transform(rows, lambda row: row["_value"])
