@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+import codecs
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dayfold.functions.numbers import UINT_MASK, wrap_int
 
+# What texts of these charsets can begin with to tell the order of their bytes.
+BYTE_ORDER_MARKS = {
+    "UTF-16": (codecs.BOM_UTF16_BE, codecs.BOM_UTF16_LE),
+    "UTF-32": (codecs.BOM_UTF32_BE, codecs.BOM_UTF32_LE),
+}
+
 
 def byte_slice(data: Column, offset: int, size: int) -> Column:
     """``size`` bytes from ``offset`` (0-based); an error if they are not all there."""
@@ -50,13 +60,27 @@ def bytes_equal(left: Column, right: Column) -> Column:
 
 
 def bytes_to_text(data: Column, charset: str = "UTF-8") -> Column:
-    """Decode bytes; what is malformed becomes U+FFFD in UTF-8 and US-ASCII.
+    """Decode bytes from any charset; what is malformed becomes U+FFFD.
 
-    In the wider UTF-16 and UTF-32 charsets malformed bytes are an error.
+    UTF-8, US-ASCII and ISO-8859-1 stay in the JVM; others are decoded in Arrow batches. Where
+    UTF-16 or UTF-32 says nothing about the order of bytes, the high one comes first.
     """
     name = charset.upper()
     if name in ("UTF-8", "UTF8"):
         return F.make_valid_utf8(data.cast("string"))
     if name in ("US-ASCII", "ASCII"):
         return F.regexp_replace(F.decode(data, "ISO-8859-1"), "[\\x{80}-\\x{ff}]", "�")
-    return F.decode(data, name)
+    if name in ("ISO-8859-1", "LATIN1", "LATIN-1"):
+        return F.decode(data, "ISO-8859-1")
+    codecs.lookup(charset)  # an unknown one is an error right away
+    marks = BYTE_ORDER_MARKS.get(name.replace("_", "-"), ())
+
+    @F.arrow_udf(T.StringType())
+    def lenient(values: pa.Array) -> pa.Array:
+        def text(raw: bytes) -> str:
+            own = charset if not marks or raw.startswith(marks) else f"{charset}-be"
+            return raw.decode(own, "replace")
+
+        return pa.array([None if v is None else text(v) for v in values.to_pylist()], pa.string())
+
+    return lenient(data)

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dayfold.functions.numbers import UINT_MASK, wrap_int
 
@@ -14,47 +17,56 @@ from dayfold.functions.numbers import UINT_MASK, wrap_int
 MULTIPLIER = 31
 TRUE_HASH = 1231
 FALSE_HASH = 1237
-# Fixed value: the characters that take two UTF-16 units.
-WIDE = "[\\x{10000}-\\x{10ffff}]"
-
+# Texts that are hashed in one go, which bounds the memory for their units.
+TOGETHER = 512
 
 def _step(hashed: Column, item: Column) -> Column:
     # Both operands stay below 2^32, so the product fits a long before it is cut.
     return (hashed * F.lit(MULTIPLIER) + item).bitwiseAND(F.lit(UINT_MASK))
 
 
-def _code(character: Column) -> Column:
-    return F.ascii(character).cast("long")
-
-
-def _unit_step(hashed: Column, character: Column) -> Column:
-    return _step(hashed, _code(character))
+def _starts(lengths: np.ndarray) -> np.ndarray:
+    return np.cumsum(lengths) - lengths
 
 
-def _wide_step(hashed: Column, character: Column) -> Column:
-    code = _code(character)
-    above = code - F.lit(0x10000)
-    high = F.lit(0xD800) + F.shiftright(above, 10)
-    low = F.lit(0xDC00) + above.bitwiseAND(F.lit(0x3FF))
-    return F.when(code < F.lit(0x10000), _step(hashed, code)).otherwise(
-        _step(_step(hashed, high), low)
-    )
-
+def hash_units(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each of the texts that lie one after another in UTF-8 ``data``.
 
-def string_hash(value: Column) -> Column:
+    A hash is the sum of the text's UTF-16 units times powers of the multiplier, all in 32 bits.
+    """
+    lengths = np.diff(ends)
+    hashes = np.zeros(len(lengths), np.uint32)
+    filled = np.flatnonzero(lengths)
+    if not len(filled):
+        return hashes
+    data = data[ends[0] : ends[-1]]
+    units = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-16-le"), "<u2")
+    # A byte that begins a character is a unit, and one that begins a wide one is two.
+    of_byte = ((data & 0xC0) != 0x80).astype(np.int64) + (data >= 0xF0)
+    sizes = np.add.reduceat(of_byte, _starts(lengths)[filled])
+    powers = np.ones(int(sizes.max()), np.uint32)
+    np.multiply.accumulate(np.full(len(powers) - 1, MULTIPLIER, np.uint32), out=powers[1:])
+    starts = _starts(sizes)
+    from_end = np.repeat(starts + sizes - 1, sizes) - np.arange(len(units))
+    hashes[filled] = np.add.reduceat(units * powers[from_end], starts, dtype=np.uint32)
+    return hashes
+
+
+@F.arrow_udf(T.LongType())
+def string_hash(value: pa.Array) -> pa.Array:
     """JVM string hash over UTF-16 units, as an unsigned 32-bit value in a long.
 
-    Only text with characters beyond the basic plane pays for splitting them in two units.
+    Whole batches at a time, some texts together.
     """
-
-    def fold(step):
-        return F.aggregate(F.split(value, ""), F.lit(0).cast("long"), step)
-
-    return (
-        F.when(value == F.lit(""), F.lit(0).cast("long"))
-        .when(value.rlike(WIDE), fold(_wide_step))
-        .otherwise(fold(_unit_step))
-    )
+    found = []
+    text = value.cast(pa.large_string())
+    for start in range(0, len(text), TOGETHER):
+        some = text.slice(start, TOGETHER).fill_null("")
+        _, offsets, data = some.buffers()
+        ends = np.frombuffer(offsets, np.int64)[some.offset : some.offset + len(some) + 1]
+        found.append(hash_units(np.frombuffer(data or b"", np.uint8), ends))
+    hashes = np.concatenate(found) if found else np.zeros(0, np.uint32)
+    return pa.array(hashes.astype(np.int64), mask=np.asarray(value.is_null()))
 
 
 def _item_hash(value: Column, kind: str) -> Column:

@@ -65,7 +65,8 @@ def daily_feature_table(
         kind = rated.schema[day_column].dataType.typeName()
         day = F.col(day_column)
         tagged = rated.withColumn("actiondate", day if kind == "string" else compact_day(day))
-        tagged = tagged.drop(day_column)
+        if day_column != "actiondate":
+            tagged = tagged.drop(day_column)
     return select_ordered(fill_zero(tagged), [KEY, "ea", "actiondate", USERS])
 
 
@@ -90,4 +91,4 @@ def run_feed_job(
     if append:
         append_table(features, target, path)
     else:
-        write_day_table(features, target, "actiondate", path)
+        write_day_table(features, target, "actiondate", path, day=dt, missing="null")

@@ -80,4 +80,4 @@ def run_message_job(
 
     rows = day_scan(messages, dt).select(KEY, COUNT, CATEGORY)
     mix = message_mix_table(sessions(new_sessions), sessions(active_sessions), rows)
-    write_day_table(tag_date(mix, dt), target, "actiondate", path)
+    write_day_table(tag_date(mix, dt), target, "actiondate", path, day=dt, missing="null")

@@ -15,12 +15,11 @@ from dayfold.operators import (
     outer_combine,
     tag_date,
 )
-from dayfold.queries.tables import enterprise, events_of, read
+from dayfold.queries.tables import EVENT_TYPES, enterprise, events_of, read
 from dayfold.sources import load_or_none
 
 # The user whose key becomes null, to show how null keys are treated.
 NULL_USER = 3
-THREE = ("click", "view", "purchase")
 
 
 def _source(events, event_type):
@@ -41,27 +40,42 @@ def _counts(events, *event_types, source=_source):
 
 
 def combined(spark, sf_dir):
-    return outer_combine(_counts(read(spark, sf_dir, "events"), *THREE))
+    return outer_combine(_counts(read(spark, sf_dir, "events"), *EVENT_TYPES), unique_keys=True)
 
 
 def combined_unique(spark, sf_dir):
-    counts = _counts(read(spark, sf_dir, "events"), *THREE, source=_null_keyed)
+    counts = _counts(read(spark, sf_dir, "events"), *EVENT_TYPES, source=_null_keyed)
     return outer_combine(counts, unique_keys=True)
 
 
 def combined_missing(spark, sf_dir):
-    frames = _counts(read(spark, sf_dir, "events"), "click", "view")
+    frames = _counts(read(spark, sf_dir, "events"), *EVENT_TYPES)
     frames["gift_num"] = load_or_none(lambda: read(spark, sf_dir, "no_such_source"), "gift_num")
-    return outer_combine(frames)
+    return outer_combine(frames, unique_keys=True)
 
 
 def combined_null_key(spark, sf_dir):
-    return outer_combine(_counts(read(spark, sf_dir, "events"), *THREE, source=_null_keyed))
+    counts = _counts(read(spark, sf_dir, "events"), *EVENT_TYPES, source=_null_keyed)
+    return outer_combine(counts, unique_keys=True)
+
+
+def combined_repeated(spark, sf_dir):
+    """Frames whose keys repeat, one row per user and day: these are joined."""
+    days = read(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    frames = {}
+    for event_type in ("signup", "error"):
+        counts = group_metrics(
+            events_of(days, event_type), ["user_id", "day"], {f"{event_type}_num": "*"}
+        )
+        frames[f"{event_type}_num"] = counts.select(
+            F.col("user_id").alias("eid"), f"{event_type}_num"
+        )
+    return outer_combine(frames)
 
 
 def sources_counts(spark, sf_dir):
     events = read(spark, sf_dir, "events")
-    return combine_sources({f"{t}_num": _null_keyed(events, t) for t in THREE})
+    return combine_sources({f"{t}_num": _null_keyed(events, t) for t in EVENT_TYPES})
 
 
 def sources_mixed(spark, sf_dir):
@@ -89,8 +103,8 @@ def sources_mixed(spark, sf_dir):
 
 
 def _attached(spark, sf_dir):
-    clicks = _source(read(spark, sf_dir, "events"), "click")
-    counts = group_metrics(clicks, counts={"click_num": "*"})
+    events = read(spark, sf_dir, "events").withColumnRenamed("user_id", "eid")
+    counts = group_metrics(events, counts={"click_num": "CASE event_type WHEN 'click' THEN 1 END"})
     return attach_dimension(counts, enterprise(spark, sf_dir))
 
 
@@ -108,6 +122,7 @@ QUERIES = {
     "outer_combine_missing": combined_missing,
     "outer_combine_null_key": combined_null_key,
     "outer_combine_unique_keys": combined_unique,
+    "outer_combine_repeated": combined_repeated,
     "combine_sources": sources_counts,
     "combine_sources_mixed": sources_mixed,
     "attach_dimension": _attached,
@@ -122,31 +137,38 @@ def _grouped_sql(name, event_type, aggregate, key="user_id"):
 
 
 NULL_KEY_SQL = f"nullif(user_id, {NULL_USER})"
-THREE_COUNTS_SQL = """
-        SELECT coalesce(eid, 0) AS eid, coalesce(click_num, 0) AS click_num,
-          coalesce(view_num, 0) AS view_num, coalesce(purchase_num, 0) AS purchase_num
-        FROM click_num FULL JOIN view_num USING (eid) FULL JOIN purchase_num USING (eid)"""
+COUNTS_SQL = (
+    "SELECT coalesce(eid, 0) AS eid, "
+    + ", ".join(f"coalesce({t}_num, 0) AS {t}_num" for t in EVENT_TYPES)
+)
+JOINED_SQL = f" FROM {EVENT_TYPES[0]}_num " + " ".join(
+    f"FULL JOIN {t}_num USING (eid)" for t in EVENT_TYPES[1:]
+)
 
 
 def _with_counts(key):
-    counts = [_grouped_sql(f"{t}_num", t, "count(*)", key) for t in THREE]
-    return "WITH " + ", ".join(counts) + THREE_COUNTS_SQL
+    counts = [_grouped_sql(f"{t}_num", t, "count(*)", key) for t in EVENT_TYPES]
+    return "WITH " + ", ".join(counts) + f" {COUNTS_SQL} {JOINED_SQL}"
 
 
 ATTACHED_SQL = """
         SELECT eid, click_num, c_name AS enterpriseaccount, c_nationkey AS accountusedamount%s
-        FROM (SELECT user_id AS eid, count(*) AS click_num FROM events
-              WHERE event_type = 'click' GROUP BY user_id)
+        FROM (SELECT user_id AS eid, count(*) FILTER (WHERE event_type = 'click') AS click_num
+              FROM events GROUP BY user_id)
         JOIN customer ON c_custkey = eid"""
 
 ORACLES = {
     "outer_combine": _with_counts("user_id"),
     "outer_combine_missing": "WITH "
-    + ", ".join(_grouped_sql(f"{t}_num", t, "count(*)") for t in ("click", "view"))
-    + """
-        SELECT eid, coalesce(click_num, 0) AS click_num, coalesce(view_num, 0) AS view_num,
-          CAST(0 AS BIGINT) AS gift_num
-        FROM click_num FULL JOIN view_num USING (eid)""",
+    + ", ".join(_grouped_sql(f"{t}_num", t, "count(*)") for t in EVENT_TYPES)
+    + f" {COUNTS_SQL}, CAST(0 AS BIGINT) AS gift_num {JOINED_SQL}",
+    "outer_combine_repeated": """
+        WITH daily AS (
+          SELECT user_id AS eid, event_type, count(*) AS n FROM events
+          GROUP BY user_id, event_type, CAST(ts AS DATE))
+        SELECT coalesce(eid, 0) AS eid, coalesce(x.n, 0) AS signup_num, coalesce(y.n, 0) AS error_num
+        FROM (SELECT eid, n FROM daily WHERE event_type = 'signup') x
+        FULL JOIN (SELECT eid, n FROM daily WHERE event_type = 'error') y USING (eid)""",
     "outer_combine_null_key": _with_counts(NULL_KEY_SQL),
     "outer_combine_unique_keys": _with_counts(NULL_KEY_SQL),
     "combine_sources": _with_counts(NULL_KEY_SQL),

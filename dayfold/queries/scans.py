@@ -49,12 +49,13 @@ def filter_category(spark, sf_dir):
 
 
 def null_or_empty_text(spark, sf_dir):
-    text = F.when(F.col("lang") == "en", "").when(F.col("lang") == "fr", " ").when(
-        F.col("lang") == "de", F.col("text")
-    )
-    return read(spark, sf_dir, "documents").select(
-        "doc_id", null_or_empty(text).alias("is_blank")
-    )
+    texts = read(spark, sf_dir, "documents").select("doc_id", F.explode(F.array(
+        F.col("text"),
+        F.regexp_replace("text", "[^ ]", ""),
+        F.nullif(F.col("text"), F.col("text")),
+        F.lit(""),
+    )).alias("text"))
+    return texts.select("doc_id", null_or_empty(F.col("text")).alias("is_blank"))
 
 
 def multi_scan_equi(spark, sf_dir):
@@ -141,15 +142,15 @@ ORACLES = {
         WHERE o_totalprice > 100000 AND o_orderstatus = 'F'""",
     "filter_category": "SELECT event_id, user_id, value FROM events WHERE event_type = 'click'",
     "null_or_empty": """
-        SELECT doc_id, coalesce(text, '') = '' AS is_blank FROM (
-          SELECT doc_id, CASE lang WHEN 'en' THEN '' WHEN 'fr' THEN ' ' WHEN 'de' THEN text END
-            AS text FROM documents)""",
+        SELECT doc_id, coalesce(value, '') = '' AS is_blank FROM (
+          SELECT doc_id, unnest([text, regexp_replace(text, '[^ ]', '', 'g'), NULL, '']) AS value
+          FROM documents)""",
     "multi_scan_equi": """
         SELECT s_suppkey, n_name, r_name FROM supplier, nation, region
         WHERE s_nationkey = n_nationkey AND n_regionkey = r_regionkey""",
     "cross_join_count": """
-        SELECT (SELECT count(*) FROM customer) * (SELECT count(*) FROM nation)
-             * (SELECT count(*) FROM region) AS pairs""",
+        SELECT CAST((SELECT count(*) FROM customer) * (SELECT count(*) FROM nation)
+             * (SELECT count(*) FROM region) AS DECIMAL(38, 0)) AS pairs""",
     "theta_join": """
         SELECT o_orderkey, n_name FROM orders, nation
         WHERE o_totalprice >= n_nationkey * 20000.0

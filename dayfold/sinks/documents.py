@@ -12,8 +12,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayfold.sinks.shared import write_aside
-from dayfold.sinks.tables import overwrite_partitions
+from dayfold.sinks.shared import remove_path, shared_path, write_to
+from dayfold.sinks.tables import add_columns, overwrite_partitions
 
 # The target of the metrics preset and the settings of the search-index connector.
 METRICS_RESOURCE = "mlp/metrics"
@@ -27,7 +27,7 @@ BUCKETS_PROPERTY = "dayfold.id_buckets"
 
 
 def append_docs(
-    docs: DataFrame,
+    docs: DataFrame | Mapping[str, Any],
     resource: str | None = None,
     id_field: str | None = None,
     config: Mapping[str, str] | None = None,
@@ -35,13 +35,18 @@ def append_docs(
 ) -> None:
     """Append documents through any data source, by default the search-index connector.
 
-    The target is ``resource``, or comes from ``config``. With ``id_field`` the connector
-    replaces the document of the same id.
+    A single document can be given as a mapping. The target is ``resource``, or comes from
+    ``config``. With ``id_field`` the connector replaces the document of the same id; a format
+    that cannot is an error: use ``upsert_docs``.
     """
     options = dict(config or {})
     target = resource or options.get(RESOURCE_SETTING)
     if target is None:
         raise ValueError(f"give a resource, or {RESOURCE_SETTING} in the config")
+    if id_field is not None and fmt != CONNECTOR:
+        raise ValueError(f"{fmt} cannot replace documents by id; use upsert_docs")
+    if isinstance(docs, Mapping):
+        docs = SparkSession.active().createDataFrame([dict(docs)])
     if id_field is not None:
         options[ID_SETTING] = id_field
     docs.write.mode("append").format(fmt).options(**options).save(target)
@@ -86,13 +91,6 @@ def _stored_buckets(spark: SparkSession, table: str) -> int:
     return int(row["value"])
 
 
-def _add_columns(spark: SparkSession, table: str, docs: DataFrame, known: Sequence[str]) -> None:
-    new = [f for f in docs.schema.fields if f.name not in known]
-    if new:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
-
-
 def upsert_docs(
     docs: DataFrame,
     table: str,
@@ -127,16 +125,19 @@ def upsert_docs(
         _create(batch, table, buckets, path)
         return
 
-    batch = write_aside(batch, "upsert-batch")
-    _add_columns(spark, table, docs, spark.table(table).columns)
+    asides = [shared_path(spark, name) for name in ("upsert-batch", "upsert-merged")]
+    batch = write_to(batch, asides[0])
+    add_columns(spark, table, docs, spark.table(table).columns)
     stored = spark.table(table)
     touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]  # at most `buckets`
     kept = stored.where(F.col(BUCKET).isin(touched)).join(
         batch.select(id_field), [id_field], "left_anti"
     )
     merged = kept.unionByName(batch, allowMissingColumns=True).select(*stored.columns)
-    ready = write_aside(merged.hint("rebalance", BUCKET), "upsert-merged", [BUCKET])
+    ready = write_to(merged.hint("rebalance", BUCKET), asides[1], [BUCKET])
     overwrite_partitions(ready.select(*stored.columns), table)
+    for aside in asides:
+        remove_path(spark, aside)
 
 
 def metrics_upsert(

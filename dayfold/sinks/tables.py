@@ -6,13 +6,12 @@ small result becomes one file) and splits large ones, instead of one task writin
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-OVERWRITE_SETTING = "spark.sql.sources.partitionOverwriteMode"
+from dayfold.sinks.shared import remove_path, shared_path, write_to
 
 
 def append_table(frame: DataFrame, table: str, path: str | None = None) -> None:
@@ -40,37 +39,104 @@ def write_day(frame: DataFrame, path: str, day_column: str = "day", fmt: str = "
 
 
 def write_day_table(
-    frame: DataFrame, table: str, day_column: str = "day", path: str | None = None
+    frame: DataFrame,
+    table: str,
+    day_column: str = "day",
+    path: str | None = None,
+    day: str | None = None,
+    missing: str = "error",
 ) -> None:
-    """As ``write_day``, for a table; created when missing, partitioned by the day column."""
+    """As ``write_day``, for a table; created when missing, partitioned by the day column.
+
+    Columns that the table lacks are added to it. One that the frame lacks is an error, or null
+    with ``missing="null"``. With ``day`` the frame is all there is of that day: if it has no
+    rows, the day is emptied.
+    """
     spark = frame.sparkSession
-    rows = frame.hint("rebalance", day_column)
     if not spark.catalog.tableExists(table):
-        writer = rows.write.partitionBy(day_column)
+        writer = frame.hint("rebalance", day_column).write.partitionBy(day_column)
         (writer if path is None else writer.option("path", path)).saveAsTable(table)
         return
-    overwrite_partitions(rows.select(*spark.table(table).columns), table)
+    known = spark.table(table).columns
+    lacking = [c for c in known if c not in frame.columns]
+    if lacking and missing != "null":
+        raise ValueError(f"{table} has columns that the rows lack: {', '.join(lacking)}")
+    add_columns(spark, table, frame, known)
+    stored = spark.table(table).schema
+    rows = frame.select(
+        *[
+            (F.col(f.name) if f.name in frame.columns else F.lit(None)).cast(f.dataType).alias(
+                f.name
+            )
+            for f in stored
+        ]
+    )
+    if day is None:
+        overwrite_partitions(rows, table)
+        return
+    aside = shared_path(spark, "day")
+    rows = write_to(rows, aside)
+    if rows.isEmpty():
+        _empty_day(spark, table, day_column, day)
+    else:
+        overwrite_partitions(rows, table)
+    remove_path(spark, aside)
+
 
+def add_columns(spark: SparkSession, table: str, rows: DataFrame, known: Sequence[str]) -> None:
+    """Add the columns of ``rows`` that are not among the ``known`` ones of the table."""
+    new = [f for f in rows.schema.fields if f.name not in known]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """The mode as a session setting: inserts into a table do not take it as an option."""
-    before = spark.conf.get(OVERWRITE_SETTING)
-    spark.conf.set(OVERWRITE_SETTING, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(OVERWRITE_SETTING, before)
+
+def _detail(spark: SparkSession, table: str, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == name)
+    return rows.first()["data_type"]
+
+
+def _empty_day(spark: SparkSession, table: str, day_column: str, day: str) -> None:
+    """Remove the rows of a day: its partition, and its files, which an external table keeps."""
+    value = day.replace("'", "\\'")
+    spec = f"PARTITION (`{day_column}` = '{value}')"
+    if spark.sql(f"SHOW PARTITIONS {table} {spec}").isEmpty():
+        return
+    where = f"{_detail(spark, table, 'Location').rstrip('/')}/{day_column}={day}"
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
+    remove_path(spark, where)
+    spark.catalog.refreshTable(table)
 
 
 def overwrite_partitions(frame: DataFrame, table: str) -> None:
-    """Replace the partitions of ``table`` that ``frame`` (in the table's column order) holds."""
-    with _dynamic_overwrite(frame.sparkSession):
-        frame.write.insertInto(table, overwrite=True)
+    """Replace the partitions of ``table`` that ``frame`` holds, and no others.
+
+    Written to the table's place with the mode as an option of this write: an insert would take
+    it from the session, where other writes would see it.
+    """
+    spark = frame.sparkSession
+    columns = _partition_columns(spark, table)
+    (
+        frame.hint("rebalance", *columns)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*columns)
+        .format(_detail(spark, table, "Provider"))
+        .save(_detail(spark, table, "Location"))
+    )
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+
+
+def _partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
 def write_text(frame: DataFrame, path: str, separator: str = "\t", null_text: str = "") -> None:
-    """Export all columns as lines of text; a null becomes ``null_text`` and keeps its place."""
+    """Export all columns as lines of text; a null becomes ``null_text`` and keeps its place.
+
+    Values are written as they are: a line break or separator in one is not escaped.
+    """
     cells = [F.coalesce(F.col(c).cast("string"), F.lit(null_text)) for c in frame.columns]
     frame.select(F.concat_ws(separator, *cells).alias("value")).hint("rebalance").write.mode(
         "append"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,12 +14,23 @@ def whole_files(path: str, charset: str = "UTF-8", pattern: str | None = None) -
     """Every file under ``path`` as one row ``(path, text)``, decoded from ``charset``.
 
     Files are read in parallel, one row each, so a file is bounded by the size of a value
-    (2 GB). Empty files give no row, as in every file source of Spark. ``pattern`` is a file
-    name glob.
+    (2 GB). An empty file has an empty text: the readers skip it, so its name is taken from the
+    listing that they make. ``pattern`` is a file name glob.
     """
-    reader = SparkSession.active().read.format("binaryFile").option("recursiveFileLookup", "true")
+    spark = SparkSession.active()
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern is not None:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(path).select(
-        "path", bytes_to_text(F.col("content"), charset).alias("text")
+    files = reader.load(path)
+    texts = files.select("path", bytes_to_text(F.col("content"), charset).alias("text"))
+    sizes = [(unquote(name), _size(spark, name)) for name in files.inputFiles()]
+    empty = [(name, "") for name, size in sizes if size == 0]
+    return texts.unionByName(spark.createDataFrame(empty, "path string, text string"))
+
+
+def _size(spark: SparkSession, name: str) -> int:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        spark.sparkContext._jvm.java.net.URI(name)
     )
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getFileStatus(path).getLen()

@@ -65,12 +65,16 @@ def multi_scan(tables: Sequence[str | DataFrame], where: Predicate) -> DataFrame
     Equalities in ``where`` become hash or sort-merge join keys; what remains of it is
     checked on the joined rows. Give each pair of tables an equality: for a relation that is
     only a range use ``theta_join``, and for the size of an unrestricted product use
-    ``cross_join_count``.
+    ``cross_join_count``. Tables that no equality connects are an error.
     """
     if not tables:
         raise ValueError("multi_scan needs at least one table")
     frames = [scan(t) for t in tables]
-    return reduce(lambda left, right: left.join(right), frames).where(where)
+    joined = reduce(lambda left, right: left.join(right), frames).where(where)
+    planned = joined._jdf.queryExecution().sparkPlan().toString()
+    if "CartesianProduct" in planned or "NestedLoopJoin" in planned:
+        raise ValueError(f"no equality connects all of the tables: {where}")
+    return joined
 
 
 def query_view(frame: DataFrame, name: str, sql: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 from collections import defaultdict
 from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
 import xxhash
@@ -16,7 +17,7 @@ from dayfold.operators import (
     preview_rows,
     theta_join,
 )
-from dayfold.operators.collect import _sliced
+from dayfold.sinks.shared import write_aside
 
 
 def tie(value):
@@ -59,8 +60,7 @@ def test_group_collect_hot_key(spark, part_rows):
     assert collected(frame, part_rows=part_rows) == brute_lists(rows, part_rows)
 
 
-def test_group_collect_with_too_many_large_keys_to_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(collect, "MAX_LARGE_KEYS", 2)
+def test_group_collect_many_large_keys(spark):
     rows = hot_rows(6, lambda i: i)
     frame = spark.createDataFrame(rows, "k string, o long, v string")
     assert collected(frame, part_rows=30) == brute_lists(rows, 30)
@@ -81,16 +81,6 @@ def test_group_collect_ties(spark, kind, orders):
     assert collected(frame, part_rows=50) == brute_lists(rows, 50)
 
 
-def test_a_frequent_order_is_cut_up(spark):
-    rows = spark.range(20_000).select(
-        F.struct(F.lit("hot").alias("k")).alias("_key"),
-        F.when(F.col("id") % 4 > 0, 7).alias("_order"),
-        F.col("id").cast("string").alias("_value"),
-    )
-    sizes = [r["count"] for r in _sliced(rows, 10).groupBy("_key", "_slice").count().collect()]
-    assert sum(sizes) == 20_000 and max(sizes) < 150
-
-
 def test_group_collect_orders_beyond_doubles(spark):
     rows = hot_rows(8, lambda i: 2**62 + i % 50)
     frame = spark.createDataFrame(rows, "k string, o long, v string").repartition(5)
@@ -122,8 +112,43 @@ def test_group_collect_edges(spark):
     assert collected(unordered, part_rows=1) == brute_lists([("a", None, "x"), ("a", None, "y")], 1)
     texts = spark.createDataFrame([("a", "1", "x"), ("a", "2", "y")], "k string, o string, v string")
     assert collected(texts) == {("a", 0): ["y", "x"]}
-    with pytest.raises(TypeError, match="string"):
-        collected(texts, part_rows=1)
+    assert collected(texts, part_rows=1) == {("a", 0): ["y"], ("a", 1): ["x"]}
+
+
+def most_in_a_range(spark, frame, monkeypatch):
+    """Lists in parts of 50, and the largest number of rows that one range held."""
+    aside = []
+
+    def keep(rows, name):
+        aside.append(write_aside(rows, name))
+        return aside[-1]
+
+    monkeypatch.setattr(collect, "write_aside", keep)
+    lists = collected(frame, part_rows=50)
+    ranges = aside[0].groupBy(F.shiftright("_row", collect.ROW_BITS)).count()
+    return lists, ranges.agg(F.max("count")).first()[0]
+
+
+@pytest.mark.parametrize(
+    ("kind", "rows"),
+    [
+        ("long", [(f"k{i % 20}", 1000 * (i % 20) + i // 20, f"v{i}") for i in range(8000)]),
+        ("decimal(20,2)", [("hot", Decimal(7), f"v{i}") for i in range(8000)]),
+        ("long", [("hot", 2**60 + 1, f"v{i}") for i in range(8000)]),
+        ("long", [("hot", 7, "same") for _ in range(8000)]),
+        ("string", [("hot", f"o{i:05d}", "v") for i in range(8000)]),
+    ],
+)
+def test_group_collect_spreads_every_kind_of_hot_rows(spark, monkeypatch, kind, rows):
+    monkeypatch.setattr(collect, "write_aside", write_aside)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        frame = spark.createDataFrame(rows, f"k string, o {kind}, v string").repartition(4)
+        lists, most = most_in_a_range(spark, frame, monkeypatch)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert lists == brute_lists(rows, 50)
+    assert most <= 2 * len(rows) / 8
 
 
 def test_group_collect_two_keys(spark):
@@ -135,14 +160,13 @@ def test_group_collect_two_keys(spark):
         assert sorted(map(tuple, rows)) == expected
 
 
-@pytest.mark.parametrize("max_suspects", [0, 1000])
-def test_find_duplicates(spark, max_suspects):
+def test_find_duplicates(spark):
     chooser = random.Random(5)
     values = [None, None, "", "", "once", "a", "a"] + ["copied"] * 300
     values += [f"t{chooser.randrange(500)}" for _ in range(600)]
     expected = {v for v in values if values.count(v) > 1}
     frame = spark.createDataFrame([(v, 1) for v in values], "v string, n int").repartition(6)
-    found = [r[0] for r in find_duplicates(frame, "v", max_suspects).collect()]
+    found = [r[0] for r in find_duplicates(frame, "v").collect()]
     assert len(found) == len(expected) and set(found) == expected
     assert [r[0] for r in find_duplicates(frame, "n").collect()] == [1]
 

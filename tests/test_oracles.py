@@ -38,7 +38,7 @@ def _sorted_rows(columns, rows):
 
 
 KINDS = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double",
-         "BOOLEAN": "boolean", "DATE": "date"}
+         "BOOLEAN": "boolean", "DATE": "date", "DECIMAL(38,0)": "decimal(38,0)"}
 
 
 def test_all_queries_have_sql():

@@ -70,6 +70,45 @@ def test_write_day_table(spark, tmp_path):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
 
 
+def test_write_day_table_adds_columns(spark, tmp_path):
+    table = fresh("days")
+    write_day_table(day_rows(spark, "20240110", 1), table, path=str(tmp_path / "t"))
+    more = day_rows(spark, "20240111", 1).withColumn("extra", F.lit(7))
+    write_day_table(more, table)
+    assert rows_of(spark.table(table).select("day", "extra")) == [
+        ("20240110", None), ("20240111", 7),
+    ]
+    with pytest.raises(ValueError, match="extra"):
+        write_day_table(day_rows(spark, "20240110", 1), table)
+    write_day_table(day_rows(spark, "20240110", 2), table, missing="null")
+    assert spark.table(table).count() == 3
+
+
+@pytest.mark.parametrize("external", [True, False])
+def test_write_day_table_empties_a_day(spark, tmp_path, external):
+    table = fresh("days")
+    path = str(tmp_path / "t") if external else None
+    for day in ("20240110", "20240111"):
+        write_day_table(day_rows(spark, day, 3), table, path=path, day=day)
+    none = day_rows(spark, "20240110", 3).limit(0)
+    write_day_table(none, table, day="20240110")
+    write_day_table(none, table, day="20240112")
+    assert rows_of(spark.table(table).groupBy("day").count()) == [("20240111", 3)]
+    write_day_table(day_rows(spark, "20240110", 2), table, day="20240110")
+    assert spark.table(table).count() == 5
+
+
+def test_nothing_written_aside_stays(spark, tmp_path):
+    root = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(os.listdir(root))
+    table = fresh("docs")
+    docs = spark.createDataFrame([("1", "a")], "id string, v string")
+    upsert_docs(docs, table, "id", path=str(tmp_path / "t"))
+    upsert_docs(docs, table, "id")
+    write_day_table(day_rows(spark, "20240110", 3), fresh("days"), day="20240110")
+    assert set(os.listdir(root)) == before
+
+
 def test_write_text(spark, tmp_path):
     path = str(tmp_path / "text")
     frame = spark.createDataFrame([(1, None, 2.5), (2, "b", None)], "n int, s string, d double")
@@ -83,7 +122,9 @@ def test_append_docs(spark, tmp_path):
     docs = spark.createDataFrame([("1", "a")], "id string, v string")
     append_docs(docs, path, fmt="json")
     append_docs(docs, fmt="json", config={"es.resource": path})
-    append_docs(docs, path, id_field="id", config={"compression": "gzip"}, fmt="json")
+    append_docs({"id": "1", "v": "a"}, path, config={"compression": "gzip"}, fmt="json")
+    with pytest.raises(ValueError, match="upsert_docs"):
+        append_docs(docs, path, id_field="id", fmt="json")
     assert rows_of(spark.read.schema(docs.schema).json(path)) == [("1", "a")] * 3
     with pytest.raises(ValueError, match="es.resource"):
         append_docs(docs)

@@ -109,11 +109,11 @@ def test_whole_files(spark, tmp_path):
     (tmp_path / "in" / "deep").mkdir(parents=True)
     (tmp_path / "in" / "a.txt").write_bytes("één\nregel\n".encode())
     (tmp_path / "in" / "deep" / "b.txt").write_bytes(b"A\xffB")
-    (tmp_path / "in" / "c.txt").write_bytes(b"")  # Spark's file sources skip empty files
+    (tmp_path / "in" / "c.txt").write_bytes(b"")
     (tmp_path / "in" / "d.bin").write_bytes(b"x")
     rows = whole_files(str(tmp_path / "in"), pattern="*.txt").collect()
     assert {r["path"].rsplit("/", 1)[1]: r["text"] for r in rows} == {
-        "a.txt": "één\nregel\n", "b.txt": "A�B",
+        "a.txt": "één\nregel\n", "b.txt": "A�B", "c.txt": "",
     }
     (tmp_path / "latin").mkdir()
     (tmp_path / "latin" / "e.txt").write_bytes("één".encode("latin-1"))
