@@ -108,6 +108,24 @@ def bytes_to_text(spark, sf_dir):
     )
 
 
+def bytes_to_text_wide(spark, sf_dir):
+    """Text through two wide charsets: one byte order is given, the other is marked."""
+    text = F.col("text")
+    return read(spark, sf_dir, "documents").select(
+        "doc_id",
+        D.bytes_to_text(F.encode(text, "UTF-16LE"), "UTF-16LE").alias("little"),
+        D.bytes_to_text(F.encode(text, "UTF-16"), "UTF-16").alias("marked"),
+    )
+
+
+def put_u32(spark, sf_dir):
+    """Four bytes of each customer's name replaced by the customer's number."""
+    name = F.col("c_name").cast("binary")
+    return read(spark, sf_dir, "customer").select(
+        "c_custkey", F.hex(D.put_u32(name, 4, F.col("c_custkey"))).alias("bytes")
+    )
+
+
 def bytes_equal(spark, sf_dir):
     def last(name):
         return D.byte_slice(D.encode_u32(F.col(name)), 3, 1)
@@ -132,6 +150,8 @@ QUERIES = {
     "decode_i32": decode_i32,
     "byte_slice": byte_slice,
     "bytes_to_text": bytes_to_text,
+    "bytes_to_text_wide": bytes_to_text_wide,
+    "put_u32": put_u32,
     "bytes_equal": bytes_equal,
 }
 
@@ -193,6 +213,10 @@ ORACLES = {
           SELECT o_orderkey, {NUMBER_SQL} AS n FROM orders)""",
     "byte_slice": "SELECT c_custkey, substr(c_name, 10, 9) AS digits FROM customer",
     "bytes_to_text": "SELECT doc_id, text || chr(65533) || 'A' AS text FROM documents",
+    "bytes_to_text_wide": "SELECT doc_id, text AS little, text AS marked FROM documents",
+    "put_u32": """
+        SELECT c_custkey, hex(encode(substr(c_name, 1, 4))) || printf('%08X', c_custkey)
+          || hex(encode(substr(c_name, 9))) AS bytes FROM customer""",
     "bytes_equal": """
         SELECT o_orderkey, o_orderkey % 256 = o_custkey % 256 AS same FROM orders""",
 }

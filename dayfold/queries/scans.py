@@ -75,7 +75,7 @@ def theta(spark, sf_dir):
         "n_name", low.alias("low"), (low + 25000.0).alias("high")
     )
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return theta_join(orders, bands, "o_totalprice", "low", "high", 25000.0).select(
+    return theta_join(orders, bands, "o_totalprice", "low", "high").select(
         "o_orderkey", "n_name"
     )
 

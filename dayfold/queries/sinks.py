@@ -45,6 +45,18 @@ def partitioned_write(spark, sf_dir):
     return spark.read.schema(counts.schema).parquet(path)
 
 
+def day_table_rewrite(spark, sf_dir):
+    """A day table that gets a column, half of its days again, and loses one of them."""
+    days = read(spark, sf_dir, "events").withColumn("day", compact_day(F.col("ts")))
+    counts = group_metrics(days, ["day", "event_type"], {"event_num": "*"})
+    table, path = _fresh(spark, "day_table_rewrite")
+    S.write_day_table(counts, table, path=path)
+    later = counts.where(F.col("day") >= "20240116")
+    S.write_day_table(later.withColumn("twice", F.col("event_num") * 2), table)
+    S.write_day_table(counts.where(F.lit(False)), table, day="20240120", missing="null")
+    return _read_back(spark, table, path).select("day", "event_type", "event_num", "twice")
+
+
 def append_docs(spark, sf_dir):
     customers = read(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name")
@@ -107,6 +119,7 @@ def whole_files(spark, sf_dir):
 QUERIES = {
     "append_table": append_table,
     "partitioned_write": partitioned_write,
+    "day_table_rewrite": day_table_rewrite,
     "append_docs": append_docs,
     "upsert_docs": upsert_docs,
     "metrics_upsert": metrics_upsert,
@@ -127,6 +140,10 @@ ORACLES = {
           CASE WHEN day >= '20240116' THEN 2 ELSE 1 END * count(*) AS event_num
         FROM (SELECT strftime(ts, '%Y%m%d') AS day, event_type FROM events)
         GROUP BY day, event_type""",
+    "day_table_rewrite": """
+        SELECT strftime(ts, '%Y%m%d') AS day, event_type, count(*) AS event_num,
+          CASE WHEN strftime(ts, '%Y%m%d') >= '20240116' THEN 2 * count(*) END AS twice
+        FROM events WHERE strftime(ts, '%Y%m%d') <> '20240120' GROUP BY 1, 2""",
     "append_docs": """
         SELECT c_custkey AS id, c_name AS name FROM customer
         UNION ALL SELECT s_suppkey, s_name FROM supplier""",

@@ -18,6 +18,7 @@ from dayfold.operators import (
     theta_join,
 )
 from dayfold.sinks.shared import write_aside
+from dayfold.sources import multi_scan
 
 
 def tie(value):
@@ -185,11 +186,36 @@ def test_theta_join(spark):
     )
     left = spark.createDataFrame(points, "p int, x double")
     right = spark.createDataFrame(bounds, "r string, low double, high double")
-    for width in (0.7, 10, 1000):
-        joined = theta_join(left, right, "x", "low", "high", width).select("p", "r")
-        assert sorted(map(tuple, joined.collect())) == expected
-    with pytest.raises(ValueError, match="width"):
-        theta_join(left, right, "x", "low", "high", 0)
+    joined = theta_join(left, right, "x", "low", "high").select("p", "r")
+    assert sorted(map(tuple, joined.collect())) == expected
+    assert theta_join(left, right.limit(0), "x", "low", "high").count() == 0
+
+
+def test_theta_join_of_ranges_of_all_widths(spark):
+    """One range over the whole domain, infinite ones and tiny ones at large values."""
+    inf = float("inf")
+    points = [0.0, -1e300, 1e18, 1e18 + 256, 7.5, 1e-9, 5e-324, inf]
+    bounds = [
+        (-1e308, 1e308), (-inf, inf), (0.0, inf), (7.0, 8.0), (0.0, 1e-8), (1e18, 1e18 + 200),
+        (0.0, 1e-323), (2.0**40, 2.0**41), (7.5, 7.500000001),
+    ]
+    expected = sorted((p, *b) for p in points for b in bounds if b[0] <= p < b[1])
+    left = spark.createDataFrame([(p,) for p in points], "x double")
+    right = spark.createDataFrame(bounds, "low double, high double")
+    joined = theta_join(left, right, "x", "low", "high").select("x", "low", "high")
+    assert sorted(map(tuple, joined.collect())) == expected
+    assert theta_join(
+        spark.createDataFrame([(2**62 + 1,)], "x long"),
+        spark.createDataFrame([(2**62, 2**62 + 2), (2**62 + 2, 2**62 + 9)], "low long, high long"),
+        "x", "low", "high",
+    ).count() == 1
+
+
+def test_scans_that_nothing_connects_are_refused(spark):
+    left, right = spark.range(3).toDF("a"), spark.range(3).toDF("b")
+    with pytest.raises(ValueError, match="equality"):
+        multi_scan([left, right], "a < b")
+    assert multi_scan([left, right], "a = b AND a < 2").count() == 2
 
 
 def test_cross_join_count(spark):
