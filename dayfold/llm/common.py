@@ -58,6 +58,21 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(start, rows)
 
 
+def sized_slices(
+    batches: Iterable[pa.RecordBatch], column: str, most: int
+) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces whose ``column`` has at most ``most`` bytes, or a single row more."""
+    for batch in batches:
+        lengths = pc.binary_length(batch.column(column)).fill_null(0)
+        ends = np.cumsum(np.asarray(lengths, np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = int(ends[start - 1]) if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
     """A record batch from one sequence per column."""
     return pa.RecordBatch.from_arrays(

@@ -13,18 +13,18 @@ import struct
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
-from itertools import accumulate, chain
 from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from dayfold.llm.common import batch_of, exact_columns, in_order, ragged, slices, text_bytes
+from dayfold.llm.common import batch_of, exact_columns, in_order, ragged, sized_slices, slices
 from dayfold.sinks.shared import write_aside
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -34,6 +34,8 @@ MEMO_CHUNKS = 1_500_000
 MEMO_LENGTH = 64
 # Chunks that are normalised in one call.
 TOGETHER = 4096
+# Bytes of text that are encoded together, so that a chunk they share is looked up once.
+TOGETHER_BYTES = 4 << 20
 # A character that no normaliser changes or joins to others, between such chunks.
 SEPARATOR = "\x01"
 # Below this character all are assigned, and have been for long.
@@ -137,7 +139,10 @@ class WordEncoder:
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            letters = "".join(map(self.letters.__getitem__, piece.encode()))
+            if piece.isascii() and piece.isprintable():
+                letters = piece  # such bytes stand for themselves
+            else:
+                letters = "".join(map(self.letters.__getitem__, piece.encode()))
             ids = packed_ids([t.id for t in self.tokenizer.model.tokenize(letters)])
             if len(piece) <= MEMO_LENGTH:
                 self.pieces[piece] = ids
@@ -162,24 +167,42 @@ class WordEncoder:
         plain = [c for c in chunks if c not in apart]
         ids = {c: self.encode_all(text) for c, text in apart.items()}
         for chunk, text in zip(plain, self._normalised(plain)):
-            ids[chunk] = b"".join(map(self._piece, self.pattern.findall(text)))
+            if text.isalpha():  # the pattern keeps a run of letters whole
+                ids[chunk] = self._piece(text)
+            else:
+                ids[chunk] = b"".join(map(self._piece, self.pattern.findall(text)))
         return ids
 
-    def encode(self, data: Sequence[bytes]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
+    def _known(self, chunks: Sequence[bytes]) -> list[bytes]:
+        """The ids of distinct chunks, from memory where they are there."""
         if len(self.chunks) >= MEMO_CHUNKS or len(self.pieces) >= MEMO_CHUNKS:
             self.chunks.clear()
             self.pieces.clear()
-        chunked = [text.split() for text in data]
-        flat = list(chain.from_iterable(chunked))
-        ids = list(map(self.chunks.get, flat))
+        ids = list(map(self.chunks.get, chunks))
         holes = [i for i, x in enumerate(ids) if x is None]
-        new = self._learn(list({flat[i] for i in holes}))
+        new = self._learn([chunks[i] for i in holes])
         for i in holes:
-            ids[i] = new[flat[i]]
+            ids[i] = new[chunks[i]]
         self.chunks.update((c, x) for c, x in new.items() if len(c) <= MEMO_LENGTH)
-        ends = [0, *accumulate(map(len, chunked))]
-        return [b"".join(ids[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+        return ids
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts one after another, and where each text's ids end (from 0 on).
+
+        Each distinct chunk is looked up once; the texts are put together from them in arrays.
+        """
+        chunked = pc.ascii_split_whitespace(column.fill_null(""))
+        coded = chunked.flatten().dictionary_encode()
+        known = self._known(coded.dictionary.cast(pa.large_binary()).to_pylist())
+        values = np.frombuffer(b"".join(known), "<u4")
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        codes = coded.indices.to_numpy()
+        counts = sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        first = (np.cumsum(sizes) - sizes)[codes]
+        places = np.repeat(first - ends[:-1], counts) + np.arange(ends[-1])
+        borders = np.asarray(chunked.offsets, np.int64)
+        return values[places], ends[borders - borders[0]]
 
 
 @lru_cache(maxsize=1)
@@ -222,11 +245,12 @@ def tokenised(docs: DataFrame, path: str = TOKENIZER, end_id: int = END_ID) -> D
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = loaded(path)
-        end = packed_ids([end_id])
-        for batch in slices(batches):
-            ids = [x + end for x in encoder.encode(list(text_bytes(batch.column("text"))))]
-            if max(encoder.size, end_id + 1) <= 1 << 16:
-                ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
+        kind = "<u2" if max(encoder.size, end_id + 1) <= 1 << 16 else "<u4"
+        end = np.array([end_id], kind).tobytes()
+        for batch in sized_slices(batches, "text", TOGETHER_BYTES):
+            found, ends = encoder.encode(batch.column("text"))
+            found = found.astype(kind)
+            ids = [found[a:b].tobytes() + end for a, b in zip(ends[:-1], ends[1:])]
             yield batch_of(TOKENS, doc_id=batch.column("doc_id").to_pylist(), ids=ids)
 
     return exact_columns(docs, "doc_id", "text").mapInArrow(encode, "doc_id bigint, ids binary")

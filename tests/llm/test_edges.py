@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -20,6 +21,7 @@ from dayfold.llm import (
     secrets,
     token_output,
 )
+from dayfold.llm.common import sized_slices
 
 KINDS = "doc_id bigint, text string, source string, TEXT string, _row int, part int, node string"
 LONG = "word another third " * 20_000
@@ -73,9 +75,10 @@ def test_packing(sequences):
 @given(st.text(max_size=60))
 def test_encoders_equal_the_libraries(text):
     words = token_output.loaded(token_output.TOKENIZER)
-    assert words.encode([text.encode("utf-8", "replace")])[0] == words.encode_all(
-        text.encode("utf-8", "replace").decode()
-    )
+    clean = text.encode("utf-8", "replace").decode()
+    found, ends = words.encode(pa.array(["", clean, None, clean], pa.string()))
+    each = [found[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
+    assert each == [b"", words.encode_all(clean), b"", words.encode_all(clean)]
     bpe = byte_bpe.loaded(byte_bpe.RANKS)
     plain = tiktoken.Encoding(
         "own", pat_str=byte_bpe.public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks,
@@ -86,6 +89,13 @@ def test_encoders_equal_the_libraries(text):
     assert bpe.decode(ids).decode() == text.encode("utf-8", "replace").decode()
 
 
+def test_slices_by_size():
+    texts = ["a" * 5, None, "", "b" * 9, "c" * 2, "d" * 2]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    cut = [b.column(0).to_pylist() for b in sized_slices([batch, batch.slice(0, 0)], "text", 4)]
+    assert cut == [["a" * 5], [None, ""], ["b" * 9], ["c" * 2, "d" * 2]]
+
+
 def test_byte_bpe_edges(awkward, nothing):
     encoded = byte_bpe.encode_documents(awkward)
     decoded = {(r.doc_id, bytes(r.content)) for r in byte_bpe.decode_documents(encoded).collect()}
