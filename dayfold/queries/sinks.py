@@ -78,9 +78,22 @@ def upsert_docs(spark, sf_dir):
         F.col("user_id").alias("id"), "event_id", "event_type"
     )
     table, path = _fresh(spark, "upsert_docs")
-    S.upsert_docs(customers, table, "id", buckets=16, path=path)
+    S.upsert_docs(customers, table, "id", path=path)
     S.upsert_docs(active, table, "id", order="event_id")
-    return _read_back(spark, table, path).select("id", "name", "event_id", "event_type")
+    return S.current_docs(_read_back(spark, table, path), "id")
+
+
+def compact_docs(spark, sf_dir):
+    """Orders by customer, in three batches that are merged twice."""
+    orders = read(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("id"), "o_orderkey", "o_orderstatus"
+    )
+    table, path = _fresh(spark, "compact_docs")
+    for status in ("F", "O", "P"):
+        batch = orders.where(F.col("o_orderstatus") == status)
+        S.upsert_docs(batch, table, "id", order="o_orderkey", path=path)
+        S.compact_docs(spark, table, "id")
+    return _read_back(spark, table, path).select("id", "o_orderkey", "o_orderstatus")
 
 
 def metrics_upsert(spark, sf_dir):
@@ -93,7 +106,7 @@ def metrics_upsert(spark, sf_dir):
     table, path = _fresh(spark, "metrics_upsert")
     S.metrics_upsert(customers, "nation", table, path=path)
     S.metrics_upsert(suppliers, "nation", table)
-    return _read_back(spark, table, path).select("nation", "customers", "suppliers")
+    return S.current_docs(_read_back(spark, table, path), "nation")
 
 
 def _exported(spark, sf_dir):
@@ -122,6 +135,7 @@ QUERIES = {
     "day_table_rewrite": day_table_rewrite,
     "append_docs": append_docs,
     "upsert_docs": upsert_docs,
+    "compact_docs": compact_docs,
     "metrics_upsert": metrics_upsert,
     "write_text": write_text,
     "whole_files": whole_files,
@@ -154,6 +168,13 @@ ORACLES = {
         UNION ALL
         SELECT user_id, NULL, max(event_id), arg_max(event_type, event_id) FROM events
         GROUP BY user_id""",
+    "compact_docs": """
+        SELECT o_custkey AS id, max(o_orderkey) AS o_orderkey,
+          o_orderstatus FROM orders JOIN (
+            SELECT o_custkey, max(o_orderstatus) AS o_orderstatus FROM orders
+            WHERE o_orderstatus IN ('F', 'O', 'P') GROUP BY o_custkey
+          ) USING (o_custkey, o_orderstatus)
+        GROUP BY o_custkey, o_orderstatus""",
     "metrics_upsert": """
         SELECT c_nationkey AS nation, count(*) AS customers, NULL::BIGINT AS suppliers
         FROM customer WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier)

@@ -3,6 +3,8 @@
 from dayfold.sinks.documents import (
     METRICS_RESOURCE,
     append_docs,
+    compact_docs,
+    current_docs,
     latest_per_id,
     metrics_upsert,
     upsert_docs,
@@ -14,6 +16,8 @@ __all__ = [
     "METRICS_RESOURCE",
     "append_docs",
     "append_table",
+    "compact_docs",
+    "current_docs",
     "latest_per_id",
     "metrics_upsert",
     "shared_path",

@@ -1,7 +1,7 @@
 """Documents: rows that are added, or that replace the row with the same id.
 
-``upsert_docs`` keeps them in a table partitioned by a hash of the id. A batch rewrites only
-the buckets it touches.
+``upsert_docs`` keeps them in a table with a partition per batch. The document of an id is the
+one of its latest batch.
 """
 
 from __future__ import annotations
@@ -11,9 +11,9 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from dayfold.sinks.shared import remove_path, shared_path, write_to
-from dayfold.sinks.tables import add_columns, overwrite_partitions
+from dayfold.sinks.tables import add_columns, drop_partitions, partition_columns
 
 # The target of the metrics preset and the settings of the search-index connector.
 METRICS_RESOURCE = "mlp/metrics"
@@ -22,8 +22,7 @@ RESOURCE_SETTING = "es.resource"
 ID_SETTING = "es.mapping.id"
 
 METRICS_TABLE = "metrics"
-BUCKET = "id_bucket"
-BUCKETS_PROPERTY = "dayfold.id_buckets"
+BATCH = "upsert_batch"
 
 
 def append_docs(
@@ -55,18 +54,30 @@ def append_docs(
 def latest_per_id(docs: DataFrame, id_field: str, order: str | None = None) -> DataFrame:
     """One document per id: the latest by ``order``; ties, or no order, go by the other columns.
 
-    A maximum over a struct, so that copies of an id are reduced before the shuffle.
+    Copies of an id are reduced before the shuffle. Columns that hold maps, which have no
+    order, are compared as JSON.
     """
     first = [order] if order is not None and order != id_field else []
     others = [c for c in docs.columns if c != id_field and c not in first]
     if not first + others:
         return docs.distinct()
-    best = docs.groupBy(id_field).agg(F.max(F.struct(*first, *others)).alias("_doc"))
-    return best.select(id_field, "_doc.*").select(*docs.columns)
+    doc = F.struct(*[F.col(f"`{c}`") for c in first + others])
+    rank = F.struct(*[_comparable(docs, c) for c in first + others])
+    best = docs.groupBy(id_field).agg(F.max_by(doc, rank).alias("_doc"))
+    return best.select(id_field, "_doc.*").select(*[f"`{c}`" for c in docs.columns])
 
 
-def _bucket(id_column: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(id_column), F.lit(buckets)).cast("int")
+def _comparable(docs: DataFrame, name: str) -> Column:
+    column = F.col(f"`{name}`")
+    return F.to_json(F.struct(column)) if _holds_map(docs.schema[name].dataType) else column
+
+
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(field.dataType) for field in kind)
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    return isinstance(kind, T.MapType)
 
 
 def _required(docs: DataFrame, id_field: str) -> DataFrame:
@@ -75,20 +86,24 @@ def _required(docs: DataFrame, id_field: str) -> DataFrame:
     return docs.withColumn(id_field, F.coalesce(F.col(id_field), missing))
 
 
-def _create(docs: DataFrame, table: str, buckets: int, path: str | None) -> None:
-    writer = docs.hint("rebalance", BUCKET).write.partitionBy(BUCKET)
-    (writer if path is None else writer.option("path", path)).saveAsTable(table)
-    docs.sparkSession.sql(
-        f"ALTER TABLE {table} SET TBLPROPERTIES ('{BUCKETS_PROPERTY}' = '{buckets}')"
-    )
+def _batches(spark: SparkSession, table: str) -> list[int]:
+    """The batches of a table, also those whose write died before the catalog knew of them."""
+    if partition_columns(spark, table) != [BATCH]:
+        raise ValueError(f"{table} was not written by upsert_docs")
+    spark.catalog.recoverPartitions(table)
+    rows = spark.sql(f"SHOW PARTITIONS {table}").collect()  # one per batch since the last compaction
+    return sorted(int(row[0].removeprefix(f"{BATCH}=")) for row in rows)
 
 
-def _stored_buckets(spark: SparkSession, table: str) -> int:
-    properties = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == BUCKETS_PROPERTY)
-    row = properties.first()
-    if row is None:
-        raise ValueError(f"{table} was not written by upsert_docs")
-    return int(row["value"])
+def _add_batch(docs: DataFrame, table: str, number: int) -> None:
+    """Append documents, null in the columns they lack, as a partition of their own."""
+    stored = docs.sparkSession.table(table).schema
+    columns = [
+        (F.col(f"`{f.name}`") if f.name in docs.columns else F.lit(None)).cast(f.dataType)
+        for f in stored
+        if f.name != BATCH
+    ]
+    docs.select(*columns, F.lit(number).cast("long")).hint("rebalance").write.insertInto(table)
 
 
 def upsert_docs(
@@ -96,7 +111,6 @@ def upsert_docs(
     table: str,
     id_field: str,
     order: str | None = None,
-    buckets: int = 64,
     path: str | None = None,
 ) -> None:
     """Insert documents; one with a known id replaces the whole stored document.
@@ -104,40 +118,52 @@ def upsert_docs(
     Columns the stored documents lack are added to the table; columns the new documents lack
     are null in them. Of several documents with one id in a batch the latest by ``order`` counts.
 
-    Only the id buckets that occur in the batch are read and rewritten. ``buckets`` counts when
-    the table is created: choose it so that a bucket comes to hold a few gigabytes.
-
-    The batch is written aside first, so that it is computed once and its size is known to the
-    join. So are the merged buckets, which are then moved in from there: nothing is overwritten
-    while it is being read, and a run that dies in between leaves them complete.
+    A batch is one more partition, with a number above all others: nothing stored is read or
+    rewritten, so the cost is that of the batch. ``current_docs`` gives the state, and
+    ``compact_docs`` merges the batches now and then. A run that dies can be repeated. A table
+    takes one writer at a time, which gives the numbers.
     """
     spark = docs.sparkSession
+    if BATCH in docs.columns:
+        raise ValueError(f"documents must not have a column {BATCH}")
     exists = spark.catalog.tableExists(table)
     if exists:
-        buckets = _stored_buckets(spark, table)
-        docs = docs.withColumn(
-            id_field, F.col(id_field).cast(spark.table(table).schema[id_field].dataType)
-        )
-    batch = latest_per_id(_required(docs, id_field), id_field, order).withColumn(
-        BUCKET, _bucket(F.col(id_field), buckets)
-    )
-    if not exists:
-        _create(batch, table, buckets, path)
+        number = max(_batches(spark, table), default=-1) + 1
+        stored = spark.table(table).schema
+        docs = docs.withColumn(id_field, F.col(id_field).cast(stored[id_field].dataType))
+    batch = latest_per_id(_required(docs, id_field), id_field, order)
+    if exists:
+        add_columns(spark, table, docs, stored.names)
+        _add_batch(batch, table, number)
         return
+    numbered = batch.withColumn(BATCH, F.lit(0).cast("long"))
+    writer = numbered.hint("rebalance").write.partitionBy(BATCH)
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
 
-    asides = [shared_path(spark, name) for name in ("upsert-batch", "upsert-merged")]
-    batch = write_to(batch, asides[0])
-    add_columns(spark, table, docs, spark.table(table).columns)
-    stored = spark.table(table)
-    touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]  # at most `buckets`
-    kept = stored.where(F.col(BUCKET).isin(touched)).join(
-        batch.select(id_field), [id_field], "left_anti"
-    )
-    merged = kept.unionByName(batch, allowMissingColumns=True).select(*stored.columns)
-    ready = write_to(merged.hint("rebalance", BUCKET), asides[1], [BUCKET])
-    overwrite_partitions(ready.select(*stored.columns), table)
-    for aside in asides:
-        remove_path(spark, aside)
+
+def current_docs(rows: DataFrame, id_field: str) -> DataFrame:
+    """The documents in the rows of a table of ``upsert_docs``: those of the latest batch per id.
+
+    One shuffle; the rows of an id are reduced before it.
+    """
+    others = [c for c in rows.columns if c not in (id_field, BATCH)]
+    if not others:
+        return rows.select(id_field).distinct()
+    doc = F.max_by(F.struct(*[F.col(f"`{c}`") for c in others]), F.col(BATCH)).alias("_doc")
+    latest = rows.groupBy(id_field).agg(doc).select(id_field, "_doc.*")
+    return latest.select(*[f"`{c}`" for c in rows.columns if c != BATCH])
+
+
+def compact_docs(spark: SparkSession, table: str, id_field: str) -> None:
+    """Merge all batches of a table into one.
+
+    The state is written as the newest batch before the older ones are removed, so a run that dies
+    in between changes no document. Queries that are still reading older batches fail.
+    """
+    batches = _batches(spark, table)
+    if len(batches) > 1:
+        _add_batch(current_docs(spark.table(table), id_field), table, batches[-1] + 1)
+        drop_partitions(spark, table, BATCH, batches)
 
 
 def metrics_upsert(
@@ -145,10 +171,9 @@ def metrics_upsert(
     id_field: str,
     table: str = METRICS_TABLE,
     order: str | None = None,
-    buckets: int = 4,
     path: str | None = None,
 ) -> None:
     """Upsert of metrics documents, or of a single one given as a mapping, into a fixed target."""
     if isinstance(metrics, Mapping):
         metrics = SparkSession.active().createDataFrame([dict(metrics)])
-    upsert_docs(metrics, table, id_field, order, buckets, path)
+    upsert_docs(metrics, table, id_field, order, path)

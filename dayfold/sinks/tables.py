@@ -97,14 +97,20 @@ def _detail(spark: SparkSession, table: str, name: str) -> str:
 
 
 def _empty_day(spark: SparkSession, table: str, day_column: str, day: str) -> None:
-    """Remove the rows of a day: its partition, and its files, which an external table keeps."""
+    """Remove the rows of a day."""
     value = day.replace("'", "\\'")
-    spec = f"PARTITION (`{day_column}` = '{value}')"
-    if spark.sql(f"SHOW PARTITIONS {table} {spec}").isEmpty():
-        return
-    where = f"{_detail(spark, table, 'Location').rstrip('/')}/{day_column}={day}"
+    if not spark.sql(f"SHOW PARTITIONS {table} PARTITION (`{day_column}` = '{value}')").isEmpty():
+        drop_partitions(spark, table, day_column, [day])
+
+
+def drop_partitions(spark: SparkSession, table: str, column: str, values: Sequence) -> None:
+    """Remove partitions and their files, which an external table would keep."""
+    location = _detail(spark, table, "Location").rstrip("/")
+    specs = [str(value).replace("'", "\\'") for value in values]
+    spec = ", ".join(f"PARTITION (`{column}` = '{value}')" for value in specs)
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
-    remove_path(spark, where)
+    for value in values:
+        remove_path(spark, f"{location}/{column}={value}")
     spark.catalog.refreshTable(table)
 
 
@@ -115,7 +121,7 @@ def overwrite_partitions(frame: DataFrame, table: str) -> None:
     it from the session, where other writes would see it.
     """
     spark = frame.sparkSession
-    columns = _partition_columns(spark, table)
+    columns = partition_columns(spark, table)
     (
         frame.hint("rebalance", *columns)
         .write.mode("overwrite")
@@ -128,7 +134,7 @@ def overwrite_partitions(frame: DataFrame, table: str) -> None:
     spark.catalog.refreshTable(table)
 
 
-def _partition_columns(spark: SparkSession, table: str) -> list[str]:
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from dayfold.sinks import (
     append_docs,
     append_table,
+    compact_docs,
+    current_docs,
     latest_per_id,
     metrics_upsert,
     shared_path,
@@ -141,6 +143,10 @@ def test_latest_per_id(spark):
     assert rows_of(latest_per_id(docs.select("id"), "id")) == [("1",), ("2",)]
 
 
+def state(spark, table, id_field="id"):
+    return current_docs(spark.table(table), id_field)
+
+
 def test_upsert_docs(spark, tmp_path):
     table, path = fresh("docs"), str(tmp_path / "t")
     base = spark.createDataFrame([("1", "a", 1), ("2", "b", 1)], "id string, v string, n int")
@@ -148,35 +154,66 @@ def test_upsert_docs(spark, tmp_path):
     upsert_docs(base, table, "id", path=path)
     upsert_docs(new, table, "id")
     expected = [("1", "a", 1), ("2", "c", None), ("3", "d", None)]
-    assert rows_of(spark.table(table).select("id", "v", "n")) == expected
+    assert rows_of(state(spark, table).select("id", "v", "n")) == expected
     upsert_docs(new, table, "id")  # the same batch again changes nothing
-    assert rows_of(spark.table(table).select("id", "v", "n")) == expected
+    assert rows_of(state(spark, table).select("id", "v", "n")) == expected
     extra = spark.createDataFrame([("3", 2.5)], "id string, extra double")
     upsert_docs(extra, table, "id")
-    assert rows_of(spark.table(table).select("id", "v", "n", "extra")) == [
+    assert rows_of(state(spark, table).select("id", "v", "n", "extra")) == [
         ("1", "a", 1, None), ("2", "c", None, None), ("3", None, None, 2.5),
     ]
 
 
-def test_upsert_touches_only_its_buckets(spark, tmp_path):
+def test_upsert_writes_only_its_batch(spark, tmp_path):
     table, path = fresh("docs"), str(tmp_path / "t")
-    docs = spark.range(1000).select(F.col("id"), F.lit("old").alias("v"))
-    upsert_docs(docs, table, "id", buckets=16, path=path)
+    docs = spark.range(20_000).select(F.col("id"), F.lit("old").alias("v"))
+    upsert_docs(docs, table, "id", path=path)
 
     def files():
         return {
-            d: sorted(f for f in os.listdir(f"{path}/{d}") if f.startswith("part-"))
+            f"{d}/{f}"
             for d in os.listdir(path)
-            if d.startswith("id_bucket=")
+            if d.startswith("upsert_batch=")
+            for f in os.listdir(f"{path}/{d}")
+            if f.startswith("part-")
         }
 
     before = files()
-    assert len(before) == 16
-    upsert_docs(spark.range(7, 8).select(F.col("id").cast("int"), F.lit("new").alias("v")), table, "id")
-    after = files()
-    assert sum(before[d] != after[d] for d in before) == 1
-    assert spark.table(table).count() == 1000
-    assert rows_of(spark.table(table).where("v = 'new'").select("id")) == [(7,)]
+    new = spark.range(1000).select(F.col("id").cast("int"), F.lit("new").alias("v"))
+    upsert_docs(new, table, "id")
+    assert before < files() and len(files() - before) == 1
+    assert state(spark, table).count() == 20_000
+    assert state(spark, table).where("v = 'new'").count() == 1000
+
+
+@pytest.mark.parametrize("external", [True, False])
+def test_compacting_keeps_the_state(spark, tmp_path, external):
+    table = fresh("docs")
+    path = str(tmp_path / "t") if external else None
+    for batch in ([("1", "a"), ("2", "b")], [("2", "c")], [("3", "d"), ("1", "e")]):
+        upsert_docs(spark.createDataFrame(batch, "id string, v string"), table, "id", path=path)
+    expected = [("1", "e"), ("2", "c"), ("3", "d")]
+    for _ in range(2):
+        assert rows_of(state(spark, table)) == expected
+        compact_docs(spark, table, "id")
+        assert rows_of(spark.table(table).select("id", "v")) == expected
+        if external:
+            assert sum(d.startswith("upsert_batch=") for d in os.listdir(path)) == 1
+    upsert_docs(spark.createDataFrame([("3", "z")], "id string, v string"), table, "id")
+    assert rows_of(state(spark, table)) == [*expected[:2], ("3", "z")]
+
+
+def test_upsert_of_maps(spark, tmp_path):
+    table = fresh("docs")
+    docs = spark.createDataFrame(
+        [("1", {"a": 1}, 1), ("1", {"b": 2}, 2), ("2", None, 1)],
+        "id string, m map<string, int>, at int",
+    )
+    upsert_docs(docs, table, "id", order="at", path=str(tmp_path / "t"))
+    upsert_docs(docs.where("id = '2'").select("id", F.create_map(F.lit("c"), "at").alias("m")), table, "id")
+    found = {r.id: (r.m, r["at"]) for r in state(spark, table).collect()}
+    assert found == {"1": ({"b": 2}, 2), "2": ({"c": 1}, None)}
+    assert latest_per_id(docs.drop("at"), "id").count() == 2
 
 
 def test_upsert_batch_with_copies_and_orders(spark, tmp_path):
@@ -204,7 +241,7 @@ def test_metrics_upsert(spark, tmp_path):
     metrics_upsert({"iteration": "70", "length": "2.5"}, "iteration", table, path=str(tmp_path / "t"))
     metrics_upsert({"iteration": "70", "size": "3.5"}, "iteration", table)
     metrics_upsert({"iteration": "71", "size": "4.5"}, "iteration", table)
-    assert rows_of(spark.table(table).select("iteration", "length", "size")) == [
+    assert rows_of(state(spark, table, "iteration").select("iteration", "length", "size")) == [
         ("70", None, "3.5"), ("71", None, "4.5"),
     ]
 
