@@ -18,6 +18,7 @@ from dayfold.operators.clean import (
 from dayfold.operators.collect import group_collect
 from dayfold.operators.combine import (
     Categories,
+    DistinctCounts,
     Metric,
     combine_sources,
     metric_names,
@@ -27,6 +28,7 @@ from dayfold.operators.join import attach_dimension, theta_join
 
 __all__ = [
     "Categories",
+    "DistinctCounts",
     "Metric",
     "add_ratios",
     "attach_dimension",

@@ -55,16 +55,31 @@ class Categories:
     value: str | None = None
 
 
-Source = DataFrame | Metric | Categories | None
+@dataclass(frozen=True)
+class DistinctCounts:
+    """One source with distinct counts of ``term`` over subsets of its rows, read once.
+
+    ``names``: metric to the condition on rows that it counts. A (key, term) moves once, with the
+    subsets that it occurs in, instead of once per metric.
+    """
+
+    frame: DataFrame | None
+    term: str | Column
+    names: Mapping[str, str | Column]
+
+
+Source = DataFrame | Metric | Categories | DistinctCounts | None
 
 
 def metric_names(sources: Mapping[str, Source]) -> list[str]:
-    """The metrics that ``sources`` yield: one per entry, or one per category."""
-    return [
-        metric
-        for name, source in sources.items()
-        for metric in (source.names.values() if isinstance(source, Categories) else [name])
-    ]
+    """The metrics that ``sources`` yield: one per entry, or one per category or subset."""
+
+    def names_of(name: str, source: Source) -> list[str]:
+        if isinstance(source, Categories):
+            return list(source.names.values())
+        return list(source.names) if isinstance(source, DistinctCounts) else [name]
+
+    return [metric for name, source in sources.items() for metric in names_of(name, source)]
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -152,12 +167,15 @@ def combine_sources(sources: Mapping[str, Source], key: str | Sequence[str] = "e
     absent: list[str] = []
     tag = 0
     for name, source in sources.items():
-        source = source if isinstance(source, (Metric, Categories)) else Metric(source)
+        known = isinstance(source, (Metric, Categories, DistinctCounts))
+        source = source if known else Metric(source)
         names = metric_names({name: source})
         if source.frame is None:
             absent += names
         elif isinstance(source, Categories):
             branches.append(_category_branch(source, keys, tag))
+        elif isinstance(source, DistinctCounts):
+            branches.append(_distinct_branch(source, keys, tag))
         else:
             branches.append(_metric_branch(name, source, keys, tag))
         tag += len(names)
@@ -227,6 +245,27 @@ def _category_branch(source: Categories, keys: Sequence[str], first: int) -> _Br
     return _Branch(rows, results)
 
 
+def _distinct_branch(source: DistinctCounts, keys: Sequence[str], first: int) -> _Branch:
+    conditions = [F.expr(c) if isinstance(c, str) else c for c in source.names.values()]
+    tags = range(first, first + len(conditions))
+    term = F.expr(source.term) if isinstance(source.term, str) else source.term
+    flagged = source.frame.select(
+        *keys,
+        term.alias(_TERM),
+        *[F.coalesce(c, F.lit(False)).alias(f"_in_{tag}") for tag, c in zip(tags, conditions)],
+    )
+    flags = [F.col(f"_in_{tag}") for tag in tags]
+    terms = (
+        flagged.where(reduce(lambda a, b: a | b, flags))
+        .groupBy(*keys, _TERM)
+        .agg(*[F.max(f"_in_{tag}").alias(f"_in_{tag}") for tag in tags])
+    )
+    found = F.array_compact(F.array(*[F.when(f, F.lit(tag)) for tag, f in zip(tags, flags)]))
+    rows = terms.select(*keys, F.explode(found).alias(_TAG), _counted(F.col(_TERM)))
+    results = [F.sum(_of(tag, _COUNTED)).alias(name) for tag, name in zip(tags, source.names)]
+    return _Branch(rows, results)
+
+
 def _metric_branch(name: str, metric: Metric, keys: Sequence[str], tag: int) -> _Branch:
     if isinstance(metric.term, Column):
         term = metric.term

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from dayfold.operators.clean import tag_date
-from dayfold.operators.combine import Categories, Metric, combine_sources
+from dayfold.operators.combine import Categories, DistinctCounts, Metric, combine_sources
 from dayfold.sinks.tables import write_day_table
 from dayfold.sources.scans import day_scan, load_or_none
 
@@ -40,7 +41,7 @@ MIX_TABLE = "ml_raw.message_mix"
 
 
 def message_mix_table(
-    new_sessions: DataFrame | None,
+    new_sessions: DataFrame | Column | None,
     active_sessions: DataFrame | None,
     messages: DataFrame | None,
     categories: Mapping[str, str] = MESSAGE_CATEGORIES,
@@ -49,17 +50,21 @@ def message_mix_table(
     """Distinct new and active sessions and the message volume per type, per entity.
 
     The inputs are raw rows, restricted to a day beforehand or, with ``day_column``, grouped by
-    it as well. Entities that occur in any input appear; what they lack is 0.
+    it as well. Entities that occur in any input appear; what they lack is 0. Where one table
+    holds both kinds of session, ``new_sessions`` is a condition on the rows of
+    ``active_sessions``; each distinct session is then shuffled once.
     """
     keys = [KEY] if day_column is None else [KEY, day_column]
-    return combine_sources(
-        {
+    if isinstance(new_sessions, Column):
+        subsets = {NEW_SESSIONS: new_sessions, ACTIVE_SESSIONS: F.lit(True)}
+        sessions = {"sessions": DistinctCounts(active_sessions, SESSION, subsets)}
+    else:
+        sessions = {
             NEW_SESSIONS: Metric(new_sessions, "count_distinct", SESSION),
             ACTIVE_SESSIONS: Metric(active_sessions, "count_distinct", SESSION),
-            MESSAGE_TABLE: Categories(messages, CATEGORY, categories, COUNT),
-        },
-        keys,
-    )
+        }
+    volume = {MESSAGE_TABLE: Categories(messages, CATEGORY, categories, COUNT)}
+    return combine_sources(sessions | volume, keys)
 
 
 def run_message_job(

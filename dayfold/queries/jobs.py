@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from dayfold.operators import Categories
 from dayfold.plans import FEED_TABLES, daily_feature_table, message_mix_table
-from dayfold.queries.tables import EVENT_TYPES, enterprise, events_of, read
+from dayfold.queries.tables import EVENT_TYPES, enterprise, read
 from dayfold.sources import day_range_scan
 
 DAY = "20240110"
@@ -39,8 +39,8 @@ def _message_mix(spark, sf_dir, day_column=None):
     days = [EVENT_DAY] if day_column else []
     events = read(spark, sf_dir, "events")
     mix = message_mix_table(
-        events_of(events, "signup").selectExpr(EID, SESSION, *days),
-        events.selectExpr(EID, SESSION, *days),
+        F.col("event_type") == "signup",
+        events.selectExpr(EID, SESSION, "event_type", *days),
         events.selectExpr(EID, "event_type AS messagetype", "value AS count", *days),
         MESSAGE_METRICS,
         day_column,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dayfold.operators import (
     Categories,
+    DistinctCounts,
     Metric,
     attach_dimension,
     category_sums,
@@ -123,6 +124,31 @@ def test_only_distinct_counts(spark):
     same(combined, outer_combine(literal))
 
 
+@pytest.mark.parametrize("keys", [["eid"], ["eid", "day"]])
+def test_distinct_counts_of_subsets(spark, keys):
+    a, b = random_rows(spark, 31), random_rows(spark, 32)
+    subsets = {"t": "kind = 'T'", "every": F.lit(True), "none": "n < -1e9"}
+    combined = combine_sources(
+        {
+            "sets": DistinctCounts(a, "session", subsets),
+            "numbers": DistinctCounts(b, F.col("n") % 4, {"small": F.col("n") < 3}),
+            "rows": Metric(b),
+            "gone": DistinctCounts(None, "session", {"x": "true", "y": "false"}),
+        },
+        keys,
+    )
+    literal = {
+        "t": group_metrics(a.where("kind = 'T'"), keys, {"t": "distinct session"}),
+        "every": group_metrics(a, keys, {"every": "distinct session"}),
+        "none": group_metrics(a.where("n < -1e9"), keys, {"none": "distinct session"}),
+        "small": group_metrics(b.where("n < 3"), keys, {"small": "distinct n % 4"}),
+        "rows": group_metrics(b, keys, {"rows": "*"}),
+        "x": None,
+        "y": None,
+    }
+    same(combined, outer_combine(literal, keys))
+
+
 def test_category_sums(spark):
     frame = random_rows(spark, 31)
     names = {k: f"seed{k.lower()}" for k in "TAI"}
