@@ -29,8 +29,10 @@ from dayfold.sinks.shared import write_aside
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
-# Entries that a worker remembers; more only make it start over, never change a result.
-MEMO_CHUNKS = 1_500_000
+# Entries that a worker remembers; more only make it start over, never change a result. A chunk
+# that was forgotten is put together again from its pieces, which is cheap.
+MEMO_CHUNKS = 500_000
+MEMO_PIECES = 1_000_000
 MEMO_LENGTH = 64
 # Chunks that are normalised in one call.
 TOGETHER = 4096
@@ -175,8 +177,9 @@ class WordEncoder:
 
     def _known(self, chunks: Sequence[bytes]) -> list[bytes]:
         """The ids of distinct chunks, from memory where they are there."""
-        if len(self.chunks) >= MEMO_CHUNKS or len(self.pieces) >= MEMO_CHUNKS:
+        if len(self.chunks) >= MEMO_CHUNKS:
             self.chunks.clear()
+        if len(self.pieces) >= MEMO_PIECES:
             self.pieces.clear()
         ids = list(map(self.chunks.get, chunks))
         holes = [i for i, x in enumerate(ids) if x is None]
