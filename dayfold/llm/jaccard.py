@@ -46,25 +46,33 @@ MEMO_WORDS = 1_000_000
 NO_ID = -(2**63)
 
 _WORD_POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(WORDS)], np.uint64)
-_ODD = np.random.default_rng(11).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def runs_needed(threshold: float = THRESHOLD, recall: float = RECALL) -> int:
     """Runs after which a pair at the threshold has met with probability ``recall``.
 
-    Two sets of one size share ``2 t / (1 + t)`` of their tokens, so as many of those that each
-    chooses; they meet at a level when there is at least one, and must do so at every level.
+    Two sets share at least ``t`` of the tokens of the larger one (just so many where it holds
+    the other), so at least as many of those that it chooses. What a set chooses at a level is
+    the same on all paths of a run, so the levels are three independent draws: where no bucket
+    on the way is small, the pair meets when each of them has a shared token.
     """
-    shared, met = CHOSEN * 2 * threshold / (1 + threshold), 1.0
-    for _ in range(DEPTH):
-        met = 1 - exp(-shared * met)
+    met = (1 - exp(-CHOSEN * threshold)) ** DEPTH
     return ceil(log(1 - recall) / log(1 - met))
 
 
-def _mixed(values: np.ndarray, number: int) -> np.ndarray:
-    mixed = values * _ODD[number]
+def _odd(seed: int, number: int) -> np.ndarray:
+    """Odd factors, two for each hash function."""
+    drawn = np.random.default_rng(seed).integers(0, 2**63, number, dtype=np.uint64)
+    return drawn * np.uint64(2) + np.uint64(1)
+
+
+def _mixed(values: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    mixed = values * factors[0]
     mixed ^= mixed >> np.uint64(29)
-    return mixed * _ODD[number + 1]
+    return mixed * factors[1]
+
+
+_ODD = _odd(11, SLOTS + 2)
 
 
 class Shingler:
@@ -107,6 +115,7 @@ def signatures(docs: DataFrame, runs: int) -> DataFrame:
     """(doc_id, node, size, sketch, level0..): the tokens chosen per run at each level."""
     levels = ", ".join(f"level{d} array<array<bigint>>" for d in range(DEPTH))
     nested = pa.list_(pa.list_(pa.int64()))
+    factors = _odd(12, 2 * runs * DEPTH)
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
@@ -120,7 +129,7 @@ def signatures(docs: DataFrame, runs: int) -> DataFrame:
             if len(filled):
                 for slot in range(SLOTS):
                     lowest = np.minimum.reduceat(tokens * _ODD[slot], starts)
-                    sketch[filled, slot] = (_mixed(lowest, 200) >> np.uint64(48)).astype("<u2")
+                    sketch[filled, slot] = (_mixed(lowest, _ODD[SLOTS:]) >> np.uint64(48)).astype("<u2")
             share = np.minimum(1.0, CHOSEN / np.maximum(sizes, 1))
             below = np.repeat((share * float(2**63)).astype(np.uint64) * np.uint64(2), sizes)
             all_of = np.repeat(share >= 1.0, sizes)
@@ -129,7 +138,7 @@ def signatures(docs: DataFrame, runs: int) -> DataFrame:
             for depth in range(DEPTH):
                 per_doc: list[list[list[int]]] = [[] for _ in sets]
                 for run in range(runs):
-                    kept = (_mixed(tokens, SLOTS + 2 * (run * DEPTH + depth)) < below) | all_of
+                    kept = (_mixed(tokens, factors[2 * (run * DEPTH + depth) :]) < below) | all_of
                     found = tokens[kept].view(np.int64).tolist()
                     ends = np.searchsorted(place[kept], np.arange(len(sets) + 1)).tolist()
                     for i, own in enumerate(per_doc):
@@ -146,8 +155,6 @@ def signatures(docs: DataFrame, runs: int) -> DataFrame:
                 names=["doc_id", "node", "size", "sketch", *[f"level{d}" for d in range(DEPTH)]],
             )
 
-    if 2 * runs * DEPTH + SLOTS + 2 > 200:
-        raise ValueError("too many runs for the hash functions at hand")
     return exact_columns(docs, "doc_id", "text").mapInArrow(
         sign, f"doc_id bigint, node binary, size bigint, sketch binary, {levels}"
     )
@@ -221,17 +228,12 @@ def _similar(threshold: float):
 
 def _candidates(nodes: DataFrame) -> DataFrame:
     """(node, links, root): sets that met in a bucket and look alike."""
-    runs = F.posexplode(F.arrays_zip(*[f"level{d}" for d in range(DEPTH)])).alias("run", "picks")
-    rows = nodes.select("node", runs)
-    rows = rows.select(
-        "node",
-        F.col("run").cast("long").alias("path"),
-        F.explode("picks.level0").alias("token"),
-        F.array(*[f"picks.level{d}" for d in range(1, DEPTH)]).alias("next"),
+    rows = nodes.select("node", F.posexplode("level0").alias("run", "picks")).select(
+        "node", "run", F.col("run").cast("long").alias("path"), F.explode("picks").alias("token")
     )
     ready = None
     for depth in range(DEPTH):
-        rows = rows.select("node", F.xxhash64("path", "token").alias("path"), "next")
+        rows = rows.select("node", "run", F.xxhash64("path", "token").alias("path"))
         sizes = rows.groupBy("path").agg(F.count("*").alias("members"))
         # Written, so that the join has shuffles of its own, which can be split where skewed.
         sizes = write_aside(sizes.where(F.col("members") > 1), "jaccard-sizes")
@@ -242,8 +244,11 @@ def _candidates(nodes: DataFrame) -> DataFrame:
         done = done.select("node", "path", "members")
         ready = done if ready is None else ready.unionByName(done)
         if not last:
-            rows = met.where(F.col("members") > SMALL).select(
-                "node", "path", F.explode(F.col("next")[depth]).alias("token"), "next"
+            # Only rows of large buckets need the next choices.
+            level = f"level{depth + 1}"
+            rows = met.where(F.col("members") > SMALL).join(nodes.select("node", level), ["node"])
+            rows = rows.select(
+                "node", "run", "path", F.explode(F.col(level)[F.col("run")]).alias("token")
             )
     weight = F.lit(1).cast("long").alias("weight")
     compared = ready.distinct().join(nodes.select("node", "sketch", weight), ["node"])

@@ -148,6 +148,25 @@ def test_jaccard_large_groups(spark):
     assert (found[found.doc_id >= 1000].n_links == 0).all()
 
 
+def test_jaccard_recall_in_large_buckets(spark, monkeypatch):
+    """Pairs at the threshold, one inside the other, whose buckets are all split to the end."""
+    monkeypatch.setattr(jaccard, "SMALL", 1)
+    pairs, rows = 2000, []
+    for i in range(pairs):
+        words = [f"t{i}_{j}" for j in range(24)]
+        rows += [(2 * i, " ".join(words[:20]), "a"), (2 * i + 1, " ".join(words), "a")]
+    found = jaccard.similar_documents(docs_of(spark, rows)).toPandas()
+    assert set(found.n_shingles) == {16, 20} and set(found.n_links) <= {0, 1}
+    assert (found.n_links == 0).sum() / 2 <= (1 - jaccard.RECALL) * pairs
+
+
+def test_jaccard_runs_have_hashes(spark):
+    """A lower threshold needs more runs, and has them."""
+    assert jaccard.runs_needed(0.5) > 22
+    docs = docs_of(spark, [(1, "a b c d e f", "a"), (2, "a b c d e f g", "a")])
+    assert {r.n_links for r in jaccard.similar_documents(docs, 0.5).collect()} == {1}
+
+
 def test_components(spark):
     """A long path and a hub become one component each."""
     name = lambda i: (i * 2654435761 % 2**32).to_bytes(16, "big")
