@@ -43,6 +43,8 @@ SLOTS = 64
 SLACK = 4.0
 # Word hashes that a worker remembers.
 MEMO_WORDS = 1_000_000
+# Sets that a task remembers to have given to their group.
+MEMO_SETS = 100_000
 NO_ID = -(2**63)
 
 _WORD_POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(WORDS)], np.uint64)
@@ -112,7 +114,10 @@ def node_of(shingles: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, runs: int) -> DataFrame:
-    """(doc_id, node, size, sketch, level0..): the tokens chosen per run at each level."""
+    """(doc_id, said, node, size, sketch, level0..): the tokens chosen per run at each level.
+
+    ``said`` is a hash of the text, which finds a row among those of its doc_id.
+    """
     levels = ", ".join(f"level{d} array<array<bigint>>" for d in range(DEPTH))
     nested = pa.list_(pa.list_(pa.int64()))
     factors = _odd(12, 2 * runs * DEPTH)
@@ -147,16 +152,21 @@ def signatures(docs: DataFrame, runs: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
+                    batch.column("said"),
                     pa.array([node_of(s) for s in sets], pa.binary()),
                     pa.array(sizes, pa.int64()),
                     pa.array([row.tobytes() for row in sketch], pa.binary()),
                     *chosen,
                 ],
-                names=["doc_id", "node", "size", "sketch", *[f"level{d}" for d in range(DEPTH)]],
-            )
+                names=[
+                    "doc_id", "said", "node", "size", "sketch",
+                    *[f"level{d}" for d in range(DEPTH)],
+                ],
+            )
 
-    return exact_columns(docs, "doc_id", "text").mapInArrow(
-        sign, f"doc_id bigint, node binary, size bigint, sketch binary, {levels}"
+    plain = exact_columns(docs, "doc_id", "text").withColumn("said", F.xxhash64("text"))
+    return plain.mapInArrow(
+        sign, f"doc_id bigint, said bigint, node binary, size bigint, sketch binary, {levels}"
     )
 
 
@@ -203,11 +213,20 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _similar(threshold: float):
-    """Pairs of sets with the threshold's similarity or more, by the sets themselves."""
+    """Pairs of sets with the threshold's similarity or more, by the sets themselves.
+
+    Rows that repeat a set stand side by side; the first of them counts for all.
+    """
 
     def pairs(table: pa.Table, rows: np.ndarray, others: np.ndarray | None):
-        every = rows if others is None else np.concatenate([rows, others])
         column, names = table.column("shingles"), table.column("node")
+
+        def firsts(places: np.ndarray) -> np.ndarray:
+            own = [names[i].as_py() for i in places.tolist()]
+            return places[[i == 0 or own[i] != own[i - 1] for i in range(len(own))]]
+
+        rows = firsts(rows)
+        every = rows if others is None else np.concatenate([rows, firsts(others)])
         sets = [np.frombuffer(column[i].as_py(), np.uint64) for i in every.tolist()]
         sizes = np.array([len(s) for s in sets])
         shared = intersections(sets)
@@ -219,9 +238,7 @@ def _similar(threshold: float):
             close[len(rows) :, :] = False
             close[:, : len(rows)] = False
         a, b = np.nonzero(close)
-        name = [names[i].as_py() for i in every.tolist()]
-        apart = np.array([name[i] != name[j] for i, j in zip(a.tolist(), b.tolist())], bool)
-        return (every[a[apart]], every[b[apart]]) if len(a) else (a, b)
+        return every[a], every[b]
 
     return pairs
 
@@ -277,10 +294,11 @@ def similar_documents(
     """
     signed = write_aside(signatures(docs, runs_needed(threshold, recall)), "jaccard-signatures")
     levels = [F.first(f"level{d}").alias(f"level{d}") for d in range(DEPTH)]
-    own = F.col("doc_id")
     nodes = write_aside(
         signed.groupBy("node").agg(
-            F.min(own).alias("first_id"),
+            F.min("doc_id").alias("first_id"),
+            # Of the rows with first_id, null or not, the text that stands for the set.
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "said"))["said"].alias("said"),
             F.count("*").alias("weight"),
             F.first("size").alias("size"),
             F.first("sketch").alias("sketch"),
@@ -292,29 +310,38 @@ def similar_documents(
     sizes = groups.groupBy("component").agg(F.count("*").alias("members"))
     wanted = (
         groups.join(sizes, ["component"])
-        .join(nodes.select("node", "first_id", "weight"), ["node"])
+        .join(nodes.select("node", "first_id", "said", "weight"), ["node"])
         .select(
-            "component", "node", "weight", "members",
+            "component", "node", "weight", "members", "said",
             F.coalesce("first_id", F.lit(NO_ID)).alias("_id"),
         )
     )
     plain = exact_columns(docs, "doc_id", "text").select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), "text"
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"),
+        F.xxhash64("text").alias("said"),
+        "text",
     )
 
     def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
+        shingler, given = Shingler(), set()
         for batch in slices(batches):
-            sets = [shingler(text) for text in text_bytes(batch.column("text"))]
-            # A doc_id that comes again with another text is not the set that is looked for.
-            right = [
-                node_of(s) == node for s, node in zip(sets, batch.column("node").to_pylist())
-            ]
+            if len(given) > MEMO_SETS:
+                given.clear()
+            sets, right = [], []
+            for text, node in zip(text_bytes(batch.column("text")), batch.column("node").to_pylist()):
+                # Equal rows are one set: a task gives it once, its group takes the first.
+                own = np.zeros(0, np.uint64) if node in given else shingler(text)
+                # Another text with the same doc_id and hash is not the set that is looked for.
+                right.append(node not in given and node_of(own) == node)
+                sets.append(own)
+                if right[-1]:
+                    given.add(node)
             shingles = pa.array([s.tobytes() for s in sets], pa.binary())
             kept = batch.select(["component", "node", "weight", "members"])
             yield kept.append_column("shingles", shingles).filter(pa.array(right))
 
-    sets = plain.join(wanted, ["_id"]).mapInArrow(
+    # The text is part of the key, so null ids meet only their own sets.
+    sets = plain.join(wanted, ["_id", "said"]).mapInArrow(
         gather,
         "component binary, node binary, weight bigint, members bigint, shingles binary",
     )

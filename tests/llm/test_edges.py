@@ -160,6 +160,28 @@ def test_jaccard_recall_in_large_buckets(spark, monkeypatch):
     assert (found.n_links == 0).sum() / 2 <= (1 - jaccard.RECALL) * pairs
 
 
+@pytest.mark.parametrize("doc_id", [3, None])
+def test_jaccard_repeated_rows(spark, doc_id):
+    """Equal rows are as many links for their neighbours as they are, with an id or without."""
+    base = " ".join(f"r{i}" for i in range(60))
+    rows = [(doc_id, base, "a"), (doc_id, base, "a"), (doc_id and 4, base + " tail", "a")]
+    rows += [(doc_id, "other words that are alone here", "a"), (5, base + " end", "a")]
+    found = jaccard.similar_documents(docs_of(spark, rows)).select("n_same", "n_links", "class_id")
+    least = doc_id or 5
+    alone = (1, 0, doc_id)
+    assert rows_of(found) == sorted(
+        [(2, 3, least), (2, 3, least), (1, 3, least), (1, 3, least), alone], key=repr
+    )
+
+
+def test_jaccard_null_ids(spark):
+    """Sets without an id are compared once each."""
+    base = " ".join(f"q{i}" for i in range(60))
+    rows = [(None, f"{base} end{i}", "a") for i in range(120) for _ in range(2)]
+    found = jaccard.similar_documents(docs_of(spark, rows)).toPandas()
+    assert (found.n_links == 239).all() and (found.n_same == 2).all()
+
+
 def test_jaccard_runs_have_hashes(spark):
     """A lower threshold needs more runs, and has them."""
     assert jaccard.runs_needed(0.5) > 22
