@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from dayfold.llm import (
     byte_bpe,
     chat,
@@ -13,6 +15,7 @@ from dayfold.llm import (
     quality,
     secrets,
     token_output,
+    whitening,
 )
 
 # The turns of the added conversation.
@@ -83,6 +86,13 @@ def op10_embedding_dedup(spark, sf_dir):
     return embeddings.near_duplicates(_read(spark, sf_dir, "embeddings"))
 
 
+def op12_whitening(spark, sf_dir):
+    """Coordinates of all vectors along the leading directions of their covariance."""
+    whitened = whitening.whiten(_read(spark, sf_dir, "embeddings"))
+    # Null where the exact number is no long.
+    return whitened.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_lm_score": op2_lm_score,
@@ -94,6 +104,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_quality": op9_quality,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op12_whitening": op12_whitening,
 }
 
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
