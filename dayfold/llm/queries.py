@@ -14,6 +14,7 @@ from dayfold.llm import (
     mixing,
     quality,
     secrets,
+    spelling,
     token_output,
     whitening,
 )
@@ -86,6 +87,11 @@ def op10_embedding_dedup(spark, sf_dir):
     return embeddings.near_duplicates(_read(spark, sf_dir, "embeddings"))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    """Words with the frequent words that they are variants of."""
+    return spelling.spelling_variants(_read(spark, sf_dir, "documents"))
+
+
 def op12_whitening(spark, sf_dir):
     """Coordinates of all vectors along the leading directions of their covariance."""
     whitened = whitening.whiten(_read(spark, sf_dir, "embeddings"))
@@ -104,6 +110,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_quality": op9_quality,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_whitening": op12_whitening,
 }
 
