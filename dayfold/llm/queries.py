@@ -15,6 +15,7 @@ from dayfold.llm import (
     quality,
     secrets,
     spelling,
+    suffixes,
     token_output,
     whitening,
 )
@@ -99,6 +100,11 @@ def op12_whitening(spark, sf_dir):
     return whitened.withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def op13_suffix_dedup(spark, sf_dir):
+    """What stays of every text without passages of documents with smaller ids."""
+    return suffixes.remove_repeats(_read(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_lm_score": op2_lm_score,
@@ -112,6 +118,7 @@ QUERIES = {
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_whitening": op12_whitening,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -191,4 +198,32 @@ ORACLES = {
         FROM embeddings e LEFT JOIN classes ON node = e.vec_id
         LEFT JOIN (SELECT a, count(*) AS n, count(*) FILTER (WHERE same) AS same
                    FROM pairs GROUP BY a) ON a = e.vec_id""",
+    "op13_suffix_dedup": """
+        WITH texts AS (
+          SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        windows AS (
+          SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS w
+          FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM texts)),
+        gone AS (
+          SELECT doc_id, i FROM windows
+          JOIN (SELECT w, min(doc_id) AS least FROM windows GROUP BY w
+                HAVING min(doc_id) < max(doc_id)) USING (w)
+          WHERE least < doc_id),
+        begun AS (
+          SELECT doc_id, i, coalesce(i > 50 + lag(i) OVER (PARTITION BY doc_id ORDER BY i), true)
+            AS starts FROM gone),
+        runs AS (
+          SELECT doc_id, min(i) AS a, max(i) + 50 AS b
+          FROM (SELECT *, count_if(starts) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM begun)
+          GROUP BY doc_id, run),
+        kept AS (
+          SELECT doc_id, string_agg(substr(h, 2 * b + 1, 2 * (coalesce(next, length(h) // 2) - b)),
+                                    '' ORDER BY b) AS h
+          FROM (SELECT doc_id, b, lead(a) OVER (PARTITION BY doc_id ORDER BY b) AS next
+                FROM (SELECT * FROM runs UNION ALL SELECT doc_id, 0, 0 FROM texts))
+          JOIN texts USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, length(t.h) // 2 AS n_bytes, (length(t.h) - length(k.h)) // 2 AS n_removed,
+          coalesce(n, 0) AS n_spans, sha256(unhex(k.h)) AS kept_sha256
+        FROM texts t JOIN kept k USING (doc_id)
+        LEFT JOIN (SELECT doc_id, count(*) AS n FROM runs GROUP BY doc_id) USING (doc_id)""",
 }
