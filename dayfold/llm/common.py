@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,6 +141,16 @@ def in_order(
     )
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps.
+
+    It does so when the driver's garbage collector finds that nothing refers to them any more, and
+    a driver with little to do seldom collects, however full the executors' disks are.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def whole_groups(batches: Iterable[pa.RecordBatch], key: Sequence[str]) -> Iterator[pa.Table]:
     """Tables of whole groups from batches that are sorted by ``key``.
 

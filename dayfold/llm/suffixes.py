@@ -19,6 +19,7 @@ repeats is one row.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from hashlib import sha256
 
 import numpy as np
@@ -27,7 +28,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayfold.llm.common import exact_columns, ragged, text_bytes, whole_groups
+from dayfold.llm.common import (
+    exact_columns,
+    ragged,
+    release_shuffles,
+    text_bytes,
+    whole_groups,
+)
 from dayfold.sinks.shared import write_aside
 
 # Bytes of a window, and of the part of it whose smallest hash is its anchor.
@@ -40,6 +47,9 @@ SLICE_ROWS = 4096
 PIECE = 1 << 20
 # Stretches of bytes in a bucket, above which its windows are dealt out one by one.
 LARGE = 1 << 14
+# Parts of the hashes that are worked on one after another, so that only a part of what is dealt out
+# lies on disk at a time.
+PARTS = 4
 # Suffixes sorted in one go, or a single bucket more.
 SORTED = 1 << 18
 
@@ -520,6 +530,28 @@ def repeated_runs(found: DataFrame, large: int = LARGE) -> DataFrame:
     return light.unionByName(_crowded_runs(distinct.join(heavy, ["hash"], "left_semi")))
 
 
+def _removed(found: DataFrame, runs: DataFrame) -> DataFrame:
+    """(slice, spans): what earlier documents have of the stretches that are found in a slice."""
+    own = F.col("doc_id")
+
+    def earlier(run):
+        return run["least"].isNotNull() & (own.isNull() | (run["least"] < own))
+
+    def span(run):
+        return F.struct(
+            (F.col("first") + run["begin"]).alias("begin"),
+            (F.col("first") + run["end"] + (WINDOW - 1)).alias("end"),
+        )
+
+    return (
+        found.select("slice", "first", "doc_id", "hash", "key")
+        .join(runs, ["hash", "key"])
+        .select("slice", "first", F.filter("runs", earlier).alias("runs"))
+        .where(F.size("runs") > 0)
+        .select("slice", F.transform("runs", span).alias("spans"))
+    )
+
+
 def remove_repeats(docs: DataFrame, large: int = LARGE) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans) for each row of ``docs``.
 
@@ -531,28 +563,24 @@ def remove_repeats(docs: DataFrame, large: int = LARGE) -> DataFrame:
     later than any other, and no earlier than another null. Texts shorter than the string keep
     everything. Other columns are ignored; an empty table gives none. Texts are processed whole.
     """
+    spark = docs.sparkSession
     slices = sliced(docs)
-    wanted = repeated_hashes(anchor_hashes(slices))
-    found = write_aside(stretches(slices, wanted), "suffix-found", compression="zstd")
-    found = found.withColumn("key", F.xxhash64("bytes"))
-    runs = repeated_runs(found, large)
-    own = F.col("doc_id")
-    earlier = lambda run: run["least"].isNotNull() & (own.isNull() | (run["least"] < own))
+    wanted = write_aside(repeated_hashes(anchor_hashes(slices)), "suffix-hashes", compression="zstd")
+    release_shuffles(spark)
+    found = stretches(slices, wanted).withColumns(
+        {"key": F.xxhash64("bytes"), "part": F.pmod("hash", F.lit(PARTS)).cast("int")}
+    )
+    found = write_aside(found, "suffix-found", ["part"], compression="zstd")
+    release_shuffles(spark)
+    spans = []
+    for part in range(PARTS):
+        own = found.where(F.col("part") == part).drop("part")
+        runs = repeated_runs(own, large)
+        spans.append(write_aside(_removed(own, runs), "suffix-spans", compression="zstd"))
+        release_shuffles(spark)
+    # As many as the slice has windows at most.
     removed = (
-        found.join(runs, ["hash", "key"])
-        .select("slice", "first", F.filter("runs", earlier).alias("runs"))
-        .where(F.size("runs") > 0)
-        .select(
-            "slice",
-            F.transform(
-                "runs",
-                lambda run: F.struct(
-                    (F.col("first") + run["begin"]).alias("begin"),
-                    (F.col("first") + run["end"] + (WINDOW - 1)).alias("end"),
-                ),
-            ).alias("spans"),
-        )
-        # As many as the slice has windows at most.
+        reduce(DataFrame.unionByName, spans)
         .groupBy("slice")
         .agg(F.flatten(F.collect_list("spans")).alias("spans"))
     )
