@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dayfold.sinks.shared import write_aside
+from dayfold.sinks.shared import remove_path, shared_path, write_aside, write_to
 
 # Rows taken at a time where texts become much larger intermediate arrays.
 SLICE_ROWS = 256
@@ -141,14 +140,35 @@ def in_order(
     )
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished steps.
+class Scratch:
+    """Steps written to the shared folder, which leave nothing else behind and can be dropped.
 
-    It does so when the driver's garbage collector finds that nothing refers to them any more, and
-    a driver with little to do seldom collects, however full the executors' disks are.
+    The shuffle files of a step go as soon as it is written. By itself Spark deletes them when the
+    driver's garbage collector finds that nothing refers to them any more, and a driver with little
+    to do seldom collects, however full the executors' disks are.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+
+    CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[int, str] = {}
+
+    def write(self, frame: DataFrame, name: str, partitions: Sequence[str] = ()) -> DataFrame:
+        path = shared_path(self.spark, name)
+        before = self.spark.conf.get(self.CLEANUP)
+        self.spark.conf.set(self.CLEANUP, "true")
+        try:
+            written = write_to(frame, path, partitions, compression="zstd")
+        finally:
+            self.spark.conf.set(self.CLEANUP, before)
+        self.paths[id(written)] = path
+        return written
+
+    def drop(self, *written: DataFrame) -> None:
+        """Delete the files of steps that nothing reads any more."""
+        for frame in written:
+            remove_path(self.spark, self.paths.pop(id(frame)))
 
 
 def whole_groups(batches: Iterable[pa.RecordBatch], key: Sequence[str]) -> Iterator[pa.Table]:

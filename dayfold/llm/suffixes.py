@@ -28,14 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayfold.llm.common import (
-    exact_columns,
-    ragged,
-    release_shuffles,
-    text_bytes,
-    whole_groups,
-)
-from dayfold.sinks.shared import write_aside
+from dayfold.llm.common import Scratch, exact_columns, ragged, text_bytes, whole_groups
 
 # Bytes of a window, and of the part of it whose smallest hash is its anchor.
 WINDOW = 50
@@ -143,7 +136,7 @@ def anchored(data: np.ndarray, ends: np.ndarray):
 
 
 def sliced(docs: DataFrame) -> DataFrame:
-    """(slice, ids, ends, data): texts put together and compressed, written aside."""
+    """(slice, ids, ends, data): texts put together and compressed."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -180,11 +173,7 @@ def sliced(docs: DataFrame) -> DataFrame:
             yield row()
 
     plain = exact_columns(docs, "doc_id", "text")
-    return write_aside(
-        plain.mapInArrow(cut, "slice bigint, ids array<bigint>, ends binary, data binary"),
-        "suffix-slices",
-        compression="uncompressed",
-    )
+    return plain.mapInArrow(cut, "slice bigint, ids array<bigint>, ends binary, data binary")
 
 
 def _opened(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -500,7 +489,6 @@ def _crowded_runs(rows: DataFrame) -> DataFrame:
         ).alias("at", "window"),
     )
     lowest = windows.groupBy("window").agg(F.min("least").alias("lowest"))
-    lowest = write_aside(lowest, "suffix-windows")
     at = F.col("at").cast("smallint")
     runs = F.struct(
         at.alias("begin"), (at + 1).cast("smallint").alias("end"), F.col("lowest").alias("least")
@@ -513,10 +501,10 @@ def _crowded_runs(rows: DataFrame) -> DataFrame:
     )
 
 
-def repeated_runs(found: DataFrame, large: int = LARGE) -> DataFrame:
-    """(hash, key, runs): the smallest doc_id of the windows of each distinct stretch of bytes."""
+def removed_spans(found: DataFrame, scratch: Scratch, large: int = LARGE) -> DataFrame:
+    """(slice, spans): what earlier documents have of the stretches that are found in slices."""
     # Equal bytes hold the same anchor at the same place.
-    distinct = write_aside(
+    distinct = scratch.write(
         found.groupBy("hash", "key", "bytes").agg(
             F.first("before").alias("before"),
             F.min("doc_id").alias("least"),
@@ -525,9 +513,12 @@ def repeated_runs(found: DataFrame, large: int = LARGE) -> DataFrame:
         "suffix-distinct",
     )
     sizes = distinct.groupBy("hash").agg(F.count("*").alias("members"))
-    heavy = write_aside(sizes.where(F.col("members") > large).select("hash"), "suffix-crowded")
-    light = _bucket_runs(distinct.join(heavy, ["hash"], "left_anti"))
-    return light.unionByName(_crowded_runs(distinct.join(heavy, ["hash"], "left_semi")))
+    heavy = scratch.write(sizes.where(F.col("members") > large).select("hash"), "suffix-crowded")
+    runs = _bucket_runs(distinct.join(heavy, ["hash"], "left_anti"))
+    runs = runs.unionByName(_crowded_runs(distinct.join(heavy, ["hash"], "left_semi")))
+    spans = scratch.write(_removed(found, runs), "suffix-spans")
+    scratch.drop(distinct, heavy)
+    return spans
 
 
 def _removed(found: DataFrame, runs: DataFrame) -> DataFrame:
@@ -563,21 +554,19 @@ def remove_repeats(docs: DataFrame, large: int = LARGE) -> DataFrame:
     later than any other, and no earlier than another null. Texts shorter than the string keep
     everything. Other columns are ignored; an empty table gives none. Texts are processed whole.
     """
-    spark = docs.sparkSession
-    slices = sliced(docs)
-    wanted = write_aside(repeated_hashes(anchor_hashes(slices)), "suffix-hashes", compression="zstd")
-    release_shuffles(spark)
+    scratch = Scratch(docs.sparkSession)
+    slices = scratch.write(sliced(docs), "suffix-slices")
+    wanted = scratch.write(repeated_hashes(anchor_hashes(slices)), "suffix-hashes")
     found = stretches(slices, wanted).withColumns(
         {"key": F.xxhash64("bytes"), "part": F.pmod("hash", F.lit(PARTS)).cast("int")}
     )
-    found = write_aside(found, "suffix-found", ["part"], compression="zstd")
-    release_shuffles(spark)
-    spans = []
-    for part in range(PARTS):
-        own = found.where(F.col("part") == part).drop("part")
-        runs = repeated_runs(own, large)
-        spans.append(write_aside(_removed(own, runs), "suffix-spans", compression="zstd"))
-        release_shuffles(spark)
+    found = scratch.write(found, "suffix-found", ["part"])
+    scratch.drop(wanted)
+    spans = [
+        removed_spans(found.where(F.col("part") == part).drop("part"), scratch, large)
+        for part in range(PARTS)
+    ]
+    scratch.drop(found)
     # As many as the slice has windows at most.
     removed = (
         reduce(DataFrame.unionByName, spans)
