@@ -27,8 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayfold.llm.common import exact_columns, slices, text_bytes
-from dayfold.sinks.shared import write_aside
+from dayfold.llm.common import Scratch, exact_columns, slices, text_bytes
 
 # The letters of a word, which occurrences lose one, what counts as a word.
 LEAST_LENGTH = 7
@@ -50,7 +49,7 @@ LEFT, RIGHT = 0, 1
 
 
 def words_of(docs: DataFrame) -> DataFrame:
-    """(word, n): the words of all texts with how often they occur, written aside."""
+    """(word, n): the words of all texts with how often they occur."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
@@ -76,7 +75,7 @@ def words_of(docs: DataFrame) -> DataFrame:
     counted = plain.mapInArrow(count, "word string, n bigint").groupBy("word").agg(
         F.sum("n").alias("n")
     )
-    return write_aside(counted.where(F.col("n") >= LEAST_COUNT), "spelling-words")
+    return counted.where(F.col("n") >= LEAST_COUNT)
 
 
 def _counted(counts: Counter) -> pa.RecordBatch:
@@ -237,16 +236,18 @@ def _meet(keys: DataFrame) -> DataFrame:
     return met.mapInArrow(verify, met.schema)
 
 
-def near_pairs(words: DataFrame, large: int = LARGE) -> DataFrame:
+def near_pairs(words: DataFrame, scratch: Scratch, large: int = LARGE) -> DataFrame:
     """(word, n, near, near_n): all pairs of ``words`` (word, n) one edit apart, in both directions."""
-    ranks = gram_ranks(words)
-    keys = write_aside(keys_of(words, ranks), "spelling-keys")
+    keys = scratch.write(keys_of(words, gram_ranks(words)), "spelling-keys")
     pivots = F.count_if("pivot")
     heavy = keys.groupBy("key").agg((F.count("*") * pivots).alias("meetings"))
-    heavy = write_aside(heavy.where(F.col("meetings") > large).select("key"), "spelling-heavy")
-    light = keys.join(heavy, ["key"], "left_anti")
-    crowded = write_aside(keys.join(heavy, ["key"], "left_semi"), "spelling-crowded")
-    pairs = _meet(light).unionByName(_meet(_with_deletions(crowded)))
+    heavy = scratch.write(heavy.where(F.col("meetings") > large).select("key"), "spelling-heavy")
+    light = scratch.write(_meet(keys.join(heavy, ["key"], "left_anti")), "spelling-pairs")
+    crowded = scratch.write(keys.join(heavy, ["key"], "left_semi"), "spelling-crowded")
+    scratch.drop(keys, heavy)
+    found = scratch.write(_meet(_with_deletions(crowded)), "spelling-pairs")
+    scratch.drop(crowded)
+    pairs = light.unionByName(found)
     turned = pairs.select(
         F.col("near").alias("word"),
         F.col("near_n").alias("n"),
@@ -270,8 +271,9 @@ def spelling_variants(docs: DataFrame, large: int = LARGE) -> DataFrame:
     they come. Other columns are ignored; an empty table, or one without words, gives none. Texts
     are read whole.
     """
-    words = words_of(docs)
-    near = near_pairs(words, large)
+    scratch = Scratch(docs.sparkSession)
+    words = scratch.write(words_of(docs), "spelling-words")
+    near = near_pairs(words, scratch, large)
     best = F.min(F.struct((-F.col("near_n")).alias("_less"), "near"))
     most = near.groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
     known = words.join(most, ["word"], "left")
@@ -284,31 +286,33 @@ def spelling_variants(docs: DataFrame, large: int = LARGE) -> DataFrame:
         F.coalesce("n_near", F.lit(0)).alias("n_near"),
         F.when(follows, often).alias("form_n"),
     )
-    known = write_aside(known, "spelling-forms")
-    roots = _roots(known.where(F.col("form").isNotNull()).select("word", "form"))
+    known = scratch.write(known, "spelling-forms")
+    roots = _roots(known.where(F.col("form").isNotNull()).select("word", "form"), scratch)
     return known.join(roots, ["word"], "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )
 
 
-def _roots(links: DataFrame) -> DataFrame:
+def _roots(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(word, root): where the links (word, form) lead.
 
     Every round doubles how far a word looks. A form occurs ten times as often as its word, so
     chains are as short as counts have digits.
     """
-    reached = write_aside(links.withColumnRenamed("form", "root"), "spelling-roots")
-    while True:
+    reached = scratch.write(
+        links.select("word", F.col("form").alias("root"), F.lit(True).alias("moved")),
+        "spelling-roots",
+    )
+    while not reached.where("moved").isEmpty():
         onward = reached.select(F.col("word").alias("root"), F.col("root").alias("_next"))
-        moved = reached.join(onward, ["root"], "left")
-        moved = write_aside(
-            moved.select(
+        further = reached.select("word", "root").join(onward, ["root"], "left")
+        last, reached = reached, scratch.write(
+            further.select(
                 "word",
                 F.coalesce("_next", "root").alias("root"),
-                F.col("_next").isNotNull().alias("_moved"),
+                F.col("_next").isNotNull().alias("moved"),
             ),
             "spelling-roots",
         )
-        reached = moved.select("word", "root")
-        if moved.where("_moved").isEmpty():
-            return reached
+        scratch.drop(last)
+    return reached.select("word", "root")

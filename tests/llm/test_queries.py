@@ -35,7 +35,7 @@ def result(spark, name):
 
 def test_registered():
     assert QUERIES.keys() | {"pipeline"} <= driver.queries().keys()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(ORACLES))
