@@ -24,9 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayfold.llm.common import exact_columns, slices, text_bytes
+from dayfold.llm.common import Scratch, exact_columns, slices, text_bytes
 from dayfold.llm.links import components, in_blocks, linked
-from dayfold.sinks.shared import write_aside
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -36,8 +35,11 @@ RECALL = 0.999
 CHOSEN = 2.0
 DEPTH = 3
 SMALL = 64
-# Members of a group that are compared in one place.
+# Members of a bucket, by sketch, and of a group, by their sets, that are compared in one place.
+COMPARED = 1024
 BLOCK = 100
+# Sketches that are compared with others in one go.
+TILE = 64
 # Slots of a sketch, and how far below the threshold (in deviations) a pair is still kept.
 SLOTS = 64
 SLACK = 4.0
@@ -171,8 +173,8 @@ def signatures(docs: DataFrame, runs: int) -> DataFrame:
 
 
 def _alike(table: pa.Table, rows: np.ndarray, others: np.ndarray | None):
-    """Pairs whose sketches agree nearly as the threshold wants."""
-    least = THRESHOLD - SLACK * sqrt(THRESHOLD * (1 - THRESHOLD) / SLOTS)
+    """Pairs whose sketches agree nearly as the threshold wants; compared tile by tile."""
+    least = (THRESHOLD - SLACK * sqrt(THRESHOLD * (1 - THRESHOLD) / SLOTS)) * SLOTS
     column = table.column("sketch")
 
     def sketches(places):
@@ -180,13 +182,20 @@ def _alike(table: pa.Table, rows: np.ndarray, others: np.ndarray | None):
         return np.frombuffer(data, "<u2").reshape(-1, SLOTS)
 
     own = sketches(rows)
-    if others is None:
-        agree = (own[:, None, :] == own[None, :, :]).sum(2)
-        a, b = np.nonzero(np.triu(agree >= least * SLOTS, 1))
-        return rows[a], rows[b]
-    agree = (own[:, None, :] == sketches(others)[None, :, :]).sum(2)
-    a, b = np.nonzero(agree >= least * SLOTS)
-    return rows[a], others[b]
+    theirs = own if others is None else sketches(others)
+    found_a, found_b = [], []
+    for start in range(0, len(rows), TILE):
+        tile = own[start : start + TILE]
+        # Among themselves, only rows that come later.
+        skipped = start if others is None else 0
+        agree = (tile[:, None, :] == theirs[None, skipped:, :]).sum(2) >= least
+        if others is None:
+            agree = np.triu(agree, 1)
+        a, b = np.nonzero(agree)
+        found_a.append(a + start)
+        found_b.append(b + skipped)
+    a, b = np.concatenate(found_a), np.concatenate(found_b)
+    return rows[a], (rows if others is None else others)[b]
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
@@ -243,19 +252,65 @@ def _similar(threshold: float):
     return pairs
 
 
-def _candidates(nodes: DataFrame) -> DataFrame:
-    """(node, links, root): sets that met in a bucket and look alike."""
-    rows = nodes.select("node", F.posexplode("level0").alias("run", "picks")).select(
-        "node", "run", F.col("run").cast("long").alias("path"), F.explode("picks").alias("token")
-    )
+def _waves(runs: int) -> list[tuple[int, int]]:
+    """The runs from the first on, in waves of 1, 3, 9 ... of them."""
+    edges = [0]
+    while edges[-1] < runs:
+        edges.append(min(runs, 3 * edges[-1] + 1))
+    return list(zip(edges[:-1], edges[1:]))
+
+
+def _candidates(nodes: DataFrame, runs: int, scratch: Scratch) -> DataFrame:
+    """(node, component): sets that met in a bucket and look alike, in groups.
+
+    Runs come in waves, and what a wave has found is joined into groups before the next one: a
+    bucket all of whose members are in one group already has nothing more to say. So a large group
+    of near copies is split and compared in the first run, and hardly again.
+    """
+    found, groups = None, None
+    for first, after in _waves(runs):
+        numbers = F.sequence(F.lit(first), F.lit(after - 1))
+        wave = nodes.select("node", "level0", F.explode(numbers).alias("run"))
+        rows = wave.select(
+            "node",
+            "run",
+            F.col("run").cast("long").alias("path"),
+            F.explode(F.col("level0")[F.col("run")]).alias("token"),
+        )
+        if groups is None:
+            rows = rows.withColumn("group", F.col("node"))
+        else:
+            of_node = groups.withColumnRenamed("component", "group")
+            rows = rows.join(of_node, ["node"], "left").withColumn(
+                "group", F.coalesce("group", "node")
+            )
+        met = scratch.write(_met(rows, nodes, scratch), "jaccard-met")
+        weight = F.lit(1).cast("long").alias("weight")
+        compared = met.join(nodes.select("node", "sketch", weight), ["node"])
+        alike = linked(in_blocks(compared, "path", "members", COMPARED), "path", _alike)
+        alike = scratch.write(alike.select("node", "root").distinct(), "jaccard-alike")
+        scratch.drop(met)
+        found = alike if found is None else found.unionByName(alike)
+        groups = components(found, "jaccard-candidates")
+    return groups
+
+
+def _met(rows: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, path, members): buckets that are small, or at the end of their path.
+
+    ``rows`` are (node, group, run, path, token): each token that a set chose at the first level.
+    """
     ready = None
     for depth in range(DEPTH):
-        rows = rows.select("node", "run", F.xxhash64("path", "token").alias("path"))
-        sizes = rows.groupBy("path").agg(F.count("*").alias("members"))
+        rows = rows.select("node", "group", "run", F.xxhash64("path", "token").alias("path"))
+        sizes = rows.groupBy("path").agg(
+            F.count("*").alias("members"),
+            (F.min("group") != F.max("group")).alias("several"),
+        )
         # Written, so that the join has shuffles of its own, which can be split where skewed.
-        sizes = write_aside(sizes.where(F.col("members") > 1), "jaccard-sizes")
-        met = rows.join(sizes, ["path"])
-        met = write_aside(met, "jaccard-buckets")
+        sizes = scratch.write(sizes.where("several").drop("several"), "jaccard-sizes")
+        met = scratch.write(rows.join(sizes, ["path"]), "jaccard-buckets")
+        scratch.drop(sizes)
         last = depth == DEPTH - 1
         done = met if last else met.where(F.col("members") <= SMALL)
         done = done.select("node", "path", "members")
@@ -265,11 +320,9 @@ def _candidates(nodes: DataFrame) -> DataFrame:
             level = f"level{depth + 1}"
             rows = met.where(F.col("members") > SMALL).join(nodes.select("node", level), ["node"])
             rows = rows.select(
-                "node", "run", "path", F.explode(F.col(level)[F.col("run")]).alias("token")
+                "node", "group", "run", "path", F.explode(F.col(level)[F.col("run")]).alias("token")
             )
-    weight = F.lit(1).cast("long").alias("weight")
-    compared = ready.distinct().join(nodes.select("node", "sketch", weight), ["node"])
-    return linked(in_blocks(compared, "path", "members", SMALL), "path", _alike)
+    return ready.distinct()
 
 
 def similar_documents(
@@ -292,9 +345,11 @@ def similar_documents(
     documents share is never one task's; a large group is compared by pairs of blocks, and
     gives counts and one link per member instead of pairs.
     """
-    signed = write_aside(signatures(docs, runs_needed(threshold, recall)), "jaccard-signatures")
+    scratch = Scratch(docs.sparkSession)
+    runs = runs_needed(threshold, recall)
+    signed = scratch.write(signatures(docs, runs), "jaccard-signatures")
     levels = [F.first(f"level{d}").alias(f"level{d}") for d in range(DEPTH)]
-    nodes = write_aside(
+    nodes = scratch.write(
         signed.groupBy("node").agg(
             F.min("doc_id").alias("first_id"),
             # Of the rows with first_id, null or not, the text that stands for the set.
@@ -306,7 +361,7 @@ def similar_documents(
         ),
         "jaccard-nodes",
     )
-    groups = components(_candidates(nodes), "jaccard-candidates")
+    groups = _candidates(nodes, runs, scratch)
     sizes = groups.groupBy("component").agg(F.count("*").alias("members"))
     wanted = (
         groups.join(sizes, ["component"])
@@ -346,11 +401,13 @@ def similar_documents(
         "component binary, node binary, weight bigint, members bigint, shingles binary",
     )
     blocks = in_blocks(sets, "component", "members", BLOCK)
-    found = write_aside(linked(blocks, "component", _similar(threshold)), "jaccard-links")
-    return _classes(signed, nodes, found)
+    found = scratch.write(linked(blocks, "component", _similar(threshold)), "jaccard-links")
+    return _classes(signed, nodes, found, scratch)
 
 
-def _classes(signed: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
+def _classes(
+    signed: DataFrame, nodes: DataFrame, found: DataFrame, scratch: Scratch
+) -> DataFrame:
     classes = components(found, "jaccard-classes")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     known = (
@@ -359,7 +416,7 @@ def _classes(signed: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame
         .join(classes, ["node"], "left")
         .withColumn("component", F.coalesce("component", "node"))
     )
-    known = write_aside(known, "jaccard-known")
+    known = scratch.write(known, "jaccard-known")
     lowest = known.groupBy("component").agg(F.min("first_id").alias("class_id"))
     told = known.join(lowest, ["component"]).select(
         "node",
