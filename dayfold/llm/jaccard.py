@@ -269,22 +269,25 @@ def _candidates(nodes: DataFrame, runs: int, scratch: Scratch) -> DataFrame:
     """
     found, groups = None, None
     for first, after in _waves(runs):
-        numbers = F.sequence(F.lit(first), F.lit(after - 1))
-        wave = nodes.select("node", "level0", F.explode(numbers).alias("run"))
-        rows = wave.select(
-            "node",
-            "run",
-            F.col("run").cast("long").alias("path"),
-            F.explode(F.col("level0")[F.col("run")]).alias("token"),
-        )
+        # The choices of these runs only.
+        own = [
+            F.slice(f"level{depth}", first + 1, after - first).alias(f"level{depth}")
+            for depth in range(DEPTH)
+        ]
+        chosen = nodes.select("node", *own)
         if groups is None:
-            rows = rows.withColumn("group", F.col("node"))
+            grouped = chosen.withColumn("group", F.col("node"))
         else:
             of_node = groups.withColumnRenamed("component", "group")
-            rows = rows.join(of_node, ["node"], "left").withColumn(
+            grouped = chosen.join(of_node, ["node"], "left").withColumn(
                 "group", F.coalesce("group", "node")
             )
-        met = scratch.write(_met(rows, nodes, scratch), "jaccard-met")
+        rows = grouped.select(
+            "node",
+            "group",
+            F.posexplode("level0").alias("run", "picks"),
+        ).withColumn("path", F.col("run").cast("long") + first)
+        met = scratch.write(_met(rows, chosen, scratch), "jaccard-met")
         weight = F.lit(1).cast("long").alias("weight")
         compared = met.join(nodes.select("node", "sketch", weight), ["node"])
         alike = linked(in_blocks(compared, "path", "members", COMPARED), "path", _alike)
@@ -295,22 +298,42 @@ def _candidates(nodes: DataFrame, runs: int, scratch: Scratch) -> DataFrame:
     return groups
 
 
-def _met(rows: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+def _met(rows: DataFrame, chosen: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, path, members): buckets that are small, or at the end of their path.
 
-    ``rows`` are (node, group, run, path, token): each token that a set chose at the first level.
+    ``rows`` are (node, group, run, path, picks): the tokens that a set chose at the first level.
+
+    Sets on one path with equal choices, as near copies mostly have, go on as one bundle: buckets
+    are counted by bundles, and only those with members of several groups are gathered.
     """
     ready = None
     for depth in range(DEPTH):
-        rows = rows.select("node", "group", "run", F.xxhash64("path", "token").alias("path"))
-        sizes = rows.groupBy("path").agg(
-            F.count("*").alias("members"),
-            (F.min("group") != F.max("group")).alias("several"),
+        rows = rows.withColumn("bundle", F.xxhash64("path", "picks"))
+        rows = scratch.write(rows, "jaccard-rows")
+        bundles = rows.groupBy("bundle").agg(
+            F.first("path").alias("path"),
+            F.first("picks").alias("picks"),
+            F.count("*").alias("rows"),
+            F.min("group").alias("least"),
+            F.max("group").alias("most"),
+        )
+        tokens = bundles.select(
+            "bundle", "path", "rows", "least", "most", F.explode("picks").alias("token")
+        )
+        tokens = tokens.withColumn("path", F.xxhash64("path", "token")).drop("token")
+        tokens = scratch.write(tokens, "jaccard-bundles")
+        sizes = tokens.groupBy("path").agg(
+            F.sum("rows").alias("members"),
+            (F.min("least") != F.max("most")).alias("several"),
+        )
+        sizes = sizes.where("several").drop("several")
+        wanted = scratch.write(
+            tokens.select("bundle", "path").join(sizes, ["path"]), "jaccard-sizes"
         )
-        # Written, so that the join has shuffles of its own, which can be split where skewed.
-        sizes = scratch.write(sizes.where("several").drop("several"), "jaccard-sizes")
-        met = scratch.write(rows.join(sizes, ["path"]), "jaccard-buckets")
-        scratch.drop(sizes)
+        # Written before, so that the join has shuffles of its own, which can be split where skewed.
+        met = rows.select("node", "group", "run", "bundle").join(wanted, ["bundle"]).drop("bundle")
+        met = scratch.write(met, "jaccard-buckets")
+        scratch.drop(rows, tokens, wanted)
         last = depth == DEPTH - 1
         done = met if last else met.where(F.col("members") <= SMALL)
         done = done.select("node", "path", "members")
@@ -318,11 +341,11 @@ def _met(rows: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
         if not last:
             # Only rows of large buckets need the next choices.
             level = f"level{depth + 1}"
-            rows = met.where(F.col("members") > SMALL).join(nodes.select("node", level), ["node"])
+            rows = met.where(F.col("members") > SMALL).join(chosen.select("node", level), ["node"])
             rows = rows.select(
-                "node", "group", "run", "path", F.explode(F.col(level)[F.col("run")]).alias("token")
+                "node", "group", "run", F.col(level)[F.col("run")].alias("picks"), "path"
             )
-    return ready.distinct()
+    return ready
 
 
 def similar_documents(
