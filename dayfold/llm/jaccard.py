@@ -173,7 +173,12 @@ def signatures(docs: DataFrame, runs: int) -> DataFrame:
 
 
 def _alike(table: pa.Table, rows: np.ndarray, others: np.ndarray | None):
-    """Pairs whose sketches agree nearly as the threshold wants; compared tile by tile."""
+    """Pairs of different groups whose sketches agree nearly as the threshold wants, by tiles."""
+    every = rows if others is None else np.concatenate([rows, others])
+    groups = table.column("group").take(pa.array(every)).combine_chunks().dictionary_encode()
+    if len(groups.dictionary) < 2:
+        return every[:0], every[:0]
+    group = np.asarray(groups.indices)
     least = (THRESHOLD - SLACK * sqrt(THRESHOLD * (1 - THRESHOLD) / SLOTS)) * SLOTS
     column = table.column("sketch")
 
@@ -183,18 +188,24 @@ def _alike(table: pa.Table, rows: np.ndarray, others: np.ndarray | None):
 
     own = sketches(rows)
     theirs = own if others is None else sketches(others)
+    their_group = group if others is None else group[len(rows) :]
     found_a, found_b = [], []
     for start in range(0, len(rows), TILE):
         tile = own[start : start + TILE]
         # Among themselves, only rows that come later.
         skipped = start if others is None else 0
-        agree = (tile[:, None, :] == theirs[None, skipped:, :]).sum(2) >= least
+        # What is in one group already is not compared again.
+        news = group[start : start + len(tile), None] != their_group[None, skipped:]
+        if not news.any():
+            continue
+        agree = news & ((tile[:, None, :] == theirs[None, skipped:, :]).sum(2) >= least)
         if others is None:
             agree = np.triu(agree, 1)
         a, b = np.nonzero(agree)
         found_a.append(a + start)
         found_b.append(b + skipped)
-    a, b = np.concatenate(found_a), np.concatenate(found_b)
+    none = [np.zeros(0, np.int64)]
+    a, b = np.concatenate(found_a or none), np.concatenate(found_b or none)
     return rows[a], (rows if others is None else others)[b]
 
 
@@ -299,7 +310,7 @@ def _candidates(nodes: DataFrame, runs: int, scratch: Scratch) -> DataFrame:
 
 
 def _met(rows: DataFrame, chosen: DataFrame, scratch: Scratch) -> DataFrame:
-    """(node, path, members): buckets that are small, or at the end of their path.
+    """(node, group, path, members): buckets that are small, or at the end of their path.
 
     ``rows`` are (node, group, run, path, picks): the tokens that a set chose at the first level.
 
@@ -336,7 +347,7 @@ def _met(rows: DataFrame, chosen: DataFrame, scratch: Scratch) -> DataFrame:
         scratch.drop(rows, tokens, wanted)
         last = depth == DEPTH - 1
         done = met if last else met.where(F.col("members") <= SMALL)
-        done = done.select("node", "path", "members")
+        done = done.select("node", "group", "path", "members")
         ready = done if ready is None else ready.unionByName(done)
         if not last:
             # Only rows of large buckets need the next choices.
