@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayfold.sinks.shared import write_aside
@@ -31,11 +31,11 @@ def group_collect(
     an order come last. Any order, key and value that Spark can sort will do.
 
     The rows are dealt out by ranges of (key, order, hash, value, row), sorted there and written
-    aside. The ranges follow the real distribution of all of these, so a key, an order or a value
-    that comes ever so often is spread over as many ranges as its rows fill, and no task sorts or
-    lists more than a range. A list that lies within one range is cut up right there. What a range
-    holds of a longer one begins where the ranges before ended: those offsets are two rows per
-    range at most.
+    aside, numbered in that order. The ranges follow the real distribution of all of these, so a
+    key, an order or a value that comes ever so often is spread over as many ranges as its rows
+    fill. Only keys with more rows than a part need more than that: a row's place in its list is its
+    number, less that of the first row of its key in the range, plus the rows that earlier ranges
+    hold of the key. Rows are then listed by key and part, so no array is ever longer than a part.
     """
     keys = [key] if isinstance(key, str) else list(key)
     rows = frame.select(
@@ -59,59 +59,32 @@ def group_collect(
         .select("_key", "_value", F.monotonically_increasing_id().alias("_row"))
     )
     written = write_aside(placed, "lists").withColumn("_range", F.shiftright("_row", ROW_BITS))
-    offsets = _offsets(written)
-    pieces = written.groupBy("_key", "_range").agg(
-        F.array_sort(F.collect_list(F.struct("_row", "_value"))).alias("_rows")
+    long = write_aside(_long_lists(written, part_rows), "list-starts")
+    # Of known size, as it is written: Spark copies it to all tasks only where it is small.
+    short = written.join(long.select("_key").distinct(), ["_key"], "left_anti")
+    numbered = written.join(long, ["_key", "_range"]).withColumn(
+        "part", F.floor((F.col("_row") + F.col("_shift")) / F.lit(part_rows))
     )
-    # Two rows per range at most: only the first and the last key of a range go on elsewhere.
-    pieces = pieces.join(F.broadcast(offsets), ["_key", "_range"], "left")
-    alone = _cut(pieces.where(F.col("_before").isNull()), part_rows)
-    parts = _cut(pieces.where(F.col("_before").isNotNull()), part_rows)
-    listed = F.array_sort(F.collect_list(F.struct("_range", "_values")))
-    joined = parts.groupBy("_key", "part").agg(
-        F.flatten(F.transform(listed, lambda piece: piece["_values"])).alias("_values")
-    )
-    lists = alone.select("_key", "part", "_values").unionByName(joined)
+    lists = _listed(short.withColumn("part", F.lit(0).cast("long"))).unionByName(_listed(numbered))
     return lists.select("_key.*", "part", F.col("_values").alias(name))
 
 
-def _offsets(written: DataFrame) -> DataFrame:
-    """(_key, _range, _before) of keys in several ranges: how many rows earlier ranges hold."""
-    counts = written.groupBy("_key", "_range").count()
+def _long_lists(written: DataFrame, part_rows: int) -> DataFrame:
+    """(_key, _range, _shift) of keys with more rows than a part: from a row's number to its place."""
+    counts = written.groupBy("_key", "_range").agg(
+        F.count("*").alias("_rows"), F.min("_row").alias("_first")
+    )
     whole = Window.partitionBy("_key")
     earlier = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        counts.withColumn("_ranges", F.count("*").over(whole))
-        .withColumn("_before", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
-        .where(F.col("_ranges") > 1)
-        .select("_key", "_range", "_before")
-    )
-
-
-def _cut(pieces: DataFrame, part_rows: int) -> DataFrame:
-    """Cut what a range holds of a list where parts of the list end."""
-    start = F.coalesce("_before", F.lit(0))
-    size = F.size("_rows")
-    numbered = pieces.withColumn(
-        "part",
-        F.explode(
-            F.sequence(
-                F.floor(start / F.lit(part_rows)),
-                F.floor((start + size - 1) / F.lit(part_rows)),
-            )
-        ),
-    )
-    first = F.greatest(F.col("part") * part_rows - start, F.lit(0))
-    after = F.least((F.col("part") + 1) * part_rows - start, size)
-    return numbered.select(
-        "_key",
-        "_range",
-        "part",
-        _values(F.slice("_rows", (first + 1).cast("int"), (after - first).cast("int"))).alias(
-            "_values"
-        ),
+        counts.withColumn("_all", F.sum("_rows").over(whole))
+        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+        .where(F.col("_all") > part_rows)
+        .select("_key", "_range", (F.col("_before") - F.col("_first")).alias("_shift"))
     )
 
 
-def _values(rows: Column) -> Column:
-    return F.transform(rows, lambda row: row["_value"])
+def _listed(rows: DataFrame) -> DataFrame:
+    listed = F.array_sort(F.collect_list(F.struct("_row", "_value")))
+    values = F.transform(listed, lambda row: row["_value"])
+    return rows.groupBy("_key", "part").agg(values.alias("_values"))

@@ -152,6 +152,26 @@ def test_group_collect_spreads_every_kind_of_hot_rows(spark, monkeypatch, kind,
     assert most <= 2 * len(rows) / 8
 
 
+@pytest.mark.parametrize(("rows", "part_rows"), [(160_000, 100), (400_000, 10_000)])
+def test_group_collect_one_key_makes_no_long_array(spark, rows, part_rows):
+    """Neither the result nor anything before it lists more than a part."""
+    frame = spark.range(0, rows, 1, 8).select(
+        F.lit("hot").alias("k"), F.col("id").alias("o"), F.col("id").alias("v")
+    )
+    parts = group_collect(frame, "k", "v", "o", part_rows)
+    text = parts._jdf.queryExecution().executedPlan().toString()
+    assert "flatten" not in text and "slice" not in text and "Generate" not in text
+    sizes = parts.agg(
+        F.max(F.size("values")).alias("most"),
+        F.count("*").alias("parts"),
+        F.count_if(F.col("values")[0] != rows - 1 - F.col("part") * part_rows).alias("misplaced"),
+        F.count_if(
+            F.col("values")[F.size("values") - 1] != rows - F.col("part") * part_rows - F.size("values")
+        ).alias("disordered"),
+    )
+    assert sizes.first() == (part_rows, rows // part_rows, 0, 0)
+
+
 def test_group_collect_two_keys(spark):
     frame = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "k int, o int, v string")
     frame = frame.withColumn("j", F.lit("j"))
