@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, LongType
 
 from dayfold.operators.clean import fill_zero
+from dayfold.operators.split_join import split_outer_join
 
 log = logging.getLogger(__name__)
 
@@ -101,6 +102,7 @@ def outer_combine(
     frames: Mapping[str, DataFrame | None],
     key: str | Sequence[str] = "eid",
     unique_keys: bool = False,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Full outer join of the frames on ``key``, numbers filled with 0.
 
@@ -111,6 +113,9 @@ def outer_combine(
     With ``unique_keys`` the frames must hold a key (and null) once each, as grouped frames do; a
     key that comes twice is an error. They are then combined by one aggregation, which takes a single
     shuffle, or none where all frames are already partitioned by the key.
+
+    With ``hot_rows`` keys with more rows than that are counted first and cut up, so that no task
+    gets one whole (see ``split_outer_join``).
     """
     keys = _keys(key)
     loaded = [frame for frame in frames.values() if frame is not None]
@@ -118,6 +123,8 @@ def outer_combine(
     _require_loaded(loaded, absent)
     if unique_keys:
         joined = _aligned(loaded, keys)
+    elif hot_rows is not None:
+        joined = split_outer_join(loaded, keys, hot_rows)
     else:
         joined = reduce(lambda left, right: left.join(right, keys, "outer"), loaded)
     return fill_zero(_with_absent(joined, absent))

@@ -22,6 +22,11 @@ from dayfold.sources import load_or_none
 NULL_USER = 3
 
 
+# Sources that between them cover all events, and when a key counts as hot.
+DAILY_SOURCES = {"use_num": ("click", "view", "signup"), "end_num": ("purchase", "error")}
+HOT_ROWS = 20
+
+
 def _source(events, event_type):
     return events_of(events, event_type).select(F.col("user_id").alias("eid"), "props")
 
@@ -59,18 +64,29 @@ def combined_null_key(spark, sf_dir):
     return outer_combine(counts, unique_keys=True)
 
 
-def combined_repeated(spark, sf_dir):
-    """Frames whose keys repeat, one row per user and day: these are joined."""
-    days = read(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+def _daily(spark, sf_dir):
+    """One row per user and day, so that users repeat, from all events in two sources."""
+    events = read(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
     frames = {}
-    for event_type in ("signup", "error"):
-        counts = group_metrics(
-            events_of(days, event_type), ["user_id", "day"], {f"{event_type}_num": "*"}
-        )
-        frames[f"{event_type}_num"] = counts.select(
-            F.col("user_id").alias("eid"), f"{event_type}_num"
-        )
-    return outer_combine(frames)
+    for name, types in DAILY_SOURCES.items():
+        rows = events.where(F.col("event_type").isin(*types))
+        counts = group_metrics(rows, ["user_id", "day"], {name: "*"})
+        frames[name] = counts.select(F.col("user_id").alias("eid"), name)
+    return frames
+
+
+def combined_repeated(spark, sf_dir):
+    """Frames whose keys repeat: these are joined."""
+    return outer_combine(_daily(spark, sf_dir))
+
+
+def combined_split(spark, sf_dir):
+    """As above, with keys that are null or missing in one source, and hot keys cut up."""
+    frames = _daily(spark, sf_dir)
+    key = F.nullif(F.col("eid"), F.lit(NULL_USER)).alias("eid")
+    use = frames["use_num"].select(key, "use_num")
+    end = frames["end_num"].where(F.col("eid") % 10 != 0).select(key, "end_num")
+    return outer_combine({"use_num": use, "end_num": end, "gift_num": None}, hot_rows=HOT_ROWS)
 
 
 def sources_counts(spark, sf_dir):
@@ -123,6 +139,7 @@ QUERIES = {
     "outer_combine_null_key": combined_null_key,
     "outer_combine_unique_keys": combined_unique,
     "outer_combine_repeated": combined_repeated,
+    "outer_combine_split": combined_split,
     "combine_sources": sources_counts,
     "combine_sources_mixed": sources_mixed,
     "attach_dimension": _attached,
@@ -151,6 +168,12 @@ def _with_counts(key):
     return "WITH " + ", ".join(counts) + f" {COUNTS_SQL} {JOINED_SQL}"
 
 
+DAILY_SQL = "WITH " + ", ".join(
+    f"""{name.removesuffix("_num")}_days AS (
+          SELECT user_id AS eid, count(*) AS {name} FROM events
+          WHERE event_type IN {types} GROUP BY user_id, CAST(ts AS DATE))"""
+    for name, types in DAILY_SOURCES.items()
+)
 ATTACHED_SQL = """
         SELECT eid, click_num, c_name AS enterpriseaccount, c_nationkey AS accountusedamount%s
         FROM (SELECT user_id AS eid, count(*) FILTER (WHERE event_type = 'click') AS click_num
@@ -162,13 +185,18 @@ ORACLES = {
     "outer_combine_missing": "WITH "
     + ", ".join(_grouped_sql(f"{t}_num", t, "count(*)") for t in EVENT_TYPES)
     + f" {COUNTS_SQL}, CAST(0 AS BIGINT) AS gift_num {JOINED_SQL}",
-    "outer_combine_repeated": """
-        WITH daily AS (
-          SELECT user_id AS eid, event_type, count(*) AS n FROM events
-          GROUP BY user_id, event_type, CAST(ts AS DATE))
-        SELECT coalesce(eid, 0) AS eid, coalesce(x.n, 0) AS signup_num, coalesce(y.n, 0) AS error_num
-        FROM (SELECT eid, n FROM daily WHERE event_type = 'signup') x
-        FULL JOIN (SELECT eid, n FROM daily WHERE event_type = 'error') y USING (eid)""",
+    "outer_combine_repeated": DAILY_SQL
+    + """
+        SELECT coalesce(eid, 0) AS eid, coalesce(use_num, 0) AS use_num,
+          coalesce(end_num, 0) AS end_num
+        FROM use_days FULL JOIN end_days USING (eid)""",
+    "outer_combine_split": DAILY_SQL
+    + f"""
+        SELECT coalesce(eid, 0) AS eid, coalesce(use_num, 0) AS use_num,
+          coalesce(end_num, 0) AS end_num, CAST(0 AS BIGINT) AS gift_num
+        FROM (SELECT nullif(eid, {NULL_USER}) AS eid, use_num FROM use_days)
+        FULL JOIN (SELECT nullif(eid, {NULL_USER}) AS eid, end_num FROM end_days
+                   WHERE eid % 10 <> 0) USING (eid)""",
     "outer_combine_null_key": _with_counts(NULL_KEY_SQL),
     "outer_combine_unique_keys": _with_counts(NULL_KEY_SQL),
     "combine_sources": _with_counts(NULL_KEY_SQL),

@@ -239,3 +239,69 @@ def test_fill_and_drop(spark):
     assert (row["b"], row["t"], row["a"], row["s"]) == (None, None, None, None)
     values = spark.createDataFrame([(1, float("nan")), (2, 1.0), (3, None)], "k int, v double")
     assert rows_of(drop_incomplete(values)) == [(2, 1.0)]
+
+
+@pytest.mark.parametrize("hot_rows", [1, 7, 10_000])
+def test_split_outer_combine_equals_the_join(spark, hot_rows):
+    draw = random.Random(hot_rows)
+
+    def rows(number, keys):
+        return [
+            (draw.choice(keys), draw.choice([None, "x", "y"]), draw.randint(0, 5))
+            for _ in range(number)
+        ]
+
+    frames = {
+        "a": spark.createDataFrame(rows(60, [1, 1, 1, 2, 3, None]), "eid long, e2 string, a long"),
+        "b": spark.createDataFrame(rows(40, [1, 1, 2, 2, 4, None]), "eid long, e2 string, b long"),
+        "c": spark.createDataFrame(rows(10, [1, 5, None]), "eid long, e2 string, c long"),
+        "gone": None,
+    }
+    keys = ["eid", "e2"]
+    same(outer_combine(frames, keys, hot_rows=hot_rows), outer_combine(frames, keys))
+
+
+def test_split_outer_combine_without_rows_or_with_clashing_columns(spark):
+    a = spark.createDataFrame([(1, 10)] * 5 + [(None, 3)], "eid long, a long")
+    b = spark.createDataFrame([], "eid long, b long")
+    expected = sorted([(1, 10, 0)] * 5 + [(0, 3, 0)])
+    for frames in ({"a": a, "b": b}, {"b": b, "a": a}):
+        found = outer_combine(frames, hot_rows=2).select("eid", "a", "b")
+        assert sorted(map(tuple, found.collect())) == expected
+    with pytest.raises(ValueError, match="must differ"):
+        outer_combine({"a": a, "b": a}, hot_rows=2)
+
+
+def test_a_hot_key_of_an_outer_join_is_spread(spark):
+    """A third of both sides has one key and one value; nulls are another third of the left one."""
+    number = F.col("id")
+    third = number % 3
+    left = spark.range(0, 30_000, 1, 8).select(
+        F.when(third == 0, 7).when(third == 1, number).alias("eid"), F.lit(1).alias("a")
+    )
+    right = spark.range(0, 300, 1, 8).select(
+        F.when(third == 0, 7).otherwise(number + 20_000).alias("eid"), F.lit(2).alias("b")
+    )
+    before = {key: spark.conf.get(key, None) for key in SPREAD}
+    for key, value in SPREAD.items():
+        spark.conf.set(key, value)
+    try:
+        joined = outer_combine({"a": left, "b": right}, hot_rows=50)
+        tasks = joined.groupBy(F.spark_partition_id()).count().collect()
+        sizes = sorted(row["count"] for row in tasks)
+        assert sum(sizes) == joined.count() and sum(sizes) > 10_000 * 100
+        large = [size for size in sizes if size > 1000]
+        assert len(large) > 16 and large[-1] < 4 * large[len(large) // 2]
+        whole = outer_combine({"a": left, "b": right})
+        most = whole.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert most >= 10_000 * 100 > 5 * sizes[-1]
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+SPREAD = {
+    "spark.sql.shuffle.partitions": "32",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.enabled": "false",
+}
