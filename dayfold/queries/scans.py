@@ -80,6 +80,51 @@ def theta(spark, sf_dir):
     )
 
 
+def _opened_by(events, event_type, **length):
+    """A range of time from each event of a type on."""
+    ends = F.col("ts") + F.make_dt_interval(**{k: F.lit(v) for k, v in length.items()})
+    return events.where(F.col("event_type") == event_type).select(
+        F.col("event_id").alias("opener"),
+        F.col("user_id").alias("opener_id"),
+        F.col("ts").alias("opened"),
+        ends.alias("closed"),
+    )
+
+
+def theta_time(spark, sf_dir):
+    """Events in the ten minutes after a purchase, by timestamps without zone."""
+    events = read(spark, sf_dir, "events")
+    windows = _opened_by(events, "purchase", mins=10)
+    clicks = events.select("event_id", "ts")
+    return theta_join(clicks, windows, "ts", "opened", "closed").select("event_id", "opener")
+
+
+def theta_date(spark, sf_dir):
+    """Orders in a season per nation, by dates."""
+    first = F.date_add(F.lit("1994-06-01").cast("date"), F.col("n_nationkey") * 60)
+    seasons = read(spark, sf_dir, "nation").select(
+        "n_name", first.alias("first"), F.date_add(first, 90).alias("after")
+    )
+    orders = read(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("date").alias("day")
+    )
+    return theta_join(orders, seasons, "day", "first", "after").select("o_orderkey", "n_name")
+
+
+def multi_scan_band(spark, sf_dir):
+    """What users do within two days of an error of theirs, and who they are: a range, equalities."""
+    events = read(spark, sf_dir, "events")
+    windows = _opened_by(events, "error", days=2)
+    customers = read(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    acts = events.select("event_id", "user_id", "event_type", "ts")
+    joined = multi_scan(
+        [acts, windows, customers],
+        "user_id = opener_id AND c_custkey = user_id AND event_type <> 'error'",
+        within=("ts", "opened", "closed"),
+    )
+    return joined.select("event_id", "opener", "c_name")
+
+
 def temp_view_sql(spark, sf_dir):
     messages = read(spark, sf_dir, "events").select("user_id", "event_type", "value")
     return query_view(
@@ -124,6 +169,9 @@ QUERIES = {
     "multi_scan_equi": multi_scan_equi,
     "cross_join_count": count_pairs,
     "theta_join": theta,
+    "theta_join_time": theta_time,
+    "theta_join_date": theta_date,
+    "multi_scan_band": multi_scan_band,
     "temp_view_sql": temp_view_sql,
     "fill_zero": zero_filled,
     "drop_incomplete": complete_rows,
@@ -155,6 +203,17 @@ ORACLES = {
         SELECT o_orderkey, n_name FROM orders, nation
         WHERE o_totalprice >= n_nationkey * 20000.0
           AND o_totalprice < n_nationkey * 20000.0 + 25000.0""",
+    "theta_join_time": """
+        SELECT e.event_id, p.event_id AS opener FROM events e, events p
+        WHERE p.event_type = 'purchase' AND e.ts >= p.ts AND e.ts < p.ts + INTERVAL 10 MINUTE""",
+    "theta_join_date": """
+        SELECT o_orderkey, n_name FROM orders, nation
+        WHERE CAST(o_orderdate AS DATE) >= DATE '1994-06-01' + 60 * n_nationkey
+          AND CAST(o_orderdate AS DATE) < DATE '1994-06-01' + 60 * n_nationkey + 90""",
+    "multi_scan_band": """
+        SELECT e.event_id, x.event_id AS opener, c_name FROM events e, events x, customer
+        WHERE x.event_type = 'error' AND e.ts >= x.ts AND e.ts < x.ts + INTERVAL 2 DAY
+          AND e.user_id = x.user_id AND c_custkey = e.user_id AND e.event_type <> 'error'""",
     "temp_view_sql": """
         SELECT user_id AS eid, round(sum(value), 4) AS seed_click_num FROM events
         WHERE event_type = 'click' GROUP BY user_id""",

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayfold.functions.dates import day_bounds, require_day
+from dayfold.ranges import theta_join
 
 log = logging.getLogger(__name__)
 
@@ -59,24 +60,45 @@ def day_range_scan(table: str | DataFrame, dt: str | None, ts_column: str) -> Da
     )
 
 
-def multi_scan(tables: Sequence[str | DataFrame], where: Predicate) -> DataFrame:
+def multi_scan(
+    tables: Sequence[str | DataFrame],
+    where: Predicate | None = None,
+    within: tuple[str, str, str] | None = None,
+) -> DataFrame:
     """Several tables related only by a predicate, as in a comma separated FROM.
 
     Equalities in ``where`` become hash or sort-merge join keys; what remains of it is
-    checked on the joined rows. Give each pair of tables an equality: for a relation that is
-    only a range use ``theta_join``, and for the size of an unrestricted product use
-    ``cross_join_count``. Tables that no equality connects are an error.
+    checked on the joined rows. ``within`` is a range, as the columns (at, low, high) with
+    ``low <= at < high``, that relates the table of the first to that of the others: numbers, dates
+    or timestamps (see ``theta_join``), with or without equalities between the two. For the size of
+    an unrestricted product use ``cross_join_count``. Tables that nothing connects are an error.
     """
     if not tables:
         raise ValueError("multi_scan needs at least one table")
     frames = [scan(t) for t in tables]
-    joined = reduce(lambda left, right: left.join(right), frames).where(where)
+    if within is not None:
+        points, ranges = (_one_with(frames, names) for names in (within[:1], within[1:]))
+        if points is ranges:
+            raise ValueError(f"{within} must relate two tables")
+        others = [f for f in frames if f is not points and f is not ranges]
+        frames = [theta_join(points, ranges, *within), *others]
+    joined = reduce(lambda left, right: left.join(right), frames)
+    if where is not None:
+        joined = joined.where(where)
     planned = joined._jdf.queryExecution().sparkPlan().toString()
     if "CartesianProduct" in planned or "NestedLoopJoin" in planned:
-        raise ValueError(f"no equality connects all of the tables: {where}")
+        raise ValueError(f"neither an equality nor a range connects all of the tables: {where}")
     return joined
 
 
+def _one_with(frames: Sequence[DataFrame], names: Sequence[str]) -> DataFrame:
+    """The only frame with all of the columns."""
+    found = [frame for frame in frames if set(names) <= set(frame.columns)]
+    if len(found) != 1:
+        raise ValueError(f"{len(found)} tables have the columns {', '.join(names)}")
+    return found[0]
+
+
 def query_view(frame: DataFrame, name: str, sql: str) -> DataFrame:
     """Register ``frame`` as temp view ``name`` and run ``sql`` against it."""
     frame.createOrReplaceTempView(name)

@@ -248,3 +248,48 @@ def test_preview_rows(spark):
     frame = spark.range(100)
     assert preview_rows(frame).count() == 10
     assert [r[0] for r in preview_rows(frame, 3, ["id"]).collect()] == [0, 1, 2]
+
+
+NEW_YORK = "America/New_York"
+
+
+@pytest.mark.parametrize(
+    ("kind", "value"),
+    [
+        ("date", lambda i: date(1960, 1, 1) + timedelta(days=97 * i)),
+        ("timestamp", lambda i: datetime(2024, 11, 2, 20) + timedelta(minutes=10 * i)),
+        ("timestamp_ntz", lambda i: datetime(2024, 11, 2, 20) + timedelta(minutes=10 * i)),
+        ("timestamp_ntz", lambda i: datetime(1960, 1, 1) + timedelta(microseconds=i)),
+        ("decimal(30,10)", lambda i: Decimal(i) / 8 + Decimal(10) ** 18),
+        ("long", lambda i: 2**62 + i),
+        ("byte", lambda i: i - 40),
+    ],
+)
+def test_theta_join_of_every_ordered_type(spark, kind, value):
+    draw = random.Random(3)
+    points = [(i, None if i % 11 == 0 else value(draw.randint(0, 60))) for i in range(80)]
+    ends = [sorted((draw.randint(0, 60), draw.randint(0, 60))) for _ in range(40)]
+    ranges = [(i, value(a), None if i == 5 else value(b)) for i, (a, b) in enumerate(ends)]
+    expected = sorted(
+        (p, r)
+        for p, x in points
+        for r, low, high in ranges
+        if x is not None and high is not None and low <= x < high
+    )
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", NEW_YORK)
+    try:
+        left = spark.createDataFrame(points, f"p int, x {kind}")
+        right = spark.createDataFrame(ranges, f"r int, low {kind}, high {kind}")
+        joined = theta_join(left, right, "x", "low", "high").select("p", "r")
+        assert sorted(map(tuple, joined.collect())) == expected and expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_theta_join_of_mixed_and_unordered_types(spark):
+    left = spark.sql("SELECT timestamp_ntz'2024-03-05 12:00:00' AS x, 'a' AS name")
+    right = spark.sql("SELECT date'2024-03-05' AS low, date'2024-03-06' AS high, 'b' AS z")
+    assert theta_join(left, right, "x", "low", "high").count() == 1
+    with pytest.raises(TypeError, match="string"):
+        theta_join(left, right, "name", "z", "z")

@@ -118,3 +118,33 @@ def test_whole_files(spark, tmp_path):
     (tmp_path / "latin").mkdir()
     (tmp_path / "latin" / "e.txt").write_bytes("één".encode("latin-1"))
     assert whole_files(str(tmp_path / "latin"), "ISO-8859-1").first()["text"] == "één"
+
+
+def test_multi_scan_by_a_range(spark):
+    points = spark.createDataFrame([(1, 5), (2, 15), (3, 25)], "p long, x int")
+    ranges = spark.createDataFrame([(1, 0, 10), (2, 0, 100), (9, 20, 30)], "r long, low int, high int")
+    names = spark.createDataFrame([(1, "a"), (2, "b"), (9, "c")], "id long, name string")
+
+    def found(frame):
+        return sorted((row.p, row.r) for row in frame.collect())
+
+    within = ("x", "low", "high")
+    assert found(multi_scan([points, ranges], within=within)) == [(1, 1), (1, 2), (2, 2), (3, 2), (3, 9)]
+    assert found(multi_scan([points, ranges], "p = r", within)) == [(1, 1), (2, 2)]
+    both = multi_scan([names, ranges, points], "id = r AND name <> 'b'", within)
+    assert found(both) == [(1, 1), (3, 9)]
+    with pytest.raises(ValueError, match="connects"):
+        multi_scan([names, ranges, points], "name <> 'b'", within)
+    with pytest.raises(ValueError, match="0 tables"):
+        multi_scan([points, names], within=within)
+    with pytest.raises(ValueError, match="two tables"):
+        multi_scan([ranges, names], "id = r", ("low", "low", "high"))
+
+
+def test_equalities_beside_a_range_are_join_keys(spark):
+    points = spark.range(1000).selectExpr("id AS p", "id % 50 AS x", "id % 7 AS k")
+    ranges = spark.range(30).selectExpr("id AS r", "id AS low", "id + 5 AS high", "id % 7 AS j")
+    plan = multi_scan([points, ranges], "k = j", ("x", "low", "high"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    keys = [line for line in text.splitlines() if "HashJoin" in line or "SortMergeJoin" in line]
+    assert len(keys) == 1 and "_grid" in keys[0] and "k#" in keys[0] and "j#" in keys[0]
