@@ -57,6 +57,21 @@ def day_table_rewrite(spark, sf_dir):
     return _read_back(spark, table, path).select("day", "event_type", "event_num", "twice")
 
 
+def swapped_day(spark, sf_dir):
+    """A day table of which one day is swapped twice and one is new; read through its catalog."""
+    events = read(spark, sf_dir, "events").withColumn("day", compact_day(F.col("ts")))
+    counts = group_metrics(events, ["day", "event_type"], {"event_num": "*"})
+    table, path = _fresh(spark, "swapped_day")
+    S.write_day_table(counts.where(F.col("day") < "20240116"), table, path=path)
+    for factor in (5, 3):
+        rows = counts.where(F.col("day") == "20240110")
+        S.swap_day(rows.withColumn("event_num", F.col("event_num") * factor), table, "20240110")
+    S.swap_day(counts.where(F.col("day") == "20240120").drop("day"), table, "20240120")
+    rows = S.write_aside(spark.table(table), "swapped_day")
+    spark.sql(f"DROP TABLE {table}")
+    return rows.select("day", "event_type", "event_num")
+
+
 def append_docs(spark, sf_dir):
     customers = read(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name")
@@ -96,6 +111,20 @@ def compact_docs(spark, sf_dir):
     return _read_back(spark, table, path).select("id", "o_orderkey", "o_orderstatus")
 
 
+def docs_as_of(spark, sf_dir):
+    """Orders by customer as they were two batches ago, after the batches have been merged."""
+    orders = read(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("id"), "o_orderkey", "o_orderstatus"
+    )
+    table, path = _fresh(spark, "docs_as_of")
+    for status in ("F", "O", "P"):
+        batch = orders.where(F.col("o_orderstatus") == status)
+        S.upsert_docs(batch, table, "id", order="o_orderkey", path=path)
+    S.compact_docs(spark, table, "id", keep_old=True)
+    rows = _read_back(spark, table, path)
+    return S.current_docs(rows.where("upsert_batch <= 1"), "id")
+
+
 def metrics_upsert(spark, sf_dir):
     customers = group_metrics(
         read(spark, sf_dir, "customer"), ["c_nationkey"], {"customers": "*"}
@@ -133,9 +162,11 @@ QUERIES = {
     "append_table": append_table,
     "partitioned_write": partitioned_write,
     "day_table_rewrite": day_table_rewrite,
+    "swap_day": swapped_day,
     "append_docs": append_docs,
     "upsert_docs": upsert_docs,
     "compact_docs": compact_docs,
+    "docs_as_of": docs_as_of,
     "metrics_upsert": metrics_upsert,
     "write_text": write_text,
     "whole_files": whole_files,
@@ -158,6 +189,18 @@ ORACLES = {
         SELECT strftime(ts, '%Y%m%d') AS day, event_type, count(*) AS event_num,
           CASE WHEN strftime(ts, '%Y%m%d') >= '20240116' THEN 2 * count(*) END AS twice
         FROM events WHERE strftime(ts, '%Y%m%d') <> '20240120' GROUP BY 1, 2""",
+    "swap_day": """
+        SELECT strftime(ts, '%Y%m%d') AS day, event_type,
+          CASE WHEN strftime(ts, '%Y%m%d') = '20240110' THEN 3 ELSE 1 END * count(*) AS event_num
+        FROM events
+        WHERE strftime(ts, '%Y%m%d') < '20240116' OR strftime(ts, '%Y%m%d') = '20240120'
+        GROUP BY 1, 2""",
+    "docs_as_of": """
+        SELECT o_custkey AS id, max(o_orderkey) AS o_orderkey, o_orderstatus FROM orders JOIN (
+            SELECT o_custkey, max(o_orderstatus) AS o_orderstatus FROM orders
+            WHERE o_orderstatus IN ('F', 'O') GROUP BY o_custkey
+          ) USING (o_custkey, o_orderstatus)
+        GROUP BY o_custkey, o_orderstatus""",
     "append_docs": """
         SELECT c_custkey AS id, c_name AS name FROM customer
         UNION ALL SELECT s_suppkey, s_name FROM supplier""",

@@ -5,12 +5,20 @@ from dayfold.sinks.documents import (
     append_docs,
     compact_docs,
     current_docs,
+    drop_batches,
     latest_per_id,
     metrics_upsert,
     upsert_docs,
 )
 from dayfold.sinks.shared import shared_path, write_aside
-from dayfold.sinks.tables import append_table, write_day, write_day_table, write_text
+from dayfold.sinks.tables import (
+    append_table,
+    drop_old_days,
+    swap_day,
+    write_day,
+    write_day_table,
+    write_text,
+)
 
 __all__ = [
     "METRICS_RESOURCE",
@@ -18,9 +26,12 @@ __all__ = [
     "append_table",
     "compact_docs",
     "current_docs",
+    "drop_batches",
+    "drop_old_days",
     "latest_per_id",
     "metrics_upsert",
     "shared_path",
+    "swap_day",
     "upsert_docs",
     "write_aside",
     "write_day",

@@ -6,6 +6,7 @@ one of its latest batch.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -13,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dayfold.sinks.tables import add_columns, drop_partitions, partition_columns
+from dayfold.sinks.shared import move_to_new, remove_path
+from dayfold.sinks.tables import add_columns, drop_partitions, partition_columns, table_detail
 
 # The target of the metrics preset and the settings of the search-index connector.
 METRICS_RESOURCE = "mlp/metrics"
@@ -95,15 +97,34 @@ def _batches(spark: SparkSession, table: str) -> list[int]:
     return sorted(int(row[0].removeprefix(f"{BATCH}=")) for row in rows)
 
 
-def _add_batch(docs: DataFrame, table: str, number: int) -> None:
-    """Append documents, null in the columns they lack, as a partition of their own."""
-    stored = docs.sparkSession.table(table).schema
+def _write_batch(docs: DataFrame, table: str) -> str:
+    """Write documents, null in the columns they lack, to a folder that the table does not see yet."""
+    spark = docs.sparkSession
+    stored = spark.table(table).schema
     columns = [
-        (F.col(f"`{f.name}`") if f.name in docs.columns else F.lit(None)).cast(f.dataType)
+        (F.col(f"`{f.name}`") if f.name in docs.columns else F.lit(None)).cast(f.dataType).alias(
+            f.name
+        )
         for f in stored
         if f.name != BATCH
     ]
-    docs.select(*columns, F.lit(number).cast("long")).hint("rebalance").write.insertInto(table)
+    folder = f"{_place(spark, table)}/_writing-{uuid.uuid4().hex}"
+    writer = docs.select(*columns).hint("rebalance").write
+    writer.format(table_detail(spark, table, "Provider")).save(folder)
+    return folder
+
+
+def _place(spark: SparkSession, table: str) -> str:
+    return table_detail(spark, table, "Location").rstrip("/")
+
+
+def _take_number(spark: SparkSession, table: str, folder: str, number: int) -> bool:
+    """Make a written folder the batch of a number, in one step; False if another writer has it."""
+    if not move_to_new(spark, folder, f"{_place(spark, table)}/{BATCH}={number}"):
+        return False
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({BATCH} = {number})")
+    spark.catalog.refreshTable(table)
+    return True
 
 
 def upsert_docs(
@@ -120,8 +141,10 @@ def upsert_docs(
 
     A batch is one more partition, with a number above all others: nothing stored is read or
     rewritten, so the cost is that of the batch. ``current_docs`` gives the state, and
-    ``compact_docs`` merges the batches now and then. A run that dies can be repeated. A table
-    takes one writer at a time, which gives the numbers.
+    ``compact_docs`` merges the batches now and then. A run that dies can be repeated. Of two
+    writers that want the same number, one gets it and the other the next: a batch is written to
+    a folder of its own first and gets its number by a rename. ``current_docs`` over the rows with
+    numbers up to some batch is the state as of that batch.
     """
     spark = docs.sparkSession
     if BATCH in docs.columns:
@@ -134,7 +157,9 @@ def upsert_docs(
     batch = latest_per_id(_required(docs, id_field), id_field, order)
     if exists:
         add_columns(spark, table, docs, stored.names)
-        _add_batch(batch, table, number)
+        folder = _write_batch(batch, table)
+        while not _take_number(spark, table, folder, number):
+            number += 1
         return
     numbered = batch.withColumn(BATCH, F.lit(0).cast("long"))
     writer = numbered.hint("rebalance").write.partitionBy(BATCH)
@@ -154,15 +179,34 @@ def current_docs(rows: DataFrame, id_field: str) -> DataFrame:
     return latest.select(*[f"`{c}`" for c in rows.columns if c != BATCH])
 
 
-def compact_docs(spark: SparkSession, table: str, id_field: str) -> None:
-    """Merge all batches of a table into one.
+def compact_docs(
+    spark: SparkSession, table: str, id_field: str, keep_old: bool = False
+) -> list[int]:
+    """Merge all batches of a table into one; returns the batches that it replaces.
 
     The state is written as the newest batch before the older ones are removed, so a run that dies
-    in between changes no document. Queries that are still reading older batches fail.
+    in between changes no document. If a writer has added a batch meanwhile, the state is read
+    again. Queries that are still reading older batches fail when those go: with ``keep_old`` they
+    stay, and change nothing, until they are given to ``drop_batches``.
     """
-    batches = _batches(spark, table)
-    if len(batches) > 1:
-        _add_batch(current_docs(spark.table(table), id_field), table, batches[-1] + 1)
+    while True:
+        batches = _batches(spark, table)
+        if len(batches) < 2:
+            return []
+        merged = spark.table(table).where(F.col(BATCH) <= batches[-1])
+        folder = _write_batch(current_docs(merged, id_field), table)
+        # The very next number, or else what came in between would be hidden.
+        if _take_number(spark, table, folder, batches[-1] + 1):
+            break
+        remove_path(spark, folder)
+    if not keep_old:
+        drop_batches(spark, table, batches)
+    return batches
+
+
+def drop_batches(spark: SparkSession, table: str, batches: Sequence[int]) -> None:
+    """Remove batches that ``compact_docs`` has replaced."""
+    if batches:
         drop_partitions(spark, table, BATCH, batches)
 
 

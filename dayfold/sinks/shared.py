@@ -6,6 +6,7 @@ import logging
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
@@ -51,3 +52,32 @@ def remove_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def move_to_new(spark: SparkSession, path: str, target: str) -> bool:
+    """Rename ``path`` to ``target`` in one step; False if there is one already."""
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    source, goal = fs.Path(path), fs.Path(target)
+    files = fs.FileContext.getFileContext(
+        goal.toUri(), spark.sparkContext._jsc.hadoopConfiguration()
+    )
+    kind = getattr(fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.NONE
+    try:
+        files.rename(source, goal, options)
+    except Py4JJavaError:
+        if files.util().exists(source) and files.util().exists(goal):
+            return False
+        raise
+    return True
+
+
+def folders_in(spark: SparkSession, path: str) -> dict[str, int]:
+    """Folders right under ``path``, with when they were changed last (seconds since 1970)."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return {}
+    found = files.listStatus(target)
+    return {f.getPath().toString(): f.getModificationTime() // 1000 for f in found if f.isDirectory()}

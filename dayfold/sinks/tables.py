@@ -6,12 +6,15 @@ small result becomes one file) and splits large ones, instead of one task writin
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayfold.sinks.shared import remove_path, shared_path, write_to
+from dayfold.sinks.shared import folders_in, remove_path, shared_path, write_to
 
 
 def append_table(frame: DataFrame, table: str, path: str | None = None) -> None:
@@ -83,6 +86,86 @@ def write_day_table(
     remove_path(spark, aside)
 
 
+def swap_day(frame: DataFrame, table: str, day: str, day_column: str = "day") -> str:
+    """Replace a day of a table in one step, and keep what was there for queries that read it.
+
+    The rows are written to a new folder of their own; then the day's partition is added at, or
+    moved to, that location. That entry of the catalog is the commit: a write that dies before
+    it leaves the table as it was, whatever it has written, and readers see the old day or the new
+    one, never both or half. Nothing else is listed or touched. Returns the folder.
+
+    The frame is all there is of the day, and has the table's columns (a day column in it must hold
+    that day only). ``drop_old_days`` deletes folders that are no partition's any more.
+    """
+    spark = frame.sparkSession
+    if partition_columns(spark, table) != [day_column]:
+        raise ValueError(f"{table} is not partitioned by {day_column} alone")
+    if day_column in frame.columns:
+        own = F.coalesce(F.col(day_column).cast("string"), F.lit("null"))
+        error = F.raise_error(F.concat(F.lit(f"rows of another {day_column}: "), own))
+        frame = frame.where(F.when(own == F.lit(day), True).otherwise(error.cast("boolean")))
+    stored = spark.table(table).schema
+    lacking = [f.name for f in stored if f.name not in (*frame.columns, day_column)]
+    if lacking:
+        raise ValueError(f"{table} has columns that the rows lack: {', '.join(lacking)}")
+    add_columns(spark, table, frame, stored.names)
+    columns = [f for f in spark.table(table).schema if f.name != day_column]
+    rows = frame.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in columns])
+    folder = f"{_versions(spark, table)}/{day_column}={day}-{uuid.uuid4().hex}"
+    try:
+        rows.hint("rebalance").write.format(table_detail(spark, table, "Provider")).save(folder)
+    except Exception:
+        remove_path(spark, folder)
+        raise
+    _place_partition(spark, table, day_column, day, folder)
+    return folder
+
+
+def _versions(spark: SparkSession, table: str) -> str:
+    """Where the folders of swapped days lie: hidden, so that listing the table skips it."""
+    return f"{table_detail(spark, table, 'Location').rstrip('/')}/_versions"
+
+
+def _place_partition(spark: SparkSession, table: str, column: str, value: str, folder: str) -> None:
+    spec = f"PARTITION (`{column}` = '{_quoted(value)}')"
+    place = f"LOCATION '{_quoted(folder)}'"
+    if spark.sql(f"SHOW PARTITIONS {table} {spec}").isEmpty():
+        spark.sql(f"ALTER TABLE {table} ADD {spec} {place}")
+    else:
+        spark.sql(f"ALTER TABLE {table} {spec} SET {place}")
+    spark.catalog.refreshTable(table)
+
+
+def _quoted(value: object) -> str:
+    return str(value).replace("\\", "\\\\").replace("'", "\\'")
+
+
+def drop_old_days(spark: SparkSession, table: str, seconds: float) -> list[str]:
+    """Delete folders of ``swap_day`` that no partition is at, and that are older than ``seconds``.
+
+    Choose more than any query takes, and any write. Returns the deleted folders.
+    """
+    column = partition_columns(spark, table)[0]
+    live = set()
+    # One for each day that the table has.
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        value = _quoted(row[0].removeprefix(f"{column}="))
+        told = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION (`{column}` = '{value}')")
+        place = told.where((F.col("col_name") == "Location") & (F.col("data_type") != ""))
+        live |= {_plain_path(r["data_type"]) for r in place.collect()}
+    before = time.time() - seconds
+    folders = folders_in(spark, _versions(spark, table))
+    old = [f for f, at in folders.items() if _plain_path(f) not in live and at <= before]
+    for folder in old:
+        remove_path(spark, folder)
+    return old
+
+
+def _plain_path(place: str) -> str:
+    """A path without its scheme, however many slashes that is written with."""
+    return "/" + unquote(place).partition(":")[2].lstrip("/") if ":" in place else place
+
+
 def add_columns(spark: SparkSession, table: str, rows: DataFrame, known: Sequence[str]) -> None:
     """Add the columns of ``rows`` that are not among the ``known`` ones of the table."""
     new = [f for f in rows.schema.fields if f.name not in known]
@@ -91,7 +174,7 @@ def add_columns(spark: SparkSession, table: str, rows: DataFrame, known: Sequenc
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
 
 
-def _detail(spark: SparkSession, table: str, name: str) -> str:
+def table_detail(spark: SparkSession, table: str, name: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == name)
     return rows.first()["data_type"]
 
@@ -105,7 +188,7 @@ def _empty_day(spark: SparkSession, table: str, day_column: str, day: str) -> No
 
 def drop_partitions(spark: SparkSession, table: str, column: str, values: Sequence) -> None:
     """Remove partitions and their files, which an external table would keep."""
-    location = _detail(spark, table, "Location").rstrip("/")
+    location = table_detail(spark, table, "Location").rstrip("/")
     specs = [str(value).replace("'", "\\'") for value in values]
     spec = ", ".join(f"PARTITION (`{column}` = '{value}')" for value in specs)
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
@@ -127,8 +210,8 @@ def overwrite_partitions(frame: DataFrame, table: str) -> None:
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*columns)
-        .format(_detail(spark, table, "Provider"))
-        .save(_detail(spark, table, "Location"))
+        .format(table_detail(spark, table, "Provider"))
+        .save(table_detail(spark, table, "Location"))
     )
     spark.catalog.recoverPartitions(table)
     spark.catalog.refreshTable(table)

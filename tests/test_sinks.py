@@ -11,9 +11,13 @@ from dayfold.sinks import (
     append_table,
     compact_docs,
     current_docs,
+    documents,
+    drop_batches,
+    drop_old_days,
     latest_per_id,
     metrics_upsert,
     shared_path,
+    swap_day,
     upsert_docs,
     write_day,
     write_day_table,
@@ -250,3 +254,99 @@ def test_shared_path_reads_the_setting(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_path(spark, "x"), shared_path(spark, "x")
     assert first != second and first.startswith(root.rstrip("/") + "/x-")
+
+
+def day_table(spark, tmp_path, external=True):
+    table = fresh("days")
+    rows = [("20240109", "a", 1), ("20240110", "b", 2), ("20240110", "c", 3)]
+    frame = spark.createDataFrame(rows, "day string, k string, n long")
+    write_day_table(frame, table, path=str(tmp_path / "t") if external else None)
+    return table, frame
+
+
+@pytest.mark.parametrize("external", [True, False])
+def test_swap_day(spark, tmp_path, external):
+    table, frame = day_table(spark, tmp_path, external)
+    old = rows_of(spark.table(table).select("day", "k", "n"))
+    files = spark.table(table).inputFiles()
+    new = spark.createDataFrame([("x", 7), ("y", 8)], "k string, n int")
+    swap_day(new, table, "20240110")
+    swap_day(new, table, "20240110")
+    swap_day(new.limit(1), table, "20240111")
+    expected = [("20240109", "a", 1), ("20240110", "x", 7), ("20240110", "y", 8), ("20240111", "x", 7)]
+    assert rows_of(spark.table(table).select("day", "k", "n")) == expected
+    # Whoever had planned to read the old day still can.
+    kept = spark.read.parquet(*files)
+    assert sorted(r.n for r in kept.collect()) == [n for _, _, n in old]
+    # An empty day, one more column, and a table that knows its days when it is read again.
+    swap_day(new.limit(0), table, "20240109")
+    swap_day(new.withColumn("more", F.lit("m")), table, "20240111")
+    found = rows_of(spark.table(table).select("day", "k", "n", "more"))
+    assert [r for r in found if r[0] != "20240111"] == [(*r, None) for r in expected[1:3]]
+    assert [r for r in found if r[0] == "20240111"] == [("20240111", "x", 7, "m"), ("20240111", "y", 8, "m")]
+    assert drop_old_days(spark, table, 3600) == []
+    assert len(drop_old_days(spark, table, 0)) == 2
+    assert rows_of(spark.table(table).select("day", "k", "n", "more")) == found
+
+
+def test_a_swap_that_dies_changes_nothing(spark, tmp_path):
+    table, frame = day_table(spark, tmp_path)
+    old = rows_of(spark.table(table))
+    broken = spark.range(100).select(
+        F.lit("z").alias("k"),
+        F.when(F.col("id") < 99, F.col("id")).otherwise(F.raise_error(F.lit("died"))).alias("n"),
+    )
+    with pytest.raises(Exception, match="died"):
+        swap_day(broken, table, "20240110")
+    assert rows_of(spark.table(table)) == old
+    versions = tmp_path / "t" / "_versions"
+    assert not versions.exists() or not os.listdir(versions)
+    with pytest.raises(Exception, match="rows of another day: 20240109"):
+        swap_day(frame, table, "20240110")
+    with pytest.raises(ValueError, match="lack: n"):
+        swap_day(frame.select("k"), table, "20240110")
+    with pytest.raises(ValueError, match="not partitioned"):
+        swap_day(frame, table, "20240110", "k")
+    assert rows_of(spark.table(table)) == old
+
+
+def test_two_writers_get_different_batches(spark, tmp_path, monkeypatch):
+    """A batch that comes in while another one is being written."""
+    table = fresh("docs")
+    schema = "id string, v string"
+    upsert_docs(spark.createDataFrame([("1", "a")], schema), table, "id", path=str(tmp_path / "t"))
+    plain, others = documents._write_batch, [[("1", "b"), ("2", "b")], [("3", "c")]]
+
+    def meanwhile(docs, name):
+        folder = plain(docs, name)
+        if others:
+            upsert_docs(spark.createDataFrame(others.pop(), schema), table, "id")
+        return folder
+
+    monkeypatch.setattr(documents, "_write_batch", meanwhile)
+    upsert_docs(spark.createDataFrame([("2", "z")], schema), table, "id")
+    batches = sorted(r[0] for r in spark.table(table).select("upsert_batch").distinct().collect())
+    assert batches == [0, 1, 2, 3]
+    assert rows_of(state(spark, table)) == [("1", "b"), ("2", "z"), ("3", "c")]
+    # A batch that comes in while the others are merged is not lost.
+    others.append([("1", "late")])
+    assert compact_docs(spark, table, "id") == [0, 1, 2, 3, 4]
+    assert rows_of(spark.table(table).select("id", "v")) == [("1", "late"), ("2", "z"), ("3", "c")]
+    assert [d for d in os.listdir(tmp_path / "t") if d.startswith("_writing")] == []
+
+
+def test_readers_outlive_a_compaction(spark, tmp_path):
+    table = fresh("docs")
+    schema = "id string, v string"
+    for batch in ([("1", "a"), ("2", "b")], [("2", "c")]):
+        upsert_docs(spark.createDataFrame(batch, schema), table, "id", path=str(tmp_path / "t"))
+    files = spark.table(table).inputFiles()
+    reader = spark.read.parquet(*files)
+    old = compact_docs(spark, table, "id", keep_old=True)
+    assert old == [0, 1] and sorted(r.v for r in reader.collect()) == ["a", "b", "c"]
+    expected = [("1", "a"), ("2", "c")]
+    assert rows_of(state(spark, table)) == expected
+    before = current_docs(spark.table(table).where("upsert_batch <= 0"), "id")
+    assert rows_of(before) == [("1", "a"), ("2", "b")]
+    drop_batches(spark, table, old)
+    assert rows_of(spark.table(table).select("id", "v")) == expected
