@@ -1,4 +1,7 @@
-"""Column functions made of Spark built-ins only; none of them leaves the JVM."""
+"""Column functions made of Spark built-ins.
+
+Hashes of text, and charsets that Spark cannot decode, take Arrow batches to Python.
+"""
 
 from dayfold.functions.binary import (
     byte_slice,

@@ -152,6 +152,16 @@ def write_text(spark, sf_dir):
     return spark.read.text(_exported(spark, sf_dir)).select(F.col("value").alias("line"))
 
 
+def text_round_trip(spark, sf_dir):
+    """Whole texts, with their line breaks, written as lines and read back."""
+    docs = read(spark, sf_dir, "documents").select(
+        "doc_id", F.nullif("lang", F.lit("en")).alias("lang"), "text", "n_chars"
+    )
+    path = S.shared_path(spark, "text_round_trip")
+    S.write_text(docs, path, separator="|", escaped=True)
+    return S.read_text(spark, path, docs.schema, separator="|")
+
+
 def whole_files(spark, sf_dir):
     files = read_files(_exported(spark, sf_dir), pattern="*.txt")
     lines = F.split(F.regexp_replace("text", "\\n$", ""), "\n")
@@ -169,6 +179,7 @@ QUERIES = {
     "docs_as_of": docs_as_of,
     "metrics_upsert": metrics_upsert,
     "write_text": write_text,
+    "text_round_trip": text_round_trip,
     "whole_files": whole_files,
 }
 
@@ -225,5 +236,6 @@ ORACLES = {
         UNION ALL
         SELECT s_nationkey, NULL, count(*) FROM supplier GROUP BY s_nationkey""",
     "write_text": LINES_SQL,
+    "text_round_trip": "SELECT doc_id, nullif(lang, 'en') AS lang, text, n_chars FROM documents",
     "whole_files": LINES_SQL,
 }

@@ -14,6 +14,7 @@ from dayfold.sinks.shared import shared_path, write_aside
 from dayfold.sinks.tables import (
     append_table,
     drop_old_days,
+    read_text,
     swap_day,
     write_day,
     write_day_table,
@@ -30,6 +31,7 @@ __all__ = [
     "drop_old_days",
     "latest_per_id",
     "metrics_upsert",
+    "read_text",
     "shared_path",
     "swap_day",
     "upsert_docs",

@@ -11,8 +11,9 @@ import uuid
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dayfold.sinks.shared import folders_in, remove_path, shared_path, write_to
 
@@ -221,12 +222,80 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def write_text(frame: DataFrame, path: str, separator: str = "\t", null_text: str = "") -> None:
+# What stands for a backslash, a line feed, a carriage return and the separator in escaped text, and
+# for a null.
+ESCAPE = "\\"
+LINE_ENDS = {"\n": "n", "\r": "r"}
+SEPARATOR_MARK = "s"
+NULL_MARK = "N"
+
+
+def write_text(
+    frame: DataFrame,
+    path: str,
+    separator: str = "\t",
+    null_text: str = "",
+    escaped: bool = False,
+) -> None:
     """Export all columns as lines of text; a null becomes ``null_text`` and keeps its place.
 
-    Values are written as they are: a line break or separator in one is not escaped.
+    Values are written as they are: a line break or separator in one is not escaped. With
+    ``escaped`` they are, and backslashes, and nulls are told from empty texts, so that
+    ``read_text`` gives the rows back.
     """
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit(null_text)) for c in frame.columns]
+    if escaped:
+        cells = [_escaped(F.col(f"`{c}`").cast("string"), separator) for c in frame.columns]
+    else:
+        cells = [F.coalesce(F.col(c).cast("string"), F.lit(null_text)) for c in frame.columns]
     frame.select(F.concat_ws(separator, *cells).alias("value")).hint("rebalance").write.mode(
         "append"
     ).text(path)
+
+
+def _require_separator(separator: str) -> None:
+    taken = {ESCAPE, NULL_MARK, SEPARATOR_MARK, *LINE_ENDS, *LINE_ENDS.values()}
+    if not separator or set(separator) & taken:
+        raise ValueError(f"{separator!r} cannot separate escaped text")
+
+
+def _escaped(cell: Column, separator: str) -> Column:
+    _require_separator(separator)
+    text = F.replace(cell, F.lit(ESCAPE), F.lit(2 * ESCAPE))
+    for raw, mark in {separator: SEPARATOR_MARK, **LINE_ENDS}.items():
+        text = F.replace(text, F.lit(raw), F.lit(ESCAPE + mark))
+    return F.coalesce(text, F.lit(ESCAPE + NULL_MARK))
+
+
+def _plain_text(cell: Column, separator: str) -> Column:
+    """What ``_escaped`` was given. Pairs of backslashes part the text into pieces without any."""
+
+    def piece(text: Column) -> Column:
+        for raw, mark in {separator: SEPARATOR_MARK, **LINE_ENDS}.items():
+            text = F.replace(text, F.lit(ESCAPE + mark), F.lit(raw))
+        return text
+
+    pieces = F.split(cell, 4 * ESCAPE, -1)
+    text = F.array_join(F.transform(pieces, piece), ESCAPE)
+    return F.when(cell != F.lit(ESCAPE + NULL_MARK), text)
+
+
+def read_text(
+    spark: SparkSession, path: str, schema: T.StructType, separator: str = "\t"
+) -> DataFrame:
+    """Rows of a schema from what ``write_text`` exported with ``escaped``.
+
+    A line is a record whatever its values hold, so long files are read in parts that end at
+    records. A line with another number of values is an error.
+    """
+    _require_separator(separator)
+    quoted = "".join(f"[{c}]" if c not in "^[]" else f"\\{c}" for c in separator)
+    cells = F.split("value", quoted, -1)
+    error = F.raise_error(F.concat(F.lit("a line with "), F.size(cells), F.lit(" values")))
+    right = F.when(F.size(cells) == len(schema), True).otherwise(error.cast("boolean"))
+    lines = spark.read.text(path).where(right).select(cells.alias("cells"))
+    return lines.select(
+        *[
+            _plain_text(F.col("cells")[i], separator).cast(f.dataType).alias(f.name)
+            for i, f in enumerate(schema)
+        ]
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayfold.functions.binary import bytes_to_text
@@ -23,14 +23,14 @@ def whole_files(path: str, charset: str = "UTF-8", pattern: str | None = None) -
         reader = reader.option("pathGlobFilter", pattern)
     files = reader.load(path)
     texts = files.select("path", bytes_to_text(F.col("content"), charset).alias("text"))
-    sizes = [(unquote(name), _size(spark, name)) for name in files.inputFiles()]
-    empty = [(name, "") for name, size in sizes if size == 0]
-    return texts.unionByName(spark.createDataFrame(empty, "path string, text string"))
+    # The listing is there already; which of its files the reader skips is found out by Spark.
+    listed = spark.createDataFrame([(unquote(name),) for name in files.inputFiles()], "path string")
+    empty = listed.withColumn("_file", _plain(F.col("path"))).join(
+        files.select(_plain(F.col("path")).alias("_file")), ["_file"], "left_anti"
+    )
+    return texts.unionByName(empty.select("path", F.lit("").alias("text")))
 
 
-def _size(spark: SparkSession, name: str) -> int:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-        spark.sparkContext._jvm.java.net.URI(name)
-    )
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.getFileStatus(path).getLen()
+def _plain(path: Column) -> Column:
+    """A path with one slash after its scheme, however many it is written with."""
+    return F.regexp_replace(path, "^([A-Za-z0-9+.-]+):/+", "$1:/")

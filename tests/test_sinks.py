@@ -1,6 +1,7 @@
 """Sinks: write, read back, write again."""
 
 import os
+import random
 import uuid
 
 import pytest
@@ -16,6 +17,7 @@ from dayfold.sinks import (
     drop_old_days,
     latest_per_id,
     metrics_upsert,
+    read_text,
     shared_path,
     swap_day,
     upsert_docs,
@@ -350,3 +352,23 @@ def test_readers_outlive_a_compaction(spark, tmp_path):
     assert rows_of(before) == [("1", "a"), ("2", "b")]
     drop_batches(spark, table, old)
     assert rows_of(spark.table(table).select("id", "v")) == expected
+
+
+@pytest.mark.parametrize("separator", ["\t", "|", "^", "]", "||", "é-"])
+def test_escaped_text_comes_back(spark, tmp_path, separator):
+    draw = random.Random(8)
+    marks = ["\\", "n", "r", "s", "N", "\n", "\r", separator, "", "x", "é", "\u2028", "\x00"]
+    rows = [
+        (i, draw.choice([None, "".join(draw.choices(marks, k=draw.randint(0, 9)))]), "\\" * (i % 4))
+        for i in range(300)
+    ]
+    rows += [(300, "\\N", "\\\\n"), (301, "", ""), (None, None, None)]
+    frame = spark.createDataFrame(rows, "i long, a string, b string")
+    path = str(tmp_path / "t")
+    write_text(frame, path, separator, escaped=True)
+    assert rows_of(read_text(spark, path, frame.schema, separator)) == rows_of(frame)
+    with pytest.raises(Exception, match="a line with 3 values"):
+        read_text(spark, path, frame.select("i", "a").schema, separator).collect()
+    for wrong in ("", "n", "\\", "a\n"):
+        with pytest.raises(ValueError, match="cannot separate"):
+            write_text(frame, path, wrong, escaped=True)
