@@ -61,9 +61,9 @@ def group_collect(
     written = write_aside(placed, "lists").withColumn("_range", F.shiftright("_row", ROW_BITS))
     long = write_aside(_long_lists(written, part_rows), "list-starts")
     # Of known size, as it is written: Spark copies it to all tasks only where it is small.
-    short = written.join(long.select("_key").distinct(), ["_key"], "left_anti")
+    short = written.join(long.select("_key"), ["_key"], "left_anti")
     numbered = written.join(long, ["_key", "_range"]).withColumn(
-        "part", F.floor((F.col("_row") + F.col("_shift")) / F.lit(part_rows))
+        "part", F.expr(f"(_row + _shift) div {part_rows}")
     )
     lists = _listed(short.withColumn("part", F.lit(0).cast("long"))).unionByName(_listed(numbered))
     return lists.select("_key.*", "part", F.col("_values").alias(name))

@@ -172,6 +172,14 @@ def test_group_collect_one_key_makes_no_long_array(spark, rows, part_rows):
     assert sizes.first() == (part_rows, rows // part_rows, 0, 0)
 
 
+def test_group_collect_null_keys_are_cut_like_others(spark):
+    rows = [(None, i, f"v{i}") for i in range(1000)] + [("a", i, f"v{i}") for i in range(30)]
+    frame = spark.createDataFrame(rows, "k string, o long, v string").repartition(4)
+    lists = collected(frame, part_rows=100)
+    assert lists.keys() == {(None, part) for part in range(10)} | {("a", 0)}
+    assert lists[None, 3] == [f"v{999 - i}" for i in range(300, 400)]
+
+
 def test_group_collect_two_keys(spark):
     frame = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "k int, o int, v string")
     frame = frame.withColumn("j", F.lit("j"))
