@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dayfold.sinks.shared import remove_path, shared_path, write_aside, write_to
+from dayfold.sinks.shared import remove_path, shared_path, write_to
 
 # Rows taken at a time where texts become much larger intermediate arrays.
 SLICE_ROWS = 256
@@ -81,7 +81,12 @@ def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
 
 
 def in_order(
-    frame: DataFrame, order: Sequence[str], value: str, name: str, compression: str | None = None
+    frame: DataFrame,
+    order: Sequence[str],
+    value: str,
+    name: str,
+    compression: str | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """Rows sorted over the whole frame and written aside, with a running total.
 
@@ -91,7 +96,8 @@ def in_order(
     than its range, however the rows are distributed over keys: end ``order`` with columns that
     tell rows apart.
 
-    The order is that of the files, and of ``part`` and ``place``.
+    The order is that of the files, and of ``part`` and ``place``. With a new ``folder`` the rows go
+    to its ``files`` and the sums before each range to its ``starts``, for ``ordered_files``.
     """
     dealt = frame.repartitionByRange(*order).sortWithinPartitions(*order)
     fields = [*frame.schema.fields]
@@ -123,20 +129,28 @@ def in_order(
             )
             place, carried = place + n, int(sums[-1])
 
-    written = write_aside(
-        dealt.mapInArrow(total, T.StructType([*fields, *added])),
-        name,
-        compression=compression,
-    )
+    path = f"{folder}/files" if folder else shared_path(frame.sparkSession, name)
+    totalled = dealt.mapInArrow(total, T.StructType([*fields, *added]))
+    written = write_to(totalled, path, compression=compression)
     parts = written.groupBy("part").agg(F.sum(value).alias("_sum"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select(
-        "part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset")
+        "part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).cast("long").alias("_offset")
     )
+    return _placed(written, write_to(offsets, f"{folder}/starts") if folder else offsets)
+
+
+def ordered_files(spark: SparkSession, folder: str) -> DataFrame:
+    """What ``in_order`` has written to a folder, from its files alone."""
+    return _placed(*[spark.read.parquet(f"{folder}/{name}") for name in ("files", "starts")])
+
+
+def _placed(written: DataFrame, offsets: DataFrame) -> DataFrame:
     # One row per range, so its size is bounded by the number of partitions.
     placed = written.join(F.broadcast(offsets), ["part"])
+    fields = [c for c in written.columns if c not in ("part", "place", "within")]
     return placed.withColumn("before", F.col("_offset") + F.col("within")).select(
-        *[f"`{f.name}`" for f in fields], "part", "place", "before"
+        *[f"`{name}`" for name in fields], "part", "place", "before"
     )
 
 

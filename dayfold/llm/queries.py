@@ -30,8 +30,8 @@ def _read(spark, sf_dir, name):
 
 def op1_token_output(spark, sf_dir):
     """Write the corpus as token files and read their digests back."""
-    written, ids = token_output.write_tokens(_read(spark, sf_dir, "documents"))
-    return token_output.token_digests(written, ids)
+    written, ranks = token_output.write_tokens(_read(spark, sf_dir, "documents"))
+    return token_output.token_digests(written, ranks)
 
 
 def op2_lm_score(spark, sf_dir):

@@ -4,11 +4,15 @@ Ids are numbered anew by their frequency over the corpus, so that the most frequ
 one byte. A sequence is two byte strings: control bytes, each with the lengths of four values in
 two bits, and the data bytes of the values one after another. Reading is a table lookup per
 control byte, a masked copy, and a lookup of the ids by rank.
+
+A corpus is a folder with ``files`` (the sequences in order), ``starts`` (the ids before each part
+of them) and ``ranks`` (the id of each rank); nothing else is needed to read it.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
@@ -20,12 +24,20 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import public_tokenizers
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from dayfold.llm.common import batch_of, exact_columns, in_order, ragged, sized_slices, slices
-from dayfold.sinks.shared import write_aside
+from dayfold.llm.common import (
+    batch_of,
+    exact_columns,
+    in_order,
+    ordered_files,
+    ragged,
+    sized_slices,
+    slices,
+)
+from dayfold.sinks.shared import shared_path, write_aside, write_to
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
@@ -121,12 +133,16 @@ class WordEncoder:
     Texts are cut at ASCII white space. The normaliser and the pattern of the tokenizer treat
     what lies between by itself, so its ids are those of the chunks one after another. A new
     chunk is normalised and cut by the tokenizer's pattern, and its model encodes the pieces.
-    The strings of special tokens are ordinary text.
+    A chunk with the string of an added token in it goes through the tokenizer whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(not t or t.split() != [t] for t in added):
+            raise ValueError("added tokens must not hold white space")
+        # Without any, a pattern that is found nowhere.
+        self.added = re.compile("|".join(map(re.escape, added)).encode() or b"(?!)")
         self.size = self.tokenizer.get_vocab_size()
         self.chunks: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
@@ -165,7 +181,8 @@ class WordEncoder:
         return found
 
     def _learn(self, chunks: Sequence[bytes]) -> dict[bytes, bytes]:
-        apart = {c: c.decode("utf-8", "replace") for c in chunks if not _common(c)}
+        whole = self.added.search
+        apart = {c: c.decode("utf-8", "replace") for c in chunks if whole(c) or not _common(c)}
         plain = [c for c in chunks if c not in apart]
         ids = {c: self.encode_all(text) for c, text in apart.items()}
         for chunk, text in zip(plain, self._normalised(plain)):
@@ -259,14 +276,20 @@ def tokenised(docs: DataFrame, path: str = TOKENIZER, end_id: int = END_ID) -> D
     return exact_columns(docs, "doc_id", "text").mapInArrow(encode, "doc_id bigint, ids binary")
 
 
+def open_tokens(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The sequences and ranks that ``write_tokens`` has written to a folder."""
+    return ordered_files(spark, folder), spark.read.parquet(f"{folder}/ranks")
+
+
 def write_tokens(
-    docs: DataFrame, path: str = TOKENIZER, end_id: int = END_ID
-) -> tuple[DataFrame, np.ndarray]:
-    """Write the ids of all documents in ascending doc_id order; the written table and its ids.
+    docs: DataFrame, path: str = TOKENIZER, end_id: int = END_ID, folder: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Write the ids of all documents in ascending doc_id order; the written sequences and ranks.
 
-    The table has (doc_id, n_tokens, ids_crc, control, data, part, place, before): ``before`` is
-    the number of ids of all documents before, (``part``, ``place``) the order in the files. The
-    array holds the id of each rank.
+    They go to a new ``folder``, by default one in the shared folder, and ``open_tokens`` gives them
+    again. The sequences are (doc_id, n_tokens, ids_crc, control, data, part, place, before):
+    ``before`` is the number of ids of all documents before, (``part``, ``place``) the order in the
+    files. The ranks are (rank, id), for each id that occurs.
 
     ``docs`` has doc_id, text and any other columns. A null or empty text has only the end id;
     rows without doc_id come first; rows with one doc_id follow one another by length and
@@ -278,6 +301,7 @@ def write_tokens(
     every task. Rows are dealt out by ranges of doc_id in packed form.
     """
     spark = docs.sparkSession
+    folder = folder or shared_path(spark, "token-corpus")
     size = max(loaded(path).size, end_id + 1)
     kind = "<u2" if size <= 1 << 16 else "<u4"
     tokens = write_aside(tokenised(docs, path, end_id), "token-ids", compression="zstd")
@@ -299,6 +323,9 @@ def write_tokens(
     ids = np.argsort(-counts, kind="stable").astype("<u4")
     ranks = np.empty(size, "<u4")
     ranks[ids] = np.arange(size, dtype="<u4")
+    used = int(np.count_nonzero(counts))
+    table = pa.table({"rank": pa.array(range(used), pa.int64()), "id": pa.array(ids[:used], pa.int64())})
+    write_to(spark.createDataFrame(table).coalesce(1), f"{folder}/ranks")
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -318,7 +345,15 @@ def write_tokens(
         encode, "doc_id bigint, n_tokens bigint, ids_crc bigint, control binary, data binary"
     )
     order = ["doc_id", "n_tokens", "ids_crc"]
-    return in_order(rows, order, "n_tokens", "token-files", compression="none"), ids
+    in_order(rows, order, "n_tokens", "token-files", compression="none", folder=folder)
+    return open_tokens(spark, folder)
+
+
+def _ids_by_rank(ranks: DataFrame) -> np.ndarray:
+    found = ranks.select("rank", "id").toPandas()  # at most one row per vocabulary entry
+    ids = np.zeros(len(found), "<u4")
+    ids[found["rank"]] = found["id"]
+    return ids
 
 
 def _decoded(batch: pa.RecordBatch, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -332,8 +367,9 @@ def _decoded(batch: pa.RecordBatch, ids: np.ndarray) -> tuple[np.ndarray, np.nda
     return ids[ranks], np.concatenate([[0], np.cumsum(sizes)])
 
 
-def read_tokens(written: DataFrame, ids: np.ndarray) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of a written table; ids as 32-bit integers."""
+def read_tokens(written: DataFrame, ranks: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens, ids) of written sequences; ids as 32-bit integers."""
+    ids = _ids_by_rank(ranks)
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -351,8 +387,9 @@ def read_tokens(written: DataFrame, ids: np.ndarray) -> DataFrame:
     )
 
 
-def token_digests(written: DataFrame, ids: np.ndarray) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) as read back from a written table."""
+def token_digests(written: DataFrame, ranks: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) as read back from written sequences."""
+    ids = _ids_by_rank(ranks)
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

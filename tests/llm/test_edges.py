@@ -6,6 +6,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from dayfold.llm import (
     byte_bpe,
@@ -61,6 +62,28 @@ def test_token_output_edges(spark, awkward, nothing):
     assert token_output.token_digests(*token_output.write_tokens(nothing)).count() == 0
 
 
+PIECES = ["<|startoftext|>", "<|endoftext|>", "<|ENDOFTEXT|>", "<|end", "|>", " ", "a", "'s", "\u0301"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=12).map("".join))
+def test_added_tokens_equal_a_fresh_library(text):
+    fresh = Tokenizer.from_file(token_output.TOKENIZER).encode(text, add_special_tokens=False).ids
+    found, _ = token_output.loaded(token_output.TOKENIZER).encode(pa.array([text], pa.string()))
+    assert found.tolist() == fresh
+
+
+def test_token_files_alone(spark, awkward, tmp_path):
+    docs = docs_of(spark, [(i, f"hello <|endoftext|> number {i}", "a") for i in range(50)])
+    for name, frame in {"full": docs, "awkward": awkward, "empty": docs.limit(0)}.items():
+        folder = str(tmp_path / name)
+        kept = rows_of(token_output.read_tokens(*token_output.write_tokens(frame, folder=folder)))
+        assert rows_of(token_output.read_tokens(*token_output.open_tokens(spark, folder))) == kept
+        if name == "full":
+            assert [list(np.frombuffer(r[3], "<u4")[:2]) for r in kept] == [[3306, 49407]] * 50
+            assert sorted(r[1] for r in kept) == [sum(r[2] for r in kept if r[0] < i) for i in range(50)]
+
+
 @given(st.lists(st.lists(st.integers(0, 2**32 - 1), max_size=9), max_size=6))
 def test_packing(sequences):
     sizes = np.array([len(s) for s in sequences], np.int64)
