@@ -73,6 +73,26 @@ def row_hash_text(spark, sf_dir):
     return documents.select("doc_id", D.row_hash(documents, ["text"]).alias("hash"))
 
 
+def row_hash_typed(spark, sf_dir):
+    """Hash of a double, a decimal, a day and a timestamp."""
+    price = F.col("l_extendedprice")
+    items = read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", price.alias("price"), (-price).cast("decimal(20,4)").alias("owed"),
+        F.col("l_shipdate").cast("date").alias("day"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("time"),
+    )
+    columns = ["price", "owed", "day", "time"]
+    return items.select("l_orderkey", "l_linenumber", D.row_hash(items, columns).alias("hash"))
+
+
+def row_hash_nested(spark, sf_dir):
+    """Hash of the list of a text's words, and of a struct."""
+    docs = read(spark, sf_dir, "documents").select(
+        "doc_id", F.split("text", " ").alias("words"), F.struct("lang", "n_chars").alias("about")
+    )
+    return docs.select("doc_id", D.row_hash(docs, ["words", "about"]).alias("hash"))
+
+
 def _words(spark, sf_dir):
     """Orders with a number that does not fit 32 bits, and its four bytes."""
     number = F.col("o_orderkey") % 1000003 * F.lit(4294967) + F.col("o_orderkey") % 977
@@ -145,6 +165,8 @@ QUERIES = {
     "safe_abs": safe_abs,
     "row_hash": row_hash,
     "row_hash_text": row_hash_text,
+    "row_hash_typed": row_hash_typed,
+    "row_hash_nested": row_hash_nested,
     "encode_u32": encode_u32,
     "decode_u32": decode_u32,
     "decode_i32": decode_i32,
@@ -174,6 +196,18 @@ def _signed_sql(value):
     return f"(CASE WHEN {value} > 2147483647 THEN {value} - 4294967296 ELSE {value} END)::INTEGER"
 
 
+def _long_hash_sql(value):
+    """Of a number or a sum of bits that is not negative."""
+    return f"(xor({value}, {value} >> 32) % 4294967296)"
+
+
+def _fold_sql(start, items):
+    return (
+        f"list_reduce(list_prepend({start}::BIGINT, {items}), "
+        "lambda h, c: (h * 31 + c) % 4294967296)"
+    )
+
+
 NUMBER_SQL = "((o_orderkey % 1000003 * 4294967 + o_orderkey % 977) % 4294967296)"
 SPACE_SQL = "[ \\t\\n\\x0B\\f\\r]*"
 
@@ -206,6 +240,26 @@ ORACLES = {
         SELECT doc_id, {_signed_sql("hash")} AS hash FROM (
           SELECT doc_id, (31 + {_string_hash_sql("text")}) % 4294967296 AS hash
           FROM documents)""",
+    "row_hash_typed": f"""
+        SELECT l_orderkey, l_linenumber, {_signed_sql("hash")} AS hash FROM (
+          SELECT l_orderkey, l_linenumber, {_fold_sql(1, f"""[
+            {_long_hash_sql("bits")},
+            ((4294967296 - (cents // 4294967296 * 31 + cents % 4294967296) % 4294967296) * 31
+              + 4) % 4294967296,
+            {_long_hash_sql("millis")}, {_long_hash_sql("millis")}]""")} AS hash
+          FROM (
+            SELECT l_orderkey, l_linenumber,
+              (power + 1023)::BIGINT * 4503599627370496
+                + ((l_extendedprice / pow(2, power) - 1) * 4503599627370496)::BIGINT AS bits,
+              (l_extendedprice::DECIMAL(20, 4) * 10000)::BIGINT AS cents,
+              epoch_ms(l_shipdate::DATE::TIMESTAMP) AS millis
+            FROM (SELECT *, floor(log2(l_extendedprice)) AS power FROM lineitem)))""",
+    "row_hash_nested": f"""
+        SELECT doc_id, {_signed_sql("hash")} AS hash FROM (
+          SELECT doc_id, {_fold_sql(1, f"""[
+            {_fold_sql(1, f"list_transform(string_split(text, ' '), lambda w: {_string_hash_sql('w')})")},
+            {_fold_sql(1, f"[{_string_hash_sql('lang')}, {_long_hash_sql('n_chars::BIGINT')}]")}
+          ]""")} AS hash FROM documents)""",
     "encode_u32": f"SELECT o_orderkey, printf('%08X', {NUMBER_SQL}) AS word FROM orders",
     "decode_u32": f"SELECT o_orderkey, {NUMBER_SQL} AS number FROM orders",
     "decode_i32": f"""

@@ -1,15 +1,21 @@
 """Column functions: edge cases, and random input against plain Python."""
 
+import math
 import random
 import re
-from datetime import date
+import struct
+from datetime import date, datetime, timedelta
+from decimal import Decimal, localcontext
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from dayfold import functions as D
 from dayfold.functions.dates import compact_day, day_bounds, require_day
+from dayfold.functions.hashing import hash_values
 
 
 def column(spark, values, kind="string"):
@@ -183,10 +189,84 @@ def test_row_hash_random(spark):
 
 
 def test_row_hash_int_and_unsupported(spark):
-    frame = spark.createDataFrame([(-1, 2, 1.0)], "i int, s short, d double")
+    frame = spark.createDataFrame([(-1, 2)], "i int, s short")
     assert frame.select(D.row_hash(frame, ["i", "s"])).first()[0] == _signed((31 - 1) * 31 + 2)
-    with pytest.raises(TypeError, match="double"):
-        D.row_hash(frame, ["d"])
+    for kind in ("interval day to second", "array<struct<a: interval day to second>>"):
+        with pytest.raises(TypeError, match="interval"):
+            D.row_hash(frame.withColumn("d", F.lit(None).cast(kind)), ["d"])
+
+
+def hash_of(spark, kind, values):
+    """The hash of each value of a type by itself, 0 for null."""
+    rows = [(i, v) for i, v in enumerate(values)]
+    frame = spark.createDataFrame(rows, f"i int, v {kind}").coalesce(1)
+    found = frame.select("i", "v", D.row_hash(frame, ["v"]).alias("h")).orderBy("i").collect()
+    return [_signed(r["h"] - 31) if r["v"] is not None else 0 for r in found]
+
+
+def test_number_hashes_equal_the_jvm(spark):
+    jvm_hash, chooser = spark.sparkContext._jvm.java.util.Objects.hashCode, random.Random(8)
+    doubles = [0.0, -0.0, 1.5, -2.25, math.inf, -math.inf, math.nan, 5e-324, 1.7e308, 1e-310]
+    doubles += [chooser.gauss(0, 1) * 10 ** chooser.randrange(-30, 30) for _ in range(40)]
+    assert hash_of(spark, "double", doubles) == list(map(jvm_hash, doubles))
+    floats = [float(np.float32(d)) for d in doubles if abs(d) < 1e30 or d != d]
+    bits = [struct.unpack("<i", struct.pack("<f", d))[0] if d == d else 0x7FC00000 for d in floats]
+    assert hash_of(spark, "float", floats) == bits
+    digits = [chooser.randrange(1, 38) for _ in range(60)]
+    numbers = [chooser.choice([-1, 1]) * chooser.randrange(10**d) for d in digits]
+    numbers += [0, 1, -1, 2**32, -(2**32), 2**64, 2**64 - 1, -(2**64), 10**38 - 1, 1 - 10**38]
+    with localcontext(prec=40):
+        decimals = [Decimal(n).scaleb(-6) for n in numbers]
+    assert hash_of(spark, "decimal(38, 6)", decimals) == list(map(jvm_hash, decimals))
+
+
+def test_time_and_nested_hashes(spark):
+    util = spark.sparkContext._jvm.java.util
+
+    def millis_hash(millis):
+        return util.Date(millis).hashCode()
+
+    days = [date(1970, 1, 1), date(1969, 12, 31), None, date(2024, 2, 29), date(1, 1, 1)]
+    epoch = date(1970, 1, 1)
+    assert hash_of(spark, "date", days) == [
+        0 if d is None else millis_hash((d - epoch).days * 86_400_000) for d in days
+    ]
+    moments = [datetime(1969, 12, 31, 23, 59, 59, 999_999), datetime(2024, 5, 6, 7, 8, 9, 123_456)]
+    expected = [millis_hash((m - datetime(1970, 1, 1)) // timedelta(milliseconds=1)) for m in moments]
+    assert hash_of(spark, "timestamp_ntz", moments) == expected
+    assert hash_of(spark, "binary", [b"", b"\xff\x01", None]) == [1, (31 - 1) * 31 + 1, 0]
+    lists = [["a", None, "hello"], [], None, ["", "é😀"], *[["word"] * n for n in range(700)]]
+
+    def list_hash(items):
+        made = util.ArrayList()
+        for item in items:
+            made.add(item)
+        return made.hashCode()
+
+    expected = [0 if v is None else list_hash(v) for v in lists]
+    assert hash_of(spark, "array<string>", lists) == expected
+    nested = [[[1, 2], None, []], [[3]], None, [None]]
+    assert hash_of(spark, "array<array<int>>", nested) == [
+        _signed(((31 + 994) * 31 + 0) * 31 + 1), 31 + 34, 0, 31,
+    ]
+    rows = [(1, None, "hello"), (None, None, None), None]
+    assert hash_of(spark, "struct<a: int, b: double, c: string>", rows) == [
+        _signed((31 + 1) * 31 + 99162322), 1, 0,
+    ]
+    maps = [{"a": 1, "hello": 7}, {"hello": 7, "a": 1}, {}, None, {"b": None}]
+    both = _signed((97 ^ 1) + (99162322 ^ 7))
+    assert hash_of(spark, "map<string, int>", maps) == [both, both, 0, 0, 98]
+    assert hash_of(spark, "array<double>", []) == []
+
+
+def test_hash_of_parts_of_arrays():
+    whole = pa.array([{"k": [Decimal("-1.50"), None], "m": [("x", True)]}, None, {"k": [], "m": []}] * 3,
+                     pa.struct([("k", pa.list_(pa.decimal128(9, 2))),
+                                ("m", pa.map_(pa.string(), pa.bool_()))]))
+    expected = hash_values(whole).tolist()
+    assert expected[:3] == expected[3:6] and expected[1] == 0
+    for start in range(9):
+        assert hash_values(whole.slice(start, 3)).tolist() == expected[start : start + 3]
 
 
 def binary(spark, *values):
