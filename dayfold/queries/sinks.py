@@ -85,6 +85,19 @@ def append_docs(spark, sf_dir):
     return spark.read.schema(customers.schema).parquet(path)
 
 
+def bulk_docs(spark, sf_dir):
+    """Bulk lines: documents by id, some of them replaced, beside documents without id."""
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang", "text")
+    customers = read(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("text")
+    )
+    path = S.shared_path(spark, "bulk_docs")
+    S.append_docs(docs, path, "id", fmt="bulk")
+    S.append_docs(customers, fmt="bulk", config={"es.resource": path, "es.mapping.id": "id"})
+    S.append_docs(docs.select("lang", "text"), path, fmt="bulk")
+    return S.read_bulk(spark, path, docs.schema)
+
+
 def upsert_docs(spark, sf_dir):
     customers = read(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name")
@@ -174,6 +187,7 @@ QUERIES = {
     "day_table_rewrite": day_table_rewrite,
     "swap_day": swapped_day,
     "append_docs": append_docs,
+    "bulk_docs": bulk_docs,
     "upsert_docs": upsert_docs,
     "compact_docs": compact_docs,
     "docs_as_of": docs_as_of,
@@ -215,6 +229,11 @@ ORACLES = {
     "append_docs": """
         SELECT c_custkey AS id, c_name AS name FROM customer
         UNION ALL SELECT s_suppkey, s_name FROM supplier""",
+    "bulk_docs": """
+        SELECT doc_id AS id, lang, text FROM documents
+        WHERE doc_id NOT IN (SELECT c_custkey FROM customer)
+        UNION ALL SELECT c_custkey, NULL, c_name FROM customer
+        UNION ALL SELECT NULL, lang, text FROM documents""",
     "upsert_docs": """
         SELECT c_custkey AS id, c_name AS name, NULL::BIGINT AS event_id,
           NULL::VARCHAR AS event_type FROM customer

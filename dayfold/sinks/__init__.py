@@ -1,5 +1,6 @@
 """Writing results: tables, day partitions, keyed documents, text."""
 
+from dayfold.sinks.bulk import read_bulk, write_bulk
 from dayfold.sinks.documents import (
     METRICS_RESOURCE,
     append_docs,
@@ -31,11 +32,13 @@ __all__ = [
     "drop_old_days",
     "latest_per_id",
     "metrics_upsert",
+    "read_bulk",
     "read_text",
     "shared_path",
     "swap_day",
     "upsert_docs",
     "write_aside",
+    "write_bulk",
     "write_day",
     "write_day_table",
     "write_text",

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dayfold.sinks.bulk import write_bulk
 from dayfold.sinks.shared import move_to_new, remove_path
 from dayfold.sinks.tables import add_columns, drop_partitions, partition_columns, table_detail
 
@@ -23,6 +24,9 @@ CONNECTOR = "org.elasticsearch.spark.sql"
 RESOURCE_SETTING = "es.resource"
 ID_SETTING = "es.mapping.id"
 
+# Files for the bulk interface instead of a connection to the index.
+BULK = "bulk"
+
 METRICS_TABLE = "metrics"
 BATCH = "upsert_batch"
 
@@ -37,17 +41,25 @@ def append_docs(
     """Append documents through any data source, by default the search-index connector.
 
     A single document can be given as a mapping. The target is ``resource``, or comes from
-    ``config``. With ``id_field`` the connector replaces the document of the same id; a format
-    that cannot is an error: use ``upsert_docs``.
+    ``config``, and so may the id field. The connector replaces the document of the same id; a
+    format that cannot is an error: use ``upsert_docs``. The format ``bulk`` writes the documents as
+    lines for the bulk interface to the folder ``resource`` (see ``write_bulk``); of several with
+    one id the last by their other columns is written.
     """
     options = dict(config or {})
     target = resource or options.get(RESOURCE_SETTING)
     if target is None:
         raise ValueError(f"give a resource, or {RESOURCE_SETTING} in the config")
-    if id_field is not None and fmt != CONNECTOR:
+    if id_field is not None and fmt not in (CONNECTOR, BULK):
         raise ValueError(f"{fmt} cannot replace documents by id; use upsert_docs")
     if isinstance(docs, Mapping):
         docs = SparkSession.active().createDataFrame([dict(docs)])
+    if fmt == BULK:
+        id_field = id_field or options.get(ID_SETTING)
+        if id_field is not None:
+            docs = latest_per_id(_required(docs, id_field), id_field)
+        write_bulk(docs, target, id_field)
+        return
     if id_field is not None:
         options[ID_SETTING] = id_field
     docs.write.mode("append").format(fmt).options(**options).save(target)

@@ -1,8 +1,11 @@
 """Sinks: write, read back, write again."""
 
+import json
 import os
 import random
 import uuid
+from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +13,7 @@ from pyspark.sql import functions as F
 from dayfold.sinks import (
     append_docs,
     append_table,
+    bulk,
     compact_docs,
     current_docs,
     documents,
@@ -17,10 +21,12 @@ from dayfold.sinks import (
     drop_old_days,
     latest_per_id,
     metrics_upsert,
+    read_bulk,
     read_text,
     shared_path,
     swap_day,
     upsert_docs,
+    write_bulk,
     write_day,
     write_day_table,
     write_text,
@@ -372,3 +378,64 @@ def test_escaped_text_comes_back(spark, tmp_path, separator):
     for wrong in ("", "n", "\\", "a\n"):
         with pytest.raises(ValueError, match="cannot separate"):
             write_text(frame, path, wrong, escaped=True)
+
+
+def test_bulk_documents(spark, tmp_path):
+    path = str(tmp_path / "bulk")
+    kinds = "id long, `a b` string, at timestamp, x double, d decimal(9,2), raw binary, l array<int>"
+    at = datetime(2024, 5, 6, 7, 8, 9, 123_456)
+    tricky = 'line\n{ "index": {"_id":"1"} }\n{"id":9} \\ "quoted" \r\u2028 end'
+    docs = spark.createDataFrame(
+        [(1, tricky, at, 0.1, Decimal("1.50"), b"\xff\n", [1, None]), (2, "", None, None, None, None, []),
+         (3, None, None, float("nan"), None, None, None)], kinds)
+    append_docs(docs, path, "id", fmt="bulk")
+    assert sorted(map(repr, read_bulk(spark, path, docs.schema).collect())) == sorted(
+        map(repr, docs.collect())
+    )
+    again = spark.createDataFrame([(2, "new"), (4, "one"), (4, "two")], "id long, `a b` string")
+    append_docs(again, path, "id", fmt="bulk")
+    append_docs({"a b": "no id"}, path, fmt="bulk")
+    append_docs({"a b": "no id"}, path, fmt="bulk")
+    found = read_bulk(spark, path, docs.schema).select("id", "a b").collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(
+        [(1, tricky), (2, "new"), (3, None), (4, "two"), (None, "no id"), (None, "no id")], key=repr
+    )
+    lines = spark.read.text(f"{path}/bulk_batch=1").where("value <> ''").collect()
+    assert len(lines) == 4 and all(isinstance(json.loads(r[0]), dict) for r in lines)
+    append_docs(docs.limit(0), path, "id", fmt="bulk")
+    assert read_bulk(spark, path, docs.schema).count() == 6
+
+
+def test_bulk_write_that_dies_leaves_nothing(spark, tmp_path):
+    path = str(tmp_path / "bulk")
+    docs = spark.range(100).repartition(4)
+    write_bulk(docs, path, "id")
+    bad = docs.withColumn("x", F.when(F.col("id") == 77, F.raise_error(F.lit("dies"))).cast("int"))
+    with pytest.raises(Exception, match="dies"):
+        write_bulk(bad, path, "id")
+    assert sorted(os.listdir(path)) == ["bulk_batch=0"]
+    with pytest.raises(Exception, match="no id"):
+        append_docs(spark.createDataFrame([(None,)], "id long"), path, "id", fmt="bulk")
+    assert sorted(os.listdir(path)) == ["bulk_batch=0"]
+    assert read_bulk(spark, path, docs.schema).count() == 100
+
+
+def test_bulk_writers_get_numbers_of_their_own(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "bulk")
+    assert write_bulk(spark.range(3), path) == 0
+    monkeypatch.setattr(bulk, "_numbers", lambda *_: [])  # as if the other had not been seen
+    assert write_bulk(spark.range(4), path) == 1
+    assert read_bulk(spark, path, spark.range(1).schema).count() == 7
+
+
+def test_bulk_files_are_read_in_parts(spark, tmp_path):
+    path = str(tmp_path / "bulk")
+    docs = spark.range(3000).withColumn("t", F.repeat(F.lit("é\n{ "), F.col("id").cast("int") % 50))
+    write_bulk(docs.coalesce(1), path, "id")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        found = read_bulk(spark, path, docs.schema)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, docs.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
