@@ -2,8 +2,9 @@
 
 Two first-order Markov models over the characters of keys are learned: one of random strings
 (what the patterns find in the corpus, and labelled samples), one of ordinary identifiers and
-words (the rest of the corpus, and labelled samples). A long run of such characters is a
-secret when its log-likelihood ratio under the two is high enough, in all and per character.
+words (the rest of the corpus, and labelled samples). A run of twelve such characters or more, or what
+the patterns leave of one, is a secret when its log-likelihood ratio under the two is high enough,
+in all and per character.
 """
 
 from __future__ import annotations
@@ -36,10 +37,8 @@ KEYWORDS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 
 # The characters of the models; any other ends a run.
 SYMBOLS = string.ascii_letters + string.digits + "+/_=-"
-RUN = re.compile(rb"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
-RUN_LENGTH = 20
-# Words shorter than any match of ACCESS, HEX or RUN.
-LONG_WORD = 16
+RUN = re.compile(rb"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{12,}")
+RUN_LENGTH = 12
 # The ratio in nats that a secret needs in all and per character.
 MIN_TOTAL = 12.0
 MIN_MEAN = 0.6
@@ -89,7 +88,7 @@ def labelled_samples(number: int = 2000, seed: int = 7) -> list[tuple[str, bool]
     styles = ["_".join, "-".join, "/".join, lambda words: "".join(map(str.capitalize, words))]
     samples = []
     for i in range(number):
-        size = choose.randint(20, 44)
+        size = choose.randint(RUN_LENGTH, 44)
         samples.append(("".join(choose.choices(alphabets[i % 4], k=size)), True))
         samples.append((styles[i % 4](choose.choices(parts, k=choose.randint(3, 6))), False))
     return samples
@@ -124,21 +123,32 @@ class SecretModel:
         return float(self.ratios[before, codes].sum())
 
     def spans(self, text: bytes) -> list[Span]:
-        """All spans: those of the patterns, and runs apart from them that look random."""
+        """All spans: those of the patterns, and what looks random in the runs outside them."""
         found = base_spans(text)
         if not any(len(word) >= RUN_LENGTH for word in text.split()):
             return found
         taken = [(s.start, s.end) for s in found]
         for match in RUN.finditer(text):
-            start, end = match.span()
-            if any(a < end and start < b for a, b in taken):
-                continue
-            ratio = self.ratio(match[0])
-            if ratio >= self.min_total and ratio >= self.min_mean * (end - start):
-                found.append(Span("markov", start, end))
+            for start, end in outside(*match.span(), taken):
+                if end - start < RUN_LENGTH:
+                    continue
+                ratio = self.ratio(text[start:end])
+                if ratio >= self.min_total and ratio >= self.min_mean * (end - start):
+                    found.append(Span("markov", start, end))
         return sorted(found, key=lambda s: (s.start, KINDS.index(s.kind)))
 
 
+def outside(start: int, end: int, taken: Sequence[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What is left of a stretch without the ones in ``taken``, which are in order of their start."""
+    for a, b in taken:
+        if b > start and a < end:
+            if a > start:
+                yield start, a
+            start = max(start, b)
+    if start < end:
+        yield start, end
+
+
 def train(docs: DataFrame, samples: Sequence[tuple[str, bool]] | None = None) -> SecretModel:
     """The model from all documents and from labelled ``samples`` (text, is it a secret).
 

@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names."""
 
+import random
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -260,6 +262,25 @@ def test_secret_edges(spark, awkward, nothing):
     assert row.spans == "assign:2:24" and row.n_assign == 1
 
 
+def test_short_secrets_and_parts_of_runs(spark, nothing):
+    # Without a corpus the model knows ordinary text from few samples, and short keys are unsure.
+    corpus = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    letters = secrets.string.ascii_letters + secrets.string.digits
+    for docs, least in ((corpus, {12: 0.95, 16: 0.98, 24: 0.99}), (nothing, {16: 0.85, 24: 0.95})):
+        model, choose = secrets.train(docs), random.Random(11)
+        for size, share in least.items():
+            keys = ["".join(choose.choices(letters, k=size)).encode() for _ in range(300)]
+            whole = [secrets.Span("markov", 2, 2 + size)]
+            assert sum(model.spans(b"a " + k + b".") == whole for k in keys) >= share * 300
+    left, right = b"kJ8dQz4Xw1Rt7LmP", b"Zt5GhW2vNq9XyUc4"
+    spans = model.spans(left + b"-0123456789abcdef0-" + right)
+    assert [(s.kind, s.start) for s in spans] == [("markov", 0), ("hex", 17), ("markov", 34)]
+    parts = secrets.outside(0, 40, [(3, 5), (4, 9), (20, 30), (25, 28), (39, 50), (60, 70)])
+    assert list(parts) == [(0, 3), (9, 20), (30, 39)]
+    words = b"get_user_name configuration responsibility internationally /usr/local/share RequestHandler"
+    assert model.spans(words) == []
+
+
 def test_lm_edges(awkward, nothing):
     rows = rows_of(lm_score.score_documents(awkward).select("doc_id", "n_tokens", "train_tokens"))
     assert len(rows) == 10 and (1, 1, rows[0][2]) in rows and (6, 60_001, rows[0][2]) in rows
@@ -380,6 +401,31 @@ def test_embedding_large_group(spark):
     assert found.n_links.tolist() == ((units @ units.T >= 0.9).sum(1) - 1).tolist()
 
 
+def test_embedding_stored_estimates(spark):
+    rng = np.random.default_rng(3)
+    angles = np.arange(240) * 0.08  # an arc: near neighbours are linked, the rest is not
+    plane, _ = np.linalg.qr(rng.standard_normal((64, 2)))
+    data = np.stack([np.cos(angles / 8), np.sin(angles / 8)], 1) @ plane.T
+    data += 0.3 * np.sin(angles[:, None] * rng.standard_normal(64)) / 8
+    nodes = spark.createDataFrame(
+        [(i.to_bytes(16), row.tobytes()) for i, row in enumerate(data)], "node binary, vector binary"
+    )
+    width, number = embeddings.bands(240)
+    stored = embeddings.banded(nodes, width, number).orderBy("node").toArrow()
+    rows = np.arange(240)
+    left_open = embeddings.possible(stored, rows, rows, 0.9)
+    units = data / np.linalg.norm(data, axis=1)[:, None]
+    cosines = units @ units.T
+    assert left_open[cosines >= 0.9].all() and left_open.mean() < 0.75
+    assert not left_open[cosines < 0.3].any()
+    frame = spark.createDataFrame(
+        [(i, row.tolist()) for i, row in enumerate(data)], "vec_id bigint, embedding array<double>"
+    )
+    found = embeddings.near_duplicates(frame).toPandas().sort_values("vec_id")
+    assert found.n_links.tolist() == ((cosines >= 0.9).sum(1) - 1).tolist()
+    assert set(found.component_id) == {0}
+
+
 def test_ordered_offsets(spark):
     frame = spark.range(1000).selectExpr("id % 7 AS k", "id", "id % 3 AS n")
     rows = common.in_order(frame, ["k", "id"], "n", "test").orderBy("k", "id").collect()
