@@ -6,6 +6,13 @@ from dayfold.operators.aggregate import (
     find_duplicates,
     group_metrics,
 )
+from dayfold.operators.bitmaps import (
+    count_bitmaps,
+    merge_bitmaps,
+    number_terms,
+    rolling_distinct,
+    term_bitmaps,
+)
 from dayfold.operators.clean import (
     add_ratios,
     drop_incomplete,
@@ -34,17 +41,22 @@ __all__ = [
     "attach_dimension",
     "category_sums",
     "combine_sources",
+    "count_bitmaps",
     "cross_join_count",
     "drop_incomplete",
     "fill_zero",
     "find_duplicates",
     "group_collect",
     "group_metrics",
+    "merge_bitmaps",
     "metric_names",
+    "number_terms",
     "outer_combine",
     "preview_rows",
     "rename_column",
+    "rolling_distinct",
     "select_ordered",
     "tag_date",
+    "term_bitmaps",
     "theta_join",
 ]

@@ -4,11 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dayfold.operators import category_sums, find_duplicates, group_collect, group_metrics
+from dayfold.operators import (
+    category_sums,
+    count_bitmaps,
+    find_duplicates,
+    group_collect,
+    group_metrics,
+    number_terms,
+    rolling_distinct,
+    term_bitmaps,
+)
 from dayfold.queries.tables import EVENT_TYPES, read
 
 # Parts small enough that the lists of the given conversations need several.
 SMALL_PART = 3
+WINDOW_DAYS = 7
 
 
 def group_count(spark, sf_dir):
@@ -76,6 +86,25 @@ def duplicates(spark, sf_dir):
     return find_duplicates(read(spark, sf_dir, "documents"), "text")
 
 
+def _session_bitmaps(spark, sf_dir):
+    """The sessions of each user and day, as far as events of them have a value above 1."""
+    session = F.when(F.col("value") > 1, F.col("props")).alias("session")
+    events = read(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day"), session)
+    # Later days come with terms of their own, which are numbered after the known ones.
+    first = number_terms(events.where(F.dayofmonth("day") <= 10), "session", "user_id")
+    numbers = number_terms(events, "session", "user_id", first)
+    return term_bitmaps(events, ["user_id", "day"], "session", numbers)
+
+
+def distinct_merged(spark, sf_dir):
+    return count_bitmaps(_session_bitmaps(spark, sf_dir), "user_id", "session_num")
+
+
+def distinct_rolling(spark, sf_dir):
+    bitmaps = _session_bitmaps(spark, sf_dir)
+    return rolling_distinct(bitmaps, "user_id", "day", WINDOW_DAYS, "session_num")
+
+
 QUERIES = {
     "group_count": group_count,
     "group_count_col": group_count_col,
@@ -86,6 +115,8 @@ QUERIES = {
     "group_collect": collected,
     "group_collect_parts": collected_in_parts,
     "find_duplicates": duplicates,
+    "distinct_merged": distinct_merged,
+    "distinct_rolling": distinct_rolling,
 }
 
 
@@ -125,5 +156,15 @@ ORACLES = {
     + " FROM events GROUP BY user_id",
     "group_collect": _collect_sql(10_000),
     "group_collect_parts": _collect_sql(SMALL_PART),
+    "distinct_merged": """
+        SELECT user_id, count(DISTINCT CASE WHEN value > 1 THEN props END) AS session_num
+        FROM events GROUP BY user_id""",
+    "distinct_rolling": f"""
+        SELECT d.user_id, d.day,
+          count(DISTINCT CASE WHEN e.value > 1 THEN e.props END) AS session_num
+        FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events) d
+        JOIN events e ON e.user_id = d.user_id
+          AND CAST(e.ts AS DATE) BETWEEN d.day - {WINDOW_DAYS - 1} AND d.day
+        GROUP BY d.user_id, d.day""",
     "find_duplicates": "SELECT text FROM documents GROUP BY text HAVING count(*) > 1",
 }
