@@ -85,3 +85,21 @@ def test_a_term_without_number_is_an_error(spark):
     numbers = number_terms(frame.where("term < 't2'"), "term", "eid")
     with pytest.raises(PySparkException, match="no number"):
         term_bitmaps(frame, "eid", "term", numbers).collect()
+
+
+def test_bitmaps_are_as_long_as_what_they_hold(spark):
+    """Keys of two terms in far places take two words each, and no bitmap is a row of an aggregation."""
+    frame = spark.range(4000).select(
+        (F.col("id") % 2000).alias("eid"), F.col("id").alias("term"), F.lit(DAY).alias("day")
+    )
+    numbers = frame.select("term", (F.col("term") + 1).alias("number"))
+    bitmaps = term_bitmaps(frame, ["eid", "day"], "term", numbers)
+    assert bitmaps.select(F.max(F.size("bits")), F.sum(F.size("bits"))).first()[:] == (2, 4000)
+    assert set(count_bitmaps(bitmaps, "eid").select("distinct_num").collect()) == {(2,)}
+    for result in (count_bitmaps(bitmaps, "eid"), rolling_distinct(bitmaps, "eid", "day", 7)):
+        result.collect()
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert "bitmap_" not in plan.replace("bitmap_bit_position", "").replace(
+            "bitmap_bucket_number", ""
+        )
+        assert "SortAggregate" not in plan
