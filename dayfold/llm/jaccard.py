@@ -25,7 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayfold.llm.common import Scratch, exact_columns, slices, text_bytes
-from dayfold.llm.links import components, in_blocks, linked
+from dayfold.llm.links import (
+    components,
+    in_blocks,
+    in_places,
+    joined,
+    linked,
+    of_different_groups,
+    once,
+)
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -276,7 +284,10 @@ def _candidates(nodes: DataFrame, runs: int, scratch: Scratch) -> DataFrame:
 
     Runs come in waves, and what a wave has found is joined into groups before the next one: a
     bucket all of whose members are in one group already has nothing more to say. So a large group
-    of near copies is split and compared in the first run, and hardly again.
+    of near copies is split and compared in the first run, and hardly again. Of what a bucket finds,
+    only which groups it joins is kept. In a bucket too large for one place the members of its
+    largest group meet the others only; in the first run, where each set is a group, blocks of such
+    buckets are compared by themselves before that.
     """
     found, groups = None, None
     for first, after in _waves(runs):
@@ -289,26 +300,46 @@ def _candidates(nodes: DataFrame, runs: int, scratch: Scratch) -> DataFrame:
         if groups is None:
             grouped = chosen.withColumn("group", F.col("node"))
         else:
-            of_node = groups.withColumnRenamed("component", "group")
-            grouped = chosen.join(of_node, ["node"], "left").withColumn(
-                "group", F.coalesce("group", "node")
-            )
+            grouped = _regrouped(chosen, groups)
         rows = grouped.select(
             "node",
             "group",
             F.posexplode("level0").alias("run", "picks"),
         ).withColumn("path", F.col("run").cast("long") + first)
         met = scratch.write(_met(rows, chosen, scratch), "jaccard-met")
-        weight = F.lit(1).cast("long").alias("weight")
-        compared = met.join(nodes.select("node", "sketch", weight), ["node"])
-        alike = linked(in_blocks(compared, "path", "members", COMPARED), "path", _alike)
-        alike = scratch.write(alike.select("node", "root").distinct(), "jaccard-alike")
+        large = met.where(F.col("members") > COMPARED)
+        if groups is None and not large.isEmpty():
+            # Each row in one block of its bucket first: what that joins, the blocks need not compare.
+            found = _alike_groups(once(met, "path", "members", COMPARED), nodes, scratch)
+            groups = components(found, "jaccard-candidates")
+            places = of_different_groups(
+                _regrouped(large.drop("group", "members"), groups), "path", "group", COMPARED
+            )
+        else:
+            small = once(met.where(F.col("members") <= COMPARED), "path", "members", COMPARED)
+            places = small.unionByName(
+                of_different_groups(large.drop("members"), "path", "group", COMPARED)
+            )
+        alike = _alike_groups(places, nodes, scratch)
         scratch.drop(met)
         found = alike if found is None else found.unionByName(alike)
         groups = components(found, "jaccard-candidates")
     return groups
 
 
+def _regrouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows of nodes with the ``group`` of each; a node in none is its own."""
+    of_node = groups.withColumnRenamed("component", "group")
+    return rows.join(of_node, ["node"], "left").withColumn("group", F.coalesce("group", "node"))
+
+
+def _alike_groups(places: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, root): groups with members that meet in a place and look alike."""
+    compared = in_places(places.join(nodes.select("node", "sketch"), ["node"]), "path")
+    alike = joined(compared, "path", "group", _alike)
+    return scratch.write(alike.distinct(), "jaccard-alike")
+
+
 def _met(rows: DataFrame, chosen: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, group, path, members): buckets that are small, or at the end of their path.
 

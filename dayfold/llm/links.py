@@ -18,6 +18,9 @@ from dayfold.sinks.shared import write_aside
 # (table, rows, rows): linked pairs between the first and the second rows, or among the first.
 Pairs = Callable[[pa.Table, np.ndarray, np.ndarray | None], tuple[np.ndarray, np.ndarray]]
 
+# Names of groups that a task remembers to have joined.
+MEMO_NAMES = 500_000
+
 LINKED = pa.schema([("node", pa.binary()), ("links", pa.int64()), ("root", pa.binary())])
 
 
@@ -34,13 +37,59 @@ def in_blocks(rows: DataFrame, key: str, size: str, limit: int) -> DataFrame:
     dealt = rows.withColumn("block", block).withColumn(
         "_other", F.explode(F.sequence(F.lit(0), blocks - 1))
     )
+    places = dealt.withColumn("lo", F.least("block", "_other")).withColumn(
+        "hi", F.greatest("block", "_other")
+    )
+    return in_places(places.drop("_other", size), key)
+
+
+def in_places(rows: DataFrame, key: str) -> DataFrame:
+    """Rows with (key, lo, hi) brought together by these: by hash, as a range would be sampled first.
+
+    A sample computes the rows one more time, with all their joins.
+    """
     order = [key, "lo", "hi"]
-    return (
-        dealt.withColumn("lo", F.least("block", "_other"))
-        .withColumn("hi", F.greatest("block", "_other"))
-        .drop("_other", size)
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order, "node")
+    return rows.repartition(*order).sortWithinPartitions(*order, "node")
+
+
+def once(rows: DataFrame, key: str, size: str, limit: int) -> DataFrame:
+    """(.., block, lo, hi): each row in one place; a group above ``limit`` in blocks by a hash.
+
+    The blocks of a row differ from group to group, so rows that share several groups meet in some.
+    """
+    blocks = F.ceil(F.col(size) / F.lit(limit)).cast("int")
+    block = F.pmod(F.xxhash64("node", key), blocks).cast("int")
+    return rows.withColumns({"block": block, "lo": block, "hi": block}).drop(size)
+
+
+def of_different_groups(rows: DataFrame, key: str, group: str, limit: int) -> DataFrame:
+    """(.., block, lo, hi): any two rows of a ``key`` meet, unless both are of its largest group.
+
+    The largest group is cut into blocks apart from the other rows, and its blocks meet only those
+    of the others: where it has nearly all rows of a key, a row of it goes to one place, however
+    large it is. A ``key`` with one group only has nothing to compare, and is left out.
+    """
+    sizes = rows.groupBy(key, group).agg(F.count("*").alias("_rows"))
+    largest = sizes.groupBy(key).agg(
+        F.max(F.struct("_rows", F.col(group).alias("_group"))).alias("_top"),
+        F.sum("_rows").alias("_all"),
+        F.count("*").alias("_groups"),
+    )
+    told = rows.join(largest.where(F.col("_groups") > 1), [key])
+    rest = F.ceil((F.col("_all") - F.col("_top._rows")) / F.lit(limit)).cast("int")
+    top = F.ceil(F.col("_top._rows") / F.lit(limit)).cast("int")
+    inside = F.col(group) == F.col("_top._group")
+    value = F.xxhash64("node", F.lit(limit))
+    block = F.when(inside, rest + F.pmod(value, top)).otherwise(F.pmod(value, rest)).cast("int")
+    last = F.when(inside, rest).otherwise(rest + top) - 1
+    dealt = told.withColumn("block", block).withColumn(
+        "_other", F.explode(F.sequence(F.lit(0), last))
+    )
+    return dealt.select(
+        *rows.columns,
+        "block",
+        F.least("block", "_other").alias("lo"),
+        F.greatest("block", "_other").alias("hi"),
     )
 
 
@@ -60,6 +109,25 @@ def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         roots = new
 
 
+def _found(table: pa.Table, order: list[str], pairs: Pairs) -> Iterator[tuple]:
+    """(start, end, a, b) of each place of the table with linked pairs, which count from start."""
+    lo, hi = np.asarray(table.column("lo")), np.asarray(table.column("hi"))
+    block = np.asarray(table.column("block"))
+    for start, end in group_bounds(table, order):
+        if end - start < 2:
+            continue
+        rows = np.arange(start, end)
+        if lo[start] == hi[start]:
+            a, b = pairs(table, rows, None)
+        else:
+            own = block[start:end] == lo[start]
+            if own.all() or not own.any():
+                continue
+            a, b = pairs(table, rows[own], rows[~own])
+        if len(a):
+            yield start, end, a - start, b - start
+
+
 def linked(blocks: DataFrame, key: str, pairs: Pairs) -> DataFrame:
     """(node, links, root) from groups dealt out by ``in_blocks``.
 
@@ -72,25 +140,10 @@ def linked(blocks: DataFrame, key: str, pairs: Pairs) -> DataFrame:
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, order):
             table = table.combine_chunks()
-            lo, hi = np.asarray(table.column("lo")), np.asarray(table.column("hi"))
-            block = np.asarray(table.column("block"))
             weight = np.asarray(table.column("weight"))
             nodes, links, roots = [], [], []
             names = table.column("node").to_pylist()
-            for start, end in group_bounds(table, order):
-                if end - start < 2:
-                    continue
-                rows = np.arange(start, end)
-                if lo[start] == hi[start]:
-                    a, b = pairs(table, rows, None)
-                else:
-                    own = block[start:end] == lo[start]
-                    if own.all() or not own.any():
-                        continue
-                    a, b = pairs(table, rows[own], rows[~own])
-                if not len(a):
-                    continue
-                a, b = a - start, b - start
+            for start, end, a, b in _found(table, order, pairs):
                 found = np.zeros(end - start, np.int64)
                 np.add.at(found, a, weight[start + b])
                 np.add.at(found, b, weight[start + a])
@@ -106,6 +159,46 @@ def linked(blocks: DataFrame, key: str, pairs: Pairs) -> DataFrame:
     return blocks.mapInArrow(compare, "node binary, links bigint, root binary")
 
 
+def joined(places: DataFrame, key: str, group: str, pairs: Pairs) -> DataFrame:
+    """(node, root): groups that linked pairs join, by the name of another group that they reach.
+
+    A place gives one row less than the groups that it joins, whatever the number of their members
+    and of the pairs; a task leaves out what follows from rows that it has given.
+    """
+    order = [key, "lo", "hi"]
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, bytes] = {}
+
+        def top(name: bytes) -> bytes:
+            while (above := known.get(name, name)) != name:
+                known[name] = known.get(above, above)
+                name = above
+            return name
+
+        for table in whole_groups(batches, order):
+            table = table.combine_chunks()
+            nodes, roots = [], []
+            for start, end, a, b in _found(table, order, pairs):
+                names = table.column(group).slice(start, end - start).combine_chunks()
+                names = names.dictionary_encode()
+                number, names = np.asarray(names.indices), names.dictionary.to_pylist()
+                reach = local_roots(len(names), number[a], number[b])
+                for i in np.flatnonzero(reach != np.arange(len(names))).tolist():
+                    one, other = top(names[i]), top(names[int(reach[i])])
+                    if one != other:
+                        known[one] = other
+                        nodes.append(one)
+                        roots.append(other)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes, pa.binary()), pa.array(roots, pa.binary())], names=["node", "root"]
+            )
+            if len(known) > MEMO_NAMES:
+                known.clear()
+
+    return places.mapInArrow(compare, "node binary, root binary")
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, component) of all nodes of ``edges`` (node, root) that have an edge to another.
 
