@@ -43,6 +43,8 @@ LARGE = 1 << 14
 # Parts of the hashes that are worked on one after another, so that only a part of what is dealt out
 # lies on disk at a time.
 PARTS = 4
+# Repeated hashes that a task puts in lists by slice, about.
+LISTED = 1 << 20
 # Suffixes sorted in one go, or a single bucket more.
 SORTED = 1 << 18
 
@@ -220,10 +222,20 @@ def repeated_hashes(found: DataFrame) -> DataFrame:
 
     def repeated(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # (hash, slice, whether it is known to be repeated)
+        values: list[np.ndarray] = []
+        numbers: list[np.ndarray] = []
+        size = 0
 
-        def rows(value, number, kept):
+        def lists():
+            """The hashes found so far by slice, so that no row of one hash goes to the JVM."""
+            value, number = np.concatenate(values), np.concatenate(numbers)
+            order = np.argsort(number, kind="stable")
+            value, number = value[order], number[order]
+            starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
+            offsets = pa.array(np.append(starts, len(number)).astype(np.int32))
             return pa.RecordBatch.from_arrays(
-                [pa.array(number[kept]), pa.array(value[kept])], names=["slice", "hash"]
+                [pa.array(number[starts]), pa.ListArray.from_arrays(offsets, pa.array(value))],
+                names=["slice", "hashes"],
             )
 
         for batch in batches:
@@ -239,14 +251,22 @@ def repeated_hashes(found: DataFrame) -> DataFrame:
             known[1:] |= same
             known[:-1] |= same
             held = value[-1:], number[-1:], known[-1:]
-            yield rows(value[:-1], number[:-1], known[:-1])
+            values.append(value[:-1][known[:-1]])
+            numbers.append(number[:-1][known[:-1]])
+            size += len(values[-1])
+            if size > LISTED:
+                yield lists()
+                values, numbers, size = [], [], 0
         if held is not None:
-            yield rows(*held)
+            values.append(held[0][held[2]])
+            numbers.append(held[1][held[2]])
+        if size or (held is not None and held[2].any()):
+            yield lists()
 
     dealt = found.repartition("hash").sortWithinPartitions("hash")
-    again = dealt.mapInArrow(repeated, "slice bigint, hash bigint")
+    again = dealt.mapInArrow(repeated, "slice bigint, hashes array<bigint>")
     # As many as the slice has anchors at most.
-    return again.groupBy("slice").agg(F.collect_list("hash").alias("hashes"))
+    return again.groupBy("slice").agg(F.flatten(F.collect_list("hashes")).alias("hashes"))
 
 
 def stretches(slices: DataFrame, wanted: DataFrame) -> DataFrame:

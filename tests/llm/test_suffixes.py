@@ -1,6 +1,7 @@
 """Removal of repeated passages against plain sets of windows."""
 
 import random
+from collections import Counter
 from hashlib import sha256
 
 import numpy as np
@@ -181,3 +182,25 @@ def test_two_stretches_with_one_key():
     })
     with pytest.raises(ArithmeticError):
         suffixes._least_per_window(table)
+
+
+def test_repeated_hashes_come_as_lists(spark, monkeypatch):
+    """Against a plain count; a task gives a row per slice, not one per hash."""
+    monkeypatch.setattr(suffixes, "LISTED", 50)
+    choose = random.Random(5)
+    rows = {(choose.randrange(900), choose.randrange(12)): choose.choice([1, 1, 1, 2]) for _ in range(1500)}
+    rows[5000, 3], rows[6000, 40] = 2, 1
+    frame = spark.createDataFrame(
+        [(*k, v) for k, v in rows.items()], "hash bigint, slice bigint, texts tinyint"
+    )
+    often = Counter(value for value, _ in rows)
+    wanted = {}
+    for (value, number), several in rows.items():
+        if several > 1 or often[value] > 1:
+            wanted.setdefault(number, []).append(value)
+    found = suffixes.repeated_hashes(frame)
+    assert {r.slice: sorted(r.hashes) for r in found.collect()} == {
+        number: sorted(values) for number, values in wanted.items()
+    }
+    assert suffixes.repeated_hashes(frame.limit(0)).count() == 0
+    assert "flatten" in found._jdf.queryExecution().toString()
