@@ -4,7 +4,7 @@ Each source has a target of words. Its documents stand in a fixed random order;
 them again and again until the target is reached says how often each one is taken. When they are
 taken follows from the source's weight schedule: the integral of the schedule up to a time is
 what the source has to have given by then, so the time of a document is that integral inverted at
-the words that come before it.
+the words that come before its middle.
 """
 
 from __future__ import annotations
