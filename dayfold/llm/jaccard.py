@@ -341,34 +341,57 @@ def _alike_groups(places: DataFrame, nodes: DataFrame, scratch: Scratch) -> Data
 
 
 def _met(rows: DataFrame, chosen: DataFrame, scratch: Scratch) -> DataFrame:
-    """(node, group, path, members): buckets that are small, or at the end of their path.
+    """(node, group, path, members): buckets that need no split, or are at the end of their path.
 
     ``rows`` are (node, group, run, path, picks): the tokens that a set chose at the first level.
 
     Sets on one path with equal choices, as near copies mostly have, go on as one bundle: buckets
     are counted by bundles, and only those with members of several groups are gathered.
+
+    A bucket needs no split when it is small, or when one group has most of it and the others are
+    few enough for one place. Members of a group choose alike, so its split would give ``CHOSEN``
+    buckets with most of the same rows in each, and in the end each pair as often as there are paths.
     """
     ready = None
     for depth in range(DEPTH):
         rows = rows.withColumn("bundle", F.xxhash64("path", "picks"))
         rows = scratch.write(rows, "jaccard-rows")
-        bundles = rows.groupBy("bundle").agg(
+        of_group = rows.groupBy("bundle", "group").agg(
+            F.first("path").alias("path"), F.first("picks").alias("picks"), F.count("*").alias("rows")
+        )
+        bundles = of_group.groupBy("bundle").agg(
             F.first("path").alias("path"),
             F.first("picks").alias("picks"),
-            F.count("*").alias("rows"),
+            F.sum("rows").alias("rows"),
             F.min("group").alias("least"),
             F.max("group").alias("most"),
+            F.max(F.struct("rows", "group")).alias("top"),
         )
         tokens = bundles.select(
-            "bundle", "path", "rows", "least", "most", F.explode("picks").alias("token")
+            "bundle", "path", "rows", "least", "most", "top", F.explode("picks").alias("token")
         )
         tokens = tokens.withColumn("path", F.xxhash64("path", "token")).drop("token")
         tokens = scratch.write(tokens, "jaccard-bundles")
-        sizes = tokens.groupBy("path").agg(
+        # The largest group of a bucket, by those of its bundles: it has as many rows at least.
+        by_top = tokens.groupBy("path", F.col("top.group").alias("group")).agg(
+            F.sum("rows").alias("rows"),
+            F.sum("top.rows").alias("top"),
+            F.min("least").alias("least"),
+            F.max("most").alias("most"),
+        )
+        sizes = by_top.groupBy("path").agg(
             F.sum("rows").alias("members"),
+            F.max("top").alias("top"),
             (F.min("least") != F.max("most")).alias("several"),
         )
-        sizes = sizes.where("several").drop("several")
+        rest = F.col("members") - F.col("top")
+        sizes = sizes.where("several").select(
+            "path",
+            "members",
+            (
+                (F.col("members") <= SMALL) | ((rest <= COMPARED) & (2 * rest <= F.col("members")))
+            ).alias("whole"),
+        )
         wanted = scratch.write(
             tokens.select("bundle", "path").join(sizes, ["path"]), "jaccard-sizes"
         )
@@ -377,13 +400,13 @@ def _met(rows: DataFrame, chosen: DataFrame, scratch: Scratch) -> DataFrame:
         met = scratch.write(met, "jaccard-buckets")
         scratch.drop(rows, tokens, wanted)
         last = depth == DEPTH - 1
-        done = met if last else met.where(F.col("members") <= SMALL)
+        done = met if last else met.where("whole")
         done = done.select("node", "group", "path", "members")
         ready = done if ready is None else ready.unionByName(done)
         if not last:
-            # Only rows of large buckets need the next choices.
+            # Only rows of buckets to be split need the next choices.
             level = f"level{depth + 1}"
-            rows = met.where(F.col("members") > SMALL).join(chosen.select("node", level), ["node"])
+            rows = met.where("not whole").join(chosen.select("node", level), ["node"])
             rows = rows.select(
                 "node", "group", "run", F.col(level)[F.col("run")].alias("picks"), "path"
             )
