@@ -204,3 +204,67 @@ def test_repeated_hashes_come_as_lists(spark, monkeypatch):
     }
     assert suffixes.repeated_hashes(frame.limit(0)).count() == 0
     assert "flatten" in found._jdf.queryExecution().toString()
+
+
+def test_what_is_dealt_out_are_packs(spark):
+    """A row for a slice and bucket, not for a hash or a stretch; against a plain count."""
+    rows = passages(6, "abcdefghijklmnop ", 200)
+    slices = suffixes.sliced(spark.createDataFrame(rows, SCHEMA).repartition(3)).cache()
+    held = {}
+    for batch in slices.toArrow().to_batches():
+        for number, (data, ends) in zip(batch.column("slice").to_pylist(), suffixes._opened(batch)):
+            text, _, _, _, value = suffixes.anchored(data, ends)
+            held[number] = {}
+            for t, v in zip(text.tolist(), value.tolist()):
+                held[number].setdefault(v, set()).add(t)
+    packs = suffixes.anchor_hashes(slices, 4)
+    found = packs.collect()
+    assert len(found) <= 4 * len(held) < sum(map(len, held.values())) / 10
+    for row in found:
+        hashes = np.frombuffer(row.hashes, "<u8") * suffixes.GATHER
+        for value, known in zip(hashes.tolist(), np.frombuffer(row.known, "<u2").tolist()):
+            assert known & 1 == (len(held[row["slice"]].pop(value)) > 1)
+    assert not any(held.values())
+    wanted = suffixes.repeated_hashes(packs).cache()
+    dealt = suffixes.stretches(slices, wanted, 4).collect()
+    assert len(dealt) <= 5 * len(held) < sum(row["items"] for row in dealt) / 10
+
+
+def in_one_process(rows, slices, large):
+    """``remove_repeats`` without Spark: what is removed of each text."""
+    texts = [(text or "").encode() for _, text in rows]
+    cut = []
+    for i in range(slices):
+        held = texts[i::slices]
+        data = np.frombuffer(b"".join(held), np.uint8)
+        ids = pa.array([doc_id for doc_id, _ in rows[i::slices]], pa.int64())
+        cut.append((data, np.cumsum([len(text) for text in held]), ids))
+    seen = Counter()
+    for data, ends, _ in cut:
+        seen.update(set(suffixes.anchored(data, ends)[4].tolist()))
+    crowded = np.array([v for v, n in seen.items() if n > large], np.uint64)
+    hashes = np.array(list(seen), np.uint64)
+    dealt = [suffixes._slice_stretches(i, *x, hashes, crowded, 3) for i, x in enumerate(cut)]
+    table = pa.Table.from_batches(dealt)
+    buckets = np.asarray(table.column("bucket").fill_null(-1))
+    replies = [suffixes._replies(table.filter(pa.array(buckets == b))) for b in set(buckets) - {-1}]
+    replies = pa.Table.from_batches([r for r in replies if r is not None])
+    gone = [None] * len(rows)
+    for i, (data, ends, ids) in enumerate(cut):
+        own = replies.filter(pa.array(np.asarray(replies.column("slice")) == i))
+        found = suffixes._unpacked(own.column("replies"), "u1").view(suffixes.REPLY)
+        last = dealt[i].slice(dealt[i].num_rows - 1)
+        places = {n: suffixes._unpacked(last.column(n), k) for n, k in suffixes.PLACES.items()}
+        covered = suffixes._covered(len(data), ids, found, places)
+        gone[i::slices] = [int(x.sum()) for x in np.split(covered, ends[:-1])]
+    return sorted([(d, len(t), g) for (d, _), t, g in zip(rows, texts, gone)], key=repr)
+
+
+@pytest.mark.parametrize("large", [0, 100])
+def test_colliding_words(monkeypatch, large):
+    """All anchors and stretches with one hash: only their bytes tell them apart."""
+    rows = passages(8, "abc", 40)
+    expected = sorted([row[:3] for row in plain(rows)], key=repr)
+    assert in_one_process(rows, 3, large) == expected
+    monkeypatch.setattr(suffixes, "WORDS", np.zeros_like(suffixes.WORDS))
+    assert in_one_process(rows, 3, large) == expected
