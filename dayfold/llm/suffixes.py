@@ -38,7 +38,7 @@ from dayfold.llm.common import Scratch, exact_columns, ragged, text_bytes, whole
 WINDOW = 50
 ANCHOR = 24
 # Texts are held in slices of about so many bytes, or a single text more.
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 21
 SLICE_ROWS = 1 << 16
 # Windows of a slice that are looked at in one go.
 PIECE = 1 << 16
@@ -50,7 +50,7 @@ BUCKET_BYTES = 1 << 23
 # lies on disk twice at a time.
 PARTS = 4
 # Repeated hashes that a task puts in lists by slice, about.
-LISTED = 1 << 20
+LISTED = 1 << 18
 # Suffixes sorted in one go, or those of a single hash more.
 SORTED = 1 << 17
 
@@ -848,9 +848,16 @@ def _covered(size: int, ids: pa.Array, replies: np.ndarray, places: dict) -> np.
     earlier = ~some[text] | (replies["least"][reply] < doc[text])
     place, reply = place[earlier], reply[earlier]
     first = places["first"][place].astype(np.int64) + places["at"][replies["item"][reply]]
-    gone = np.bincount(first + replies["begin"][reply], minlength=size + 1)
-    gone -= np.bincount(first + replies["end"][reply] + WINDOW - 1, minlength=size + 1)
-    return np.cumsum(gone)[:-1] > 0
+    turn = np.zeros(size + 1, np.int8)
+    if len(first):
+        # Runs that overlap or touch are put together, so that each place is a turn once at most.
+        begin, end = first + replies["begin"][reply], first + replies["end"][reply] + WINDOW - 1
+        order = np.argsort(begin)
+        begin, end = begin[order], np.maximum.accumulate(end[order])
+        new = begin[1:] > end[:-1]
+        turn[begin[np.concatenate([[True], new])]] = 1
+        turn[end[np.concatenate([new, [True]])]] = -1
+    return np.cumsum(turn[:-1], dtype=np.int8).view(bool)
 
 
 def remove_repeats(docs: DataFrame, large: int = LARGE) -> DataFrame:
@@ -895,12 +902,6 @@ def remove_repeats(docs: DataFrame, large: int = LARGE) -> DataFrame:
                     }
                     covered = _covered(len(data), batch.column("ids")[i].values, found, own)
                 begins = np.concatenate([[0], ends[:-1]])
-                kept = np.concatenate([[0], np.cumsum(~covered)])
-                left = memoryview(data[~covered])
-                digests = [
-                    sha256(left[a:b]).hexdigest()
-                    for a, b in zip(kept[begins].tolist(), kept[ends].tolist())
-                ]
                 # Runs begin and end where it turns, and with texts.
                 edge = np.zeros(len(data) + 1, bool)
                 edge[begins], edge[ends] = True, True
@@ -909,6 +910,10 @@ def remove_repeats(docs: DataFrame, large: int = LARGE) -> DataFrame:
                 after = np.flatnonzero(covered & turn[1:]) + 1
                 text = np.searchsorted(ends, first, "right")
                 runs = np.bincount(text, minlength=len(ends))
+                removed = np.bincount(text, after - first, len(ends)).astype(np.int64)
+                kept = np.concatenate([[0], np.cumsum(ends - begins - removed)]).tolist()
+                left = memoryview(data[~covered])
+                digests = [sha256(left[a:b]).hexdigest() for a, b in zip(kept[:-1], kept[1:])]
                 places = [first - begins[text], after - begins[text]]
                 spans = pa.StructArray.from_arrays([pa.array(p) for p in places], ["begin", "end"])
                 until = np.concatenate([[0], np.cumsum(runs)]).astype(np.int32)
@@ -916,7 +921,7 @@ def remove_repeats(docs: DataFrame, large: int = LARGE) -> DataFrame:
                     [
                         batch.column("ids")[i].values,
                         pa.array(ends - begins),
-                        pa.array(ends - begins - (kept[ends] - kept[begins])),
+                        pa.array(removed),
                         pa.array(runs),
                         pa.array(digests, pa.string()),
                         pa.ListArray.from_arrays(pa.array(until), spans),
